@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from escrutinio.operators.joins import broadcast_if_small
+
 # Of [0, total) at least this many bins, so that the lookups of one large group spread.
 _MIN_BINS = 64
 
@@ -60,7 +62,9 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
     The range condition becomes an equality on bins: [0, total) is cut into as many bins
     as the group has items (64 at least), a range is repeated for each bin it touches, in
     all at most twice the items plus 64 rows per group, and a row looks into the one bin
-    of its number. Rows of an unknown group get NULL.
+    of its number, which on average holds no more than two ranges. ``df`` is shuffled, by
+    group and bin, only if the ranges are too large to broadcast. Rows of an unknown group
+    get NULL.
     """
 
     def bin_of(position: Column, total: Column, items: Column) -> Column:
@@ -81,7 +85,7 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
             F.max("total").cast("double").alias("_total"), F.max("items").cast("double").alias("_items")
         )
         same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-        placed = df.join(sizes, same, "left").drop(*(f"_g_{g}" for g in groups))
+        placed = df.join(broadcast_if_small(sizes), same, "left").drop(*(f"_g_{g}" for g in groups))
     else:
         placed = df.withColumn("_total", ranges.agg(F.max("total").cast("double")).scalar()).withColumn(
             "_items", ranges.agg(F.max("items").cast("double")).scalar()
@@ -95,7 +99,7 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
         F.col("_position") >= F.col("_lo"),
         F.col("_position") < F.col("_hi"),
     ]
-    return placed.join(binned, inside, "left").select(*df.columns, output)
+    return placed.join(broadcast_if_small(binned), inside, "left").select(*df.columns, output)
 
 
 def chunked_lists(

@@ -7,6 +7,8 @@ autonomous region. Every tenth vote arrives twice.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from escrutinio.schemas import MUNICIPALITY, STREETS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -85,3 +87,125 @@ def seats_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key == 23, 0).otherwise(1 + key % 12).cast("bigint").alias("total_seats"),
         )
     )
+
+
+def provincias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provinces as the relational source stores them: one per nation, with its customers
+    as population. Nation 24 names a region that does not exist."""
+    key = F.col("n_nationkey")
+    people = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("habitantes"))
+    return (
+        table(spark, sf_dir, "nation")
+        .join(people, key == F.col("c_nationkey"), "left")
+        .select(
+            key.cast("bigint").alias("id"),
+            province_code(key).alias("codigo_provincia"),
+            F.col("n_name").alias("nombre"),
+            F.lower("n_name").alias("nombre_alternativo"),
+            F.when(key == 24, "99").otherwise(_number(F.col("n_regionkey"))).alias("codigo_comunidad"),
+            F.when(key == 23, 0).otherwise(1 + key % 12).cast("bigint").alias("total_diputados"),
+            (36 + key / 4.0).alias("latitud"),
+            (key / 4.0 - 9).alias("longitud"),
+            F.coalesce("habitantes", F.lit(0)).cast("bigint").alias("habitantes"),
+            F.concat(F.lit("ES-"), _number(key)).alias("iso_3166_2_prov"),
+        )
+    )
+
+
+def comunidades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions as the relational source stores them, and one more without provinces."""
+    regions = table(spark, sf_dir, "region")
+    extra = regions.agg((F.max("r_regionkey") + 1).alias("r_regionkey")).withColumn("r_name", F.lit("NO PROVINCES"))
+    key = F.col("r_regionkey")
+    return regions.unionByName(extra).select(
+        _number(key).alias("codigo_comunidad"),
+        F.col("r_name").alias("nombre"),
+        F.lower("r_name").alias("nombre_alternativo"),
+        (4 + key).cast("bigint").alias("numero_senadores"),
+        F.concat(F.lit("ES-R"), _number(key)).alias("iso_3166_2_ccaa"),
+    )
+
+
+def province_code(key: Column) -> Column:
+    return F.lpad(_number(key), 2, "0")
+
+
+def _point(key: Column, index: int) -> Column:
+    """[lon, lat] of one of a record's points; longitudes lie around the zero meridian."""
+    lon = ((key * 7 + index * 13) % 2001 - 1000) / 100000.0
+    lat = (3600 + (key * 11 + index * 17) % 700) / 100.0
+    return F.array(lon, lat)
+
+
+def _line(key: Column, *indexes: int) -> Column:
+    return F.array(*(_point(key, index) for index in indexes))
+
+
+def _geometry(kind: str, coordinates: Column) -> Column:
+    return F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), F.to_json(coordinates), F.lit("}"))
+
+
+def municipality_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records of municipalities, one per customer, with shapes of several types."""
+    key = F.col("c_custkey")
+    polygon = _geometry("Polygon", F.array(_line(key, 0, 1, 2, 0)))
+    with_hole = _geometry("Polygon", F.array(_line(key, 0, 2, 3, 0), _line(key, 1, 2, 1)))
+    several = _geometry(
+        "MultiPolygon",
+        F.array(F.array(_line(key, 0, 1, 2, 0)), F.array(_line(key, 1, 2, 3, 1), _line(key, 3, 0, 3))),
+    )
+    other = _geometry("Point", _point(key, 0))
+    geometry = F.when(key % 5 == 0, polygon).when(key % 5 == 1, several).when(key % 5 == 2, other)
+    geometry = geometry.when(key % 5 == 4, with_hole)
+    shape = F.concat(F.lit('{"geometry":'), geometry, F.lit("}"))
+    center = F.struct(F.get(_point(key, 0), F.lit(1)).alias("lat"), F.get(_point(key, 0), F.lit(0)).alias("lon"))
+    return (
+        table(spark, sf_dir, "customer")
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.concat(
+                F.lit('{"prov_code":"'),
+                province_code(F.col("n_nationkey")),
+                F.lit('","prov_name":"'),
+                F.col("n_name"),
+                F.lit('","geo_point_2d":'),
+                F.when(key % 7 == 0, "null").otherwise(F.to_json(center)),
+                F.lit(',"geo_shape":'),
+                F.coalesce(shape, F.lit("null")),
+                F.lit("}"),
+            ).alias("value")
+        )
+    )
+
+
+def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = municipality_records(spark, sf_dir)
+    return records.select(F.from_json("value", MUNICIPALITY).alias("m")).select("m.*")
+
+
+def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Street features, one per supplier, in a file per nation."""
+    key = F.col("s_suppkey")
+    line = _geometry("LineString", _line(key, 0, 1, 2))
+    lines = _geometry("MultiLineString", F.array(_line(key, 0, 1), _line(key, 2, 3)))
+    other = _geometry("Point", _point(key, 0))
+    geometry = F.when(key % 3 == 0, line).when(key % 3 == 1, lines).otherwise(other)
+    collection = F.concat(F.lit('{"features":[{"geometry":'), geometry, F.lit("}]}"))
+    return table(spark, sf_dir, "supplier").select(
+        _city_file(F.col("s_nationkey")).alias("file_name"),
+        F.from_json(collection, STREETS)["features"].alias("features"),
+    )
+
+
+def street_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities with a street file: every nation but each third."""
+    key = F.col("n_nationkey")
+    return (
+        table(spark, sf_dir, "nation")
+        .filter(key % 3 != 0)
+        .select(F.col("n_name").alias("prov_name"), _city_file(key).alias("file_name"))
+    )
+
+
+def _city_file(key: Column) -> Column:
+    return F.concat(F.lit("city_"), _number(key), F.lit(".json"))

@@ -10,6 +10,7 @@ def number_text(token: Column) -> Column:
     Spark prints 0.00045 as ``4.5E-4``; coordinates near a meridian need ``0.00045``
     (down to 1e-4, below which the form is ``4.5e-05``).
     """
+    token = token.cast("string")
     number = token.cast("double")
     plain = number.cast("string")
     mantissa = F.regexp_extract(plain, r"^-?([\d.]+)E", 1)
@@ -23,7 +24,8 @@ def number_text(token: Column) -> Column:
         F.lpad(F.substring(exponent, 2, 3), F.greatest(F.length(exponent) - 1, F.lit(2)), F.lit("0")),
     )
     return (
-        F.when(token.rlike(r"^-?\d+$"), token)
+        F.when(~token.rlike("[.eE]"), token)
+        .when(~F.contains(plain, F.lit("E")), plain)
         .when(exponent == "-4", positional)
         .when(exponent != "", scientific)
         .otherwise(plain)

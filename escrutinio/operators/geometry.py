@@ -30,26 +30,21 @@ def _points(geometry: Column, one_level: str | None, two_levels: str | None, thr
 
 
 def _exploded(df: DataFrame, points: Column, *keys: str) -> DataFrame:
-    """One row per point; geometries list longitude before latitude."""
+    """One row per [longitude, latitude] point."""
     point = F.col("_point")
     return df.select(*keys, F.explode(points).alias("_point")).select(
         *keys, coordinate_text(F.get(point, F.lit(1)), F.get(point, F.lit(0))).alias("coordinate")
     )
 
 
-def shape_points(municipalities: DataFrame) -> DataFrame:
-    """Points of all rings of Polygon and MultiPolygon shapes, holes included; other
-    shapes have none."""
-    return _exploded(
-        municipalities, _points(F.col("geo_shape.geometry"), None, "Polygon", "MultiPolygon"), "prov_code"
-    )
-
-
-def center_points(municipalities: DataFrame) -> DataFrame:
-    """The centre of each municipality that has one."""
-    return municipalities.filter(F.col("geo_point_2d").isNotNull()).select(
-        "prov_code", coordinate_text(F.col("geo_point_2d.lat"), F.col("geo_point_2d.lon")).alias("coordinate")
-    )
+def municipality_points(municipalities: DataFrame) -> DataFrame:
+    """The centre of each municipality that has one, and the points of all rings, holes
+    included, of Polygon and MultiPolygon shapes; other shapes have none."""
+    center = F.col("geo_point_2d")
+    centers = F.when(center.isNotNull(), F.array(F.array(center["lon"], center["lat"])))
+    shape = _points(F.col("geo_shape.geometry"), None, "Polygon", "MultiPolygon")
+    none = F.array().cast(_LINE)
+    return _exploded(municipalities, F.concat(F.coalesce(centers, none), F.coalesce(shape, none)), "prov_code")
 
 
 def street_points(streets: DataFrame) -> DataFrame:
@@ -81,7 +76,7 @@ def build_coordinates(
 
     Repeated points stay: ring ends repeat, and copies act as weights of a draw.
     """
-    points = center_points(municipalities).unionByName(shape_points(municipalities))
+    points = municipality_points(municipalities)
     if streets is not None and mapping is not None:
         points = points.unionByName(capital_points(municipalities, streets, mapping))
     return points

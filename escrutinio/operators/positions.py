@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from escrutinio.operators.joins import broadcast_if_small
+from escrutinio.operators.materialize import materialize
 
 # Of [0, total) at least this many bins, so that the lookups of one large group spread.
 _MIN_BINS = 64
@@ -62,9 +63,11 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
     The range condition becomes an equality on bins: [0, total) is cut into as many bins
     as the group has items (64 at least), a range is repeated for each bin it touches, in
     all at most twice the items plus 64 rows per group, and a row looks into the one bin
-    of its number, which on average holds no more than two ranges. ``df`` is shuffled, by
-    group and bin, only if the ranges are too large to broadcast. Rows of an unknown group
-    get NULL.
+    of its number, which on average holds no more than two ranges. Rows of an unknown
+    group get NULL.
+
+    The binned ranges are written first, being used more than once. ``df`` is shuffled, by
+    group and bin, only if they are too large for Spark to broadcast.
     """
 
     def bin_of(position: Column, total: Column, items: Column) -> Column:
@@ -73,33 +76,38 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
         return F.floor(position * bins / total).cast("bigint")
 
     lo, hi, total, items = (F.col(name).cast("double") for name in ("lo", "hi", "total", "items"))
-    binned = ranges.select(
-        *(F.col(g).alias(f"_g_{g}") for g in groups),
-        F.col(item).alias(output),
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        F.explode(F.sequence(bin_of(lo, total, items), bin_of(hi, total, items))).alias("_range_bin"),
+    binned = materialize(
+        ranges.select(
+            *(F.col(g).alias(f"_g_{g}") for g in groups),
+            F.col(item).alias(output),
+            lo.alias("_lo"),
+            hi.alias("_hi"),
+            total.alias("_total"),
+            items.alias("_items"),
+            F.explode(F.sequence(bin_of(lo, total, items), bin_of(hi, total, items))).alias("_range_bin"),
+        ),
+        "ranges",
     )
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
     if groups:
-        sizes = ranges.groupBy(*(F.col(g).alias(f"_g_{g}") for g in groups)).agg(
-            F.max("total").cast("double").alias("_total"), F.max("items").cast("double").alias("_items")
+        sizes = binned.groupBy(*(f"_g_{g}" for g in groups)).agg(
+            F.max("_total").alias("_total"), F.max("_items").alias("_items")
         )
-        same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
         placed = df.join(broadcast_if_small(sizes), same, "left").drop(*(f"_g_{g}" for g in groups))
     else:
-        placed = df.withColumn("_total", ranges.agg(F.max("total").cast("double")).scalar()).withColumn(
-            "_items", ranges.agg(F.max("items").cast("double")).scalar()
+        placed = df.withColumn("_total", binned.agg(F.max("_total")).scalar()).withColumn(
+            "_items", binned.agg(F.max("_items")).scalar()
         )
     placed = placed.withColumn("_position", number * F.col("_total")).withColumn(
         "_bin", bin_of(F.col("_position"), F.col("_total"), F.col("_items"))
     )
     inside = [
-        *(F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups),
+        *same,
         F.col("_bin") == F.col("_range_bin"),
         F.col("_position") >= F.col("_lo"),
         F.col("_position") < F.col("_hi"),
     ]
-    return placed.join(broadcast_if_small(binned), inside, "left").select(*df.columns, output)
+    return placed.join(binned.drop("_total", "_items"), inside, "left").select(*df.columns, output)
 
 
 def chunked_lists(

@@ -19,7 +19,7 @@ def _number(column: Column) -> Column:
 
 
 def base_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the nine vote fields; ``timestamp`` has no zone yet."""
+    """One row per order with the nine vote fields."""
     key = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -34,9 +34,8 @@ def base_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 59 == 0, F.concat(F.lit("136.5,"), lon.cast("string")))
         .otherwise(F.concat(lat.cast("string"), F.lit(","), lon.cast("string")))
     )
-    at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), ((key % 86400) + (key % 1000) / 1000.0).cast("decimal(18,6)")
-    )
+    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    at = F.timestamp_micros(micros + (key % 86400) * 1000000 + (key % 1000) * 1000)
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -64,7 +63,6 @@ def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_votes(spark, sf_dir)
         .withColumn("_copy", F.explode(copies))
         .drop("_copy")
-        .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     )
 
 

@@ -11,6 +11,7 @@ from escrutinio.functions.geo import parse_geo_point
 from escrutinio.functions.keys import keyword, vote_doc_id
 from escrutinio.functions.timestamps import parse_timestamp
 from escrutinio.operators import geometry, reference, sampling, seats, votes
+from escrutinio.operators.materialize import materialize
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.plans import fixture
 from escrutinio.schemas import PARTY_KEY, SEAT_DOCUMENT
@@ -221,7 +222,9 @@ _QUERIES["upsert_latest"] = _QUERIES.pop("upsert_latest_query")
 def upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seats served without a threshold, then replaced by those with it: parties below it
     are deleted."""
-    before, now = dhondt_seats_no_threshold(spark, sf_dir), dhondt_seats(spark, sf_dir)
+    counts, reference_seats = materialize(_counts(spark, sf_dir), "counts"), fixture.seats_reference(spark, sf_dir)
+    before = materialize(seats.allocate_seats(counts, reference_seats, threshold=0.0), "before")
+    now = materialize(seats.allocate_seats(counts, reference_seats), "now")
     earlier = F.lit(datetime(2026, 1, 1, tzinfo=timezone.utc))
     later = F.lit(PUBLISHED_AT)
     served = lakes.seat_documents(seats.seat_messages(before, earlier), earlier).select(*SEAT_DOCUMENT.names)
@@ -243,7 +246,7 @@ def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = (
         F.when(key % 4 == 0, F.date_format(at, TEXT_TIME))
         .when(key % 4 == 1, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-        .when(key % 4 == 2, F.unix_millis(at.cast("timestamp")).cast("string"))
+        .when(key % 4 == 2, F.unix_millis(at).cast("string"))
         .otherwise("yesterday")
     )
     votes_at = fixture.base_votes(spark, sf_dir).select("id", spelled.alias("text"))

@@ -29,44 +29,40 @@ def _points(geometry: Column, one_level: str | None, two_levels: str | None, thr
     return points
 
 
-def _exploded(df: DataFrame, points: Column, *keys: str) -> DataFrame:
-    """One row per [longitude, latitude] point."""
-    point = F.col("_point")
-    return df.select(*keys, F.explode(points).alias("_point")).select(
-        *keys, coordinate_text(F.get(point, F.lit(1)), F.get(point, F.lit(0))).alias("coordinate")
-    )
+def _shape(geometry: Column) -> Column:
+    """Points of all rings, holes included, of Polygon and MultiPolygon; else none."""
+    return _points(geometry, None, "Polygon", "MultiPolygon")
 
 
-def municipality_points(municipalities: DataFrame) -> DataFrame:
-    """The centre of each municipality that has one, and the points of all rings, holes
-    included, of Polygon and MultiPolygon shapes; other shapes have none."""
+def _as_text(points: DataFrame) -> DataFrame:
+    """[longitude, latitude] points as ``lat,lon`` text."""
+    point = F.col("point")
+    text = coordinate_text(F.get(point, F.lit(1)), F.get(point, F.lit(0)))
+    return points.select(*(name for name in points.columns if name != "point"), text.alias("coordinate"))
+
+
+def _municipality_points(municipalities: DataFrame) -> DataFrame:
     center = F.col("geo_point_2d")
     centers = F.when(center.isNotNull(), F.array(F.array(center["lon"], center["lat"])))
-    shape = _points(F.col("geo_shape.geometry"), None, "Polygon", "MultiPolygon")
     none = F.array().cast(_LINE)
-    return _exploded(municipalities, F.concat(F.coalesce(centers, none), F.coalesce(shape, none)), "prov_code")
+    points = F.concat(F.coalesce(centers, none), F.coalesce(_shape(F.col("geo_shape.geometry")), none))
+    return municipalities.select("prov_code", F.explode(points).alias("point"))
 
 
-def street_points(streets: DataFrame) -> DataFrame:
-    """Points of LineString and MultiLineString features per file; other features have none."""
+def _street_points(streets: DataFrame) -> DataFrame:
     features = streets.select("file_name", F.explode("features").alias("feature"))
-    return _exploded(
-        features, _points(F.col("feature.geometry"), "LineString", "MultiLineString", None), "file_name"
-    )
+    points = _points(F.col("feature.geometry"), "LineString", "MultiLineString", None)
+    return features.select("file_name", F.explode(points).alias("point"))
 
 
-def capital_points(municipalities: DataFrame, streets: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Street points of each province's city, found through ``prov_name`` to ``file_name``.
+def municipality_points(municipalities: DataFrame) -> DataFrame:
+    """The centre of each municipality that has one, and the points of its shape."""
+    return _as_text(_municipality_points(municipalities))
 
-    Provinces without a mapping or a file add none. A province code with several names
-    uses one of them, the greatest.
-    """
-    names = municipalities.groupBy("prov_code").agg(F.max("prov_name").alias("prov_name"))
-    return (
-        names.join(mapping, "prov_name")
-        .join(street_points(streets), "file_name")
-        .select("prov_code", "coordinate")
-    )
+
+def street_points(streets: DataFrame) -> DataFrame:
+    """Points of LineString and MultiLineString features per file; other features have none."""
+    return _as_text(_street_points(streets))
 
 
 def build_coordinates(
@@ -74,12 +70,17 @@ def build_coordinates(
 ) -> DataFrame:
     """Centres, shapes and city streets of each province as (prov_code, coordinate) rows.
 
-    Repeated points stay: ring ends repeat, and copies act as weights of a draw.
+    The streets are those of the city file that ``mapping`` gives for the ``prov_name``;
+    provinces without a mapping or a file add none. A province code with several names
+    uses one of them, the greatest. Repeated points stay: ring ends repeat, and copies act
+    as weights of a draw.
     """
-    points = municipality_points(municipalities)
+    points = _municipality_points(municipalities)
     if streets is not None and mapping is not None:
-        points = points.unionByName(capital_points(municipalities, streets, mapping))
-    return points
+        names = municipalities.groupBy("prov_code").agg(F.max("prov_name").alias("prov_name"))
+        files = names.join(mapping, "prov_name").select("prov_code", "file_name")
+        points = points.unionByName(files.join(_street_points(streets), "file_name").select("prov_code", "point"))
+    return _as_text(points)
 
 
 def coordinate_chunks(points: DataFrame, chunk_size: int = 10_000) -> DataFrame:

@@ -4,66 +4,52 @@ Each order is a vote: its customer's nation is the province, the nation's region
 autonomous region. Every tenth vote arrives twice.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from escrutinio.schemas import MUNICIPALITY, STREETS
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_LAT = "double(36000 + o_orderkey % 7000) / 1000"
+_LON = "double((o_orderkey * 7) % 12000 - 9000) / 1000"
 
 
-def _number(column: Column) -> Column:
-    return column.cast("bigint").cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def base_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the nine vote fields."""
-    key = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    blank = key % 41 == 0
-    party = F.concat(F.lit("PARTY_"), _number(F.floor(F.sqrt(key % 100))))
-    lat = (36000 + key % 7000) / 1000.0
-    lon = ((key * 7) % 12000 - 9000) / 1000.0
-    location = (
-        F.when(key % 53 == 0, F.lit("unknown"))
-        .when(key % 59 == 0, F.concat(F.lit("136.5,"), lon.cast("string")))
-        .otherwise(F.concat(lat.cast("string"), F.lit(","), lon.cast("string")))
-    )
-    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
-    at = F.timestamp_micros(micros + (key % 86400) * 1000000 + (key % 1000) * 1000)
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
+        .selectExpr(
             "o_orderkey",
-            key.cast("string").alias("id"),
-            blank.alias("blank_vote"),
-            F.when(~blank, party).alias("political_party"),
-            F.col("n_name").alias("province_name"),
-            F.concat(F.lit("ES-"), _number(F.col("n_nationkey"))).alias("province_iso_code"),
-            F.col("r_name").alias("autonomic_region_name"),
-            F.concat(F.lit("ES-R"), _number(F.col("r_regionkey"))).alias("autonomic_region_iso_code"),
-            location.alias("location"),
-            at.alias("timestamp"),
+            "string(o_orderkey) AS id",
+            "o_orderkey % 41 = 0 AS blank_vote",
+            "CASE WHEN o_orderkey % 41 <> 0 THEN concat('PARTY_', int(floor(sqrt(o_orderkey % 100)))) END"
+            " AS political_party",
+            "n_name AS province_name",
+            "concat('ES-', n_nationkey) AS province_iso_code",
+            "r_name AS autonomic_region_name",
+            "concat('ES-R', r_regionkey) AS autonomic_region_iso_code",
+            f"CASE WHEN o_orderkey % 53 = 0 THEN 'unknown' WHEN o_orderkey % 59 = 0 THEN concat('136.5,', {_LON})"
+            f" ELSE concat({_LAT}, ',', {_LON}) END AS location",
+            "timestamp_micros(unix_micros(timestamp(o_orderdate))"
+            " + (o_orderkey % 86400) * 1000000 + (o_orderkey % 1000) * 1000) AS timestamp",
         )
     )
 
 
 def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base_votes`` with every tenth vote repeated."""
-    key = F.col("o_orderkey")
-    copies = F.when(key % 10 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return (
-        base_votes(spark, sf_dir)
-        .withColumn("_copy", F.explode(copies))
-        .drop("_copy")
-    )
+    copies = F.expr("explode(sequence(1, CASE WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END))").alias("_copy")
+    return base_votes(spark, sf_dir).select("*", copies).drop("_copy")
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +62,12 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seats_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seats per province: none for nation 23, no entry for nation 24."""
-    key = F.col("n_nationkey")
     return (
         table(spark, sf_dir, "nation")
-        .filter(key != 24)
-        .select(
-            F.col("n_name").alias("province_name"),
-            F.when(key == 23, 0).otherwise(1 + key % 12).cast("bigint").alias("total_seats"),
+        .filter("n_nationkey <> 24")
+        .selectExpr(
+            "n_name AS province_name",
+            "bigint(CASE WHEN n_nationkey = 23 THEN 0 ELSE 1 + n_nationkey % 12 END) AS total_seats",
         )
     )
 
@@ -90,88 +75,70 @@ def seats_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def provincias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provinces as the relational source stores them: one per nation, with its customers
     as population. Nation 24 names a region that does not exist."""
-    key = F.col("n_nationkey")
-    people = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("habitantes"))
-    return (
-        table(spark, sf_dir, "nation")
-        .join(people, key == F.col("c_nationkey"), "left")
-        .select(
-            key.cast("bigint").alias("id"),
-            province_code(key).alias("codigo_provincia"),
-            F.col("n_name").alias("nombre"),
-            F.lower("n_name").alias("nombre_alternativo"),
-            F.when(key == 24, "99").otherwise(_number(F.col("n_regionkey"))).alias("codigo_comunidad"),
-            F.when(key == 23, 0).otherwise(1 + key % 12).cast("bigint").alias("total_diputados"),
-            (36 + key / 4.0).alias("latitud"),
-            (key / 4.0 - 9).alias("longitud"),
-            F.coalesce("habitantes", F.lit(0)).cast("bigint").alias("habitantes"),
-            F.concat(F.lit("ES-"), _number(key)).alias("iso_3166_2_prov"),
-        )
+    people = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("people"))
+    nation = table(spark, sf_dir, "nation")
+    return nation.join(people, F.col("n_nationkey") == F.col("c_nationkey"), "left").selectExpr(
+        "bigint(n_nationkey) AS id",
+        "lpad(n_nationkey, 2, '0') AS codigo_provincia",
+        "n_name AS nombre",
+        "lower(n_name) AS nombre_alternativo",
+        "CASE WHEN n_nationkey = 24 THEN '99' ELSE string(n_regionkey) END AS codigo_comunidad",
+        "bigint(CASE WHEN n_nationkey = 23 THEN 0 ELSE 1 + n_nationkey % 12 END) AS total_diputados",
+        "36 + double(n_nationkey) / 4 AS latitud",
+        "double(n_nationkey) / 4 - 9 AS longitud",
+        "coalesce(people, 0L) AS habitantes",
+        "concat('ES-', n_nationkey) AS iso_3166_2_prov",
     )
 
 
 def comunidades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions as the relational source stores them, and one more without provinces."""
     regions = table(spark, sf_dir, "region")
-    extra = regions.agg((F.max("r_regionkey") + 1).alias("r_regionkey")).withColumn("r_name", F.lit("NO PROVINCES"))
-    key = F.col("r_regionkey")
-    return regions.unionByName(extra).select(
-        _number(key).alias("codigo_comunidad"),
-        F.col("r_name").alias("nombre"),
-        F.lower("r_name").alias("nombre_alternativo"),
-        (4 + key).cast("bigint").alias("numero_senadores"),
-        F.concat(F.lit("ES-R"), _number(key)).alias("iso_3166_2_ccaa"),
+    extra = regions.selectExpr("max(r_regionkey) + 1 AS r_regionkey", "'NO PROVINCES' AS r_name")
+    return regions.unionByName(extra).selectExpr(
+        "string(r_regionkey) AS codigo_comunidad",
+        "r_name AS nombre",
+        "lower(r_name) AS nombre_alternativo",
+        "bigint(4 + r_regionkey) AS numero_senadores",
+        "concat('ES-R', r_regionkey) AS iso_3166_2_ccaa",
     )
 
 
-def province_code(key: Column) -> Column:
-    return F.lpad(_number(key), 2, "0")
-
-
-def _point(key: Column, index: int) -> Column:
+def _point(key: str, index: int) -> str:
     """[lon, lat] of one of a record's points; longitudes lie around the zero meridian."""
-    lon = ((key * 7 + index * 13) % 2001 - 1000) / 100000.0
-    lat = (3600 + (key * 11 + index * 17) % 700) / 100.0
-    return F.array(lon, lat)
+    lon = f"double(({key} * 7 + {index * 13}) % 2001 - 1000) / 100000"
+    lat = f"double(3600 + ({key} * 11 + {index * 17}) % 700) / 100"
+    return f"array({lon}, {lat})"
 
 
-def _line(key: Column, *indexes: int) -> Column:
-    return F.array(*(_point(key, index) for index in indexes))
+def _line(key: str, *indexes: int) -> str:
+    return f"array({', '.join(_point(key, index) for index in indexes)})"
 
 
-def _geometry(kind: str, coordinates: Column) -> Column:
-    return F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), F.to_json(coordinates), F.lit("}"))
+def _geometry(kind: str, coordinates: str) -> str:
+    """JSON text of a geometry."""
+    return f"""concat('{{"type":"{kind}","coordinates":', to_json({coordinates}), '}}')"""
 
 
 def municipality_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON records of municipalities, one per customer, with shapes of several types."""
-    key = F.col("c_custkey")
-    polygon = _geometry("Polygon", F.array(_line(key, 0, 1, 2, 0)))
-    with_hole = _geometry("Polygon", F.array(_line(key, 0, 2, 3, 0), _line(key, 1, 2, 1)))
+    key = "c_custkey"
+    polygon = _geometry("Polygon", f"array({_line(key, 0, 1, 2, 0)})")
     several = _geometry(
-        "MultiPolygon",
-        F.array(F.array(_line(key, 0, 1, 2, 0)), F.array(_line(key, 1, 2, 3, 1), _line(key, 3, 0, 3))),
+        "MultiPolygon", f"array(array({_line(key, 0, 1, 2, 0)}), array({_line(key, 1, 2, 3, 1)}, {_line(key, 3, 0, 3)}))"
     )
     other = _geometry("Point", _point(key, 0))
-    geometry = F.when(key % 5 == 0, polygon).when(key % 5 == 1, several).when(key % 5 == 2, other)
-    geometry = geometry.when(key % 5 == 4, with_hole)
-    shape = F.concat(F.lit('{"geometry":'), geometry, F.lit("}"))
-    center = F.struct(F.get(_point(key, 0), F.lit(1)).alias("lat"), F.get(_point(key, 0), F.lit(0)).alias("lon"))
+    with_hole = _geometry("Polygon", f"array({_line(key, 0, 2, 3, 0)}, {_line(key, 1, 2, 1)})")
+    center = f"to_json(named_struct('lat', {_point(key, 0)}[1], 'lon', {_point(key, 0)}[0]))"
     return (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.concat(
-                F.lit('{"prov_code":"'),
-                province_code(F.col("n_nationkey")),
-                F.lit('","prov_name":"'),
-                F.col("n_name"),
-                F.lit('","geo_point_2d":'),
-                F.when(key % 7 == 0, "null").otherwise(F.to_json(center)),
-                F.lit(',"geo_shape":'),
-                F.coalesce(shape, F.lit("null")),
-                F.lit("}"),
-            ).alias("value")
+        .selectExpr(
+            f"""concat('{{"prov_code":"', lpad(n_nationkey, 2, '0'), '","prov_name":"', n_name,
+                '","geo_point_2d":', CASE WHEN {key} % 7 = 0 THEN 'null' ELSE {center} END,
+                ',"geo_shape":', CASE WHEN {key} % 5 = 3 THEN 'null' ELSE concat('{{"geometry":',
+                    CASE {key} % 5 WHEN 0 THEN {polygon} WHEN 1 THEN {several} WHEN 2 THEN {other}
+                                   ELSE {with_hole} END, '}}') END, '}}') AS value"""
         )
     )
 
@@ -183,27 +150,20 @@ def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Street features, one per supplier, in a file per nation."""
-    key = F.col("s_suppkey")
+    key = "s_suppkey"
     line = _geometry("LineString", _line(key, 0, 1, 2))
-    lines = _geometry("MultiLineString", F.array(_line(key, 0, 1), _line(key, 2, 3)))
+    lines = _geometry("MultiLineString", f"array({_line(key, 0, 1)}, {_line(key, 2, 3)})")
     other = _geometry("Point", _point(key, 0))
-    geometry = F.when(key % 3 == 0, line).when(key % 3 == 1, lines).otherwise(other)
-    collection = F.concat(F.lit('{"features":[{"geometry":'), geometry, F.lit("}]}"))
-    return table(spark, sf_dir, "supplier").select(
-        _city_file(F.col("s_nationkey")).alias("file_name"),
-        F.from_json(collection, STREETS)["features"].alias("features"),
+    collection = f"""concat('{{"features":[{{"geometry":',
+        CASE {key} % 3 WHEN 0 THEN {line} WHEN 1 THEN {lines} ELSE {other} END, '}}]}}')"""
+    return (
+        table(spark, sf_dir, "supplier")
+        .selectExpr("concat('city_', s_nationkey, '.json') AS file_name", f"{collection} AS value")
+        .select("file_name", F.from_json("value", STREETS)["features"].alias("features"))
     )
 
 
 def street_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities with a street file: every nation but each third."""
-    key = F.col("n_nationkey")
-    return (
-        table(spark, sf_dir, "nation")
-        .filter(key % 3 != 0)
-        .select(F.col("n_name").alias("prov_name"), _city_file(key).alias("file_name"))
-    )
-
-
-def _city_file(key: Column) -> Column:
-    return F.concat(F.lit("city_"), _number(key), F.lit(".json"))
+    nation = table(spark, sf_dir, "nation").filter("n_nationkey % 3 <> 0")
+    return nation.selectExpr("n_name AS prov_name", "concat('city_', n_nationkey, '.json') AS file_name")

@@ -346,8 +346,8 @@ def coordinates_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def coordinate_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = fixture.province_code(F.regexp_extract("province_iso_code", r"(\d+)$", 1))
-    ids = fixture.base_votes(spark, sf_dir).select("id", code.alias("prov_code"))
+    code = "lpad(regexp_extract(province_iso_code, '[0-9]+$', 0), 2, '0') AS prov_code"
+    ids = fixture.base_votes(spark, sf_dir).selectExpr("id", code)
     return sampling.coordinate_pick(ids, "id", _points(spark, sf_dir), strict=False)
 
 

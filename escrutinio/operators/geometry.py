@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from escrutinio.functions.geo import coordinate_text
+from escrutinio.operators.materialize import materialize
 from escrutinio.operators.positions import weighted_ranges
 
 _POINT = "array<string>"
@@ -78,7 +79,8 @@ def build_coordinates(
     points = _municipality_points(municipalities)
     if streets is not None and mapping is not None:
         names = municipalities.groupBy("prov_code").agg(F.max("prov_name").alias("prov_name"))
-        files = names.join(mapping, "prov_name").select("prov_code", "file_name")
+        # Written first: its true size lets Spark broadcast it instead of shuffling points by file.
+        files = materialize(names.join(mapping, "prov_name").select("prov_code", "file_name"), "city-files")
         points = points.unionByName(files.join(_street_points(streets), "file_name").select("prov_code", "point"))
     return _as_text(points)
 

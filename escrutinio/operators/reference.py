@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from escrutinio.operators.joins import broadcast_if_small
 from escrutinio.operators.positions import chunked_lists
 
 # Column names of the relational source tables.
@@ -117,14 +118,18 @@ def province_lookup_table(regions: DataFrame, provinces: DataFrame) -> DataFrame
 
 
 def province_lookup(votes: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Add the region of each vote's province; NULL where the province is unknown."""
+    """Add the region of each vote's province; NULL where the province is unknown.
+
+    The lookup is broadcast once its size is known to be small, so votes are not shuffled
+    by a province that may hold a large share of them.
+    """
     names = lookup.select(
         "province_name",
         F.col("region_name").alias("autonomic_region_name"),
         F.col("region_iso_code").alias("autonomic_region_iso_code"),
     )
     kept = votes.drop("autonomic_region_name", "autonomic_region_iso_code")
-    return kept.join(names, "province_name", "left")
+    return kept.join(broadcast_if_small(names), "province_name", "left")
 
 
 def population_weights(provinces: DataFrame, scale: int = 1000) -> DataFrame:

@@ -52,9 +52,14 @@ def valid_votes(votes: DataFrame, threshold: float = THRESHOLD, blank: str = BLA
 def join_seats(valid: DataFrame, seats_reference: DataFrame) -> DataFrame:
     """Attach the seats of the province; provinces that are not in the reference drop out.
 
-    No broadcast hint: Spark broadcasts the reference when its size allows.
+    No broadcast hint: Spark broadcasts the reference when its size allows. A plain
+    equality would push "province is not NULL" below the count on one side of the join
+    with the totals only, and the votes would be counted twice; hence the null-safe one.
     """
-    return valid.join(seats_reference.select("province_name", "total_seats"), "province_name")
+    seats = seats_reference.filter(F.col("province_name").isNotNull()).select(
+        F.col("province_name").alias("_seats_province"), "total_seats"
+    )
+    return valid.join(seats, F.col("province_name").eqNullSafe(F.col("_seats_province"))).drop("_seats_province")
 
 
 def dhondt_quotients(with_seats: DataFrame) -> DataFrame:

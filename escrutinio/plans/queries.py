@@ -175,8 +175,11 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def seats_with_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    winners = seats.dhondt_winners(seats.seat_ranking(seats.dhondt_quotients(_joined(spark, sf_dir))))
-    return seats.seats_with_zero(seats.candidates(_valid(spark, sf_dir)), winners)
+    """The allocation step by step; the counts are used on both sides of its last join."""
+    valid = seats.valid_votes(materialize(_counts(spark, sf_dir), "counts"))
+    joined = seats.join_seats(valid, fixture.seats_reference(spark, sf_dir))
+    winners = seats.dhondt_winners(seats.seat_ranking(seats.dhondt_quotients(joined)))
+    return seats.seats_with_zero(seats.candidates(valid), winners)
 
 
 @query

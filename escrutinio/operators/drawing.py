@@ -1,0 +1,52 @@
+"""Synthetic votes for a set of ids, as one job instead of one vote at a time."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from escrutinio.operators.joins import broadcast_if_small
+from escrutinio.operators.reference import (
+    population_weights,
+    province_lookup,
+    province_lookup_table,
+    provinces_with_region,
+)
+from escrutinio.operators.sampling import BLANK_VOTE_PROBABILITY, bernoulli_flag, coordinate_pick, weighted_draw
+
+
+def draw_votes(
+    ids: DataFrame,
+    regions: DataFrame,
+    provinces: DataFrame,
+    parties: DataFrame,
+    points: DataFrame,
+    blank_probability: float = BLANK_VOTE_PROBABILITY,
+    strict: bool = True,
+    seed: int = 0,
+) -> DataFrame:
+    """A vote for each row of ``ids`` (``id``, ``timestamp``).
+
+    The province is drawn by population, the party by popularity unless the vote is blank,
+    the location from the province's coordinates. The same ids and seed give the same
+    votes, in any partitioning.
+    """
+    known = provinces_with_region(regions, provinces)
+    by_population = population_weights(known.select(F.col("id").alias("province_id"), "population"))
+    placed = weighted_draw(ids, "id", by_population, "province_id", "weight", "_province", seed)
+    details = known.select(
+        F.col("id").alias("_province"), "province_name", "province_iso_code", F.col("province_code").alias("prov_code")
+    )
+    placed = placed.join(broadcast_if_small(details), "_province").drop("_province")
+    located = coordinate_pick(placed, "id", points, strict, seed)
+    flagged = bernoulli_flag(located, "id", "blank_vote", blank_probability, seed)
+    voted = weighted_draw(flagged, "id", parties, "name", "popularity", "political_party", seed)
+    return province_lookup(voted, province_lookup_table(regions, provinces)).select(
+        F.col("id").cast("string").alias("id"),
+        "blank_vote",
+        F.when(~F.col("blank_vote"), F.col("political_party")).alias("political_party"),
+        "province_name",
+        "province_iso_code",
+        "autonomic_region_name",
+        "autonomic_region_iso_code",
+        "location",
+        "timestamp",
+    )

@@ -175,8 +175,8 @@ def _ranges(item: str, weight: str, table: str) -> str:
       FROM (SELECT {item}, sum({weight}) AS w FROM {table} GROUP BY 1) a) b)"""
 
 
-def _draw(source: str, purpose: str, ranges: str) -> str:
-    return f"""SELECT s.*, r.item AS {purpose}
+def _draw(source: str, purpose: str, ranges: str, name: str = "") -> str:
+    return f"""SELECT s.*, r.item AS {name or purpose}
     FROM (SELECT *, {_uniform("id", purpose)} AS u FROM {source}) s
     JOIN {ranges} r ON u * total >= lo AND u * total < hi"""
 
@@ -276,6 +276,28 @@ def oracle_sql() -> dict[str, str]:
               ({_draw("first_draw", "province", _ranges("province_name", "weight", "weights"))}) d""",
         "bernoulli_flag": f"""WITH {_IDS}
             SELECT id, {_uniform("id", "blank_vote")} < cast(0.01 AS double) AS blank_vote FROM ids""",
+        "draw_votes": f"""WITH {_IDS}, {_REFERENCE}, {_COORDINATES}, parties(name, popularity) AS (VALUES {_PARTY_VALUES}),
+            known AS (SELECT * FROM provinces JOIN regions USING (region_code)),
+            known_weights AS (
+              SELECT cast(id AS varchar) AS item, greatest(1, cast(trunc(
+                       cast(population AS double) / (SELECT sum(population) FROM known) * 1000) AS bigint)) AS w
+              FROM known),
+            placed AS (SELECT id, item AS province FROM ({_draw("ids", "_province", _ranges("item", "w", "known_weights"), "item")}) d),
+            voted AS (SELECT id, party FROM
+              ({_draw("ids", "political_party", _ranges("name", "popularity", "parties"), "party")}) d),
+            sizes AS (SELECT DISTINCT prov_code, total FROM numbered),
+            spots AS (SELECT placed.id, province_name, province_iso_code, region_name, region_iso_code, province_code,
+                             cast(floor({_uniform("placed.id", "location")} * total) AS bigint) AS spot
+                      FROM placed JOIN known ON province = cast(known.id AS varchar)
+                      LEFT JOIN sizes ON province_code = prov_code),
+            flags AS (SELECT id, {_uniform("id", "blank_vote")} < cast(0.01 AS double) AS blank_vote FROM ids)
+            SELECT cast(s.id AS varchar) AS id, blank_vote, CASE WHEN NOT blank_vote THEN party END AS political_party,
+                   province_name, province_iso_code, region_name AS autonomic_region_name,
+                   region_iso_code AS autonomic_region_iso_code, coordinate AS location,
+                   strftime(cast(o_orderdate AS timestamp), '%Y-%m-%d %H:%M:%S.%f') AS "timestamp"
+            FROM spots s JOIN flags ON s.id = flags.id JOIN voted ON s.id = voted.id
+            JOIN orders ON s.id = o_orderkey
+            LEFT JOIN numbered ON province_code = prov_code AND spot = position""",
         "stream_bronze": f"WITH {_RAW} {_PARSED}",
         "stream_silver": f"WITH {_RAW} {_CLEAN}",
         "stream_clean": f"WITH {_RAW} {_MESSAGES}",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from escrutinio.functions.geo import parse_geo_point
 from escrutinio.functions.keys import keyword, vote_doc_id
 from escrutinio.functions.timestamps import parse_timestamp
-from escrutinio.operators import geometry, reference, sampling, seats, votes
+from escrutinio.operators import drawing, geometry, reference, sampling, seats, votes
 from escrutinio.operators.materialize import materialize
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.plans import fixture
@@ -372,6 +372,17 @@ def bernoulli_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.bernoulli_flag(ids, "id", "blank_vote")
 
 
+@query
+def draw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A synthetic vote for each order."""
+    ids = fixture.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "timestamp(o_orderdate) AS timestamp"
+    )
+    parties = reference.political_parties(spark)
+    drawn = drawing.draw_votes(ids, *_reference(spark, sf_dir), parties, _points(spark, sf_dir), strict=False)
+    return drawn.select(*VOTE_FIELDS, _time_text())
+
+
 # Streams
 
 

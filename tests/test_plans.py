@@ -9,15 +9,14 @@ from escrutinio.operators import votes as V
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = spark_entry.queries()
-EAGER = {"seats_with_zero", "upsert_delete", "geometry_flatten", "coordinates_by_province", "coordinates_load", "coordinate_pick", "weighted_draw", "party_weights"}
-LAZY = [name for name in QUERIES if name not in EAGER and not name.startswith("stream_")]
+QUERIES_WITHOUT_STREAMS = [name for name in QUERIES if not name.startswith("stream_")]
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", LAZY)
+@pytest.mark.parametrize("name", QUERIES_WITHOUT_STREAMS)
 def test_no_cross_join_no_python_no_nested_loop(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas", plan)

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from escrutinio.operators.drawing import draw_votes
 from escrutinio.operators.positions import chunked_lists, pick, weighted_ranges
 from escrutinio.operators.sampling import bernoulli_flag, coordinate_pick, weighted_draw
 
@@ -115,3 +116,30 @@ def test_chunked_lists_keep_all_values_and_order(spark):
     assert all(r["ids"] == sorted(r["ids"]) for r in lists)
     assert {r["chunk"] for r in lists if r["g"] == "hot"} == set(range(7))
     assert {r["chunk"] for r in lists if r["g"] != "hot"} == {0}
+
+
+def test_draw_votes(spark):
+    regions = spark.createDataFrame(
+        [("r1", "One", None, 4, "ES-1")],
+        "region_code string, region_name string, region_alternative_name string, senators bigint, region_iso_code string",
+    )
+    provinces = spark.createDataFrame(
+        [(1, "01", "Alfa", "r1", 750, "ES-A"), (2, "02", "Beta", "r1", 250, "ES-B"), (3, "03", "Orphan", "x", 900, "")],
+        "id bigint, province_code string, province_name string, region_code string, population bigint,"
+        " province_iso_code string",
+    )
+    parties = spark.createDataFrame([("A", 1), ("B", 3)], "name string, popularity bigint")
+    points = spark.createDataFrame([("01", "1.0,1.0"), ("02", "2.0,2.0")], "prov_code string, coordinate string")
+    ids = spark.range(4000).select("id", F.lit("2026-01-01").cast("timestamp").alias("timestamp"))
+    rows = draw_votes(ids, regions, provinces, parties, points, blank_probability=0.1).collect()
+    assert len({r["id"] for r in rows}) == 4000
+    assert {(r["province_name"], r["province_iso_code"], r["location"]) for r in rows} == {
+        ("Alfa", "ES-A", "1.0,1.0"),
+        ("Beta", "ES-B", "2.0,2.0"),
+    }
+    assert {(r["autonomic_region_name"], r["autonomic_region_iso_code"]) for r in rows} == {("One", "ES-1")}
+    assert all((r["political_party"] is None) == r["blank_vote"] for r in rows)
+    shares = Counter(r["province_name"] for r in rows), Counter(r["political_party"] for r in rows)
+    assert math.isclose(shares[0]["Alfa"] / 4000, 0.75, abs_tol=0.03)
+    assert math.isclose(shares[1][None] / 4000, 0.1, abs_tol=0.02)
+    assert math.isclose(shares[1]["B"] / 4000, 0.675, abs_tol=0.03)

@@ -18,7 +18,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def configure_state(spark: SparkSession) -> SparkSession:
     """Keep streaming state in RocksDB (off heap, incremental uploads) unless a provider was chosen."""
     configure(spark)
-    if "RocksDB" not in (spark.conf.get(_STATE_PROVIDER, "") or ""):
+    if not spark.conf.get(_STATE_PROVIDER, ""):
         spark.conf.set(_STATE_PROVIDER, ROCKSDB)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark

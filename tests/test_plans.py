@@ -9,19 +9,12 @@ from escrutinio.operators import votes as V
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = spark_entry.queries()
-QUERIES_WITHOUT_STREAMS = [name for name in QUERIES if not name.startswith("stream_")]
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", QUERIES_WITHOUT_STREAMS)
-def test_no_cross_join_no_python_no_nested_loop(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas", plan)
-
-
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(QUERIES["dhondt_seats"](spark, SF_DIR))
     schemas = set(re.findall(r"ReadSchema: (\S+)", plan))

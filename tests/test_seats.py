@@ -101,20 +101,24 @@ class TestBothMethods:
         assert allocate(spark, rows, [("P", 3)]) == {("R", "P", "A"): 2, ("S", "P", "A"): 1}
 
 
-_NAMES = st.sampled_from(["A", "B", "C", "D", "E", "F", "BLANK", None])
-_ROWS = st.dictionaries(
-    st.tuples(st.sampled_from(["R", "S", None]), st.sampled_from(["P", "Q", None]), _NAMES),
-    st.integers(1, 30),
-    min_size=1,
-    max_size=25,
+# A contest: votes by region and party, and the seats; each becomes a province.
+_CONTEST = st.tuples(
+    st.dictionaries(
+        st.tuples(st.sampled_from(["R", "S", None]), st.sampled_from(["A", "B", "C", "D", "E", "F", "BLANK", None])),
+        st.integers(1, 30),
+        min_size=1,
+        max_size=12,
+    ),
+    st.integers(0, 40),
 )
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(votes=_ROWS, p=st.integers(0, 12), q=st.integers(0, 40), threshold=st.sampled_from([0.0, 0.03, 0.2]))
-def test_same_as_brute_force(spark, votes, p, q, threshold):
-    rows = [(*key, count) for key, count in votes.items()]
-    seats = [("P", p), ("Q", q)]
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(contests=st.lists(_CONTEST, min_size=20, max_size=60), threshold=st.sampled_from([0.0, 0.03, 0.2]))
+def test_same_as_brute_force(spark, contests, threshold):
+    names = [f"P{i}" if i else None for i in range(len(contests))]
+    rows = [(r, name, p, n) for name, (votes, _) in zip(names, contests) for (r, p), n in votes.items()]
+    seats = [(name, n) for name, (_, n) in zip(names, contests) if name is not None]
     expected = brute_force(rows, seats, threshold)
     assert allocation(spark, rows, seats, threshold=threshold) == expected
     assert stepwise(spark, rows, seats, threshold) == expected

@@ -59,20 +59,22 @@ def dedup_stream(votes: DataFrame, salts: int = 8, within: str | None = None) ->
     lets at most one copy per salt reach the second, exact one. It doubles the state:
     use 1 where producers rarely repeat an id.
 
-    ``within`` (for example ``"2 days"``) drops state older than the watermark of
-    ``timestamp``; a copy that arrives later than that is counted again. Without it the
-    state grows for as long as the stream runs.
+    ``within`` (for example ``"2 days"``) forgets an id that long after its arrival; a copy
+    that comes later is counted again. It goes by the time of arrival, not by the vote's
+    own: no vote is ever too late to be counted. Without it the state grows for as long as
+    the stream runs.
     """
+    columns = votes.columns
     if within is not None:
-        return votes.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["id"])
+        votes = votes.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+
+    def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.dropDuplicates(keys) if within is None else df.dropDuplicatesWithinWatermark(keys)
+
     if salts > 1:
         # The partition index is fixed within a micro-batch, so a retried task salts alike.
-        votes = (
-            votes.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-            .dropDuplicates(["id", "_salt"])
-            .drop("_salt")
-        )
-    return votes.dropDuplicates(["id"])
+        votes = dedup(votes.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))), ["id", "_salt"])
+    return dedup(votes, ["id"]).select(*columns)
 
 
 def normalized_party() -> Column:

@@ -134,7 +134,7 @@ def test_an_empty_micro_batch_is_skipped(spark, lake, reference):
     assert versions(spark, lake.seats) == []
 
 
-@pytest.mark.parametrize("options", [{"salts": 1}, {"within": "2 hours"}])
+@pytest.mark.parametrize("options", [{"salts": 1}, {"within": "2 hours"}, {"salts": 1, "within": "2 hours"}])
 def test_dedup_options(spark, source, lake, options):
     source.add(*(vote(i) for i in range(50)))
     source.add(*(vote(i) for i in range(40, 60)), *(vote(3) for _ in range(20)))
@@ -145,6 +145,20 @@ def test_dedup_options(spark, source, lake, options):
     assert sorted(ids) == sorted(f"v{i}" for i in range(60))
 
 
+def test_no_vote_is_too_late(spark, source, lake):
+    """Bounded state: votes of long ago, or without a time, still count once."""
+    old = vote(1).replace("2026-01-01", "1999-01-01")
+    source.add(*(vote(i) for i in range(10, 20)))
+    source.add(old, old, vote(2).replace('"2026-01-01T00:00:02.123456"', "null"), vote(12))
+    for _ in range(2):
+        once = L.Trigger(available_now=True, max_files=1)
+        L.start_bronze(file_stream(spark, str(source.folder), 1), lake, once).awaitTermination()
+        L.start_silver(spark, lake, once, within="1 hour").awaitTermination()
+        source.add(old, vote(3).replace("2026-01-01", "1998-01-01"))
+    ids = [r["id"] for r in spark.read.parquet(lake.silver).collect()]
+    assert sorted(ids) == sorted(["v1", "v2", "v3", *(f"v{i}" for i in range(10, 20))])
+
+
 def test_all_queries_run_together(spark, source, lake, reference):
     source.add(*(vote(i) for i in range(60)))
     queries = L.run_lake(

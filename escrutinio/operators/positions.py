@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from escrutinio.operators.joins import broadcast_if_small
 from escrutinio.operators.materialize import materialize
@@ -22,25 +23,31 @@ def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Col
 
     Copies of an item add up. Items follow each other by the md5 of their text. Adds
     ``total``, the weight of the group, and ``items``, its number of items; items without
-    a positive weight drop out.
+    a positive weight drop out. Fractional weights are rounded to nine decimals and summed
+    exactly, so that neighbouring ranges meet.
     """
+    fractional = isinstance(df.select(weight).schema[0].dataType, FractionalType)
+    exact = "decimal(28,9)" if fractional else "bigint"
+    weight = weight.cast("decimal(18,9)" if fractional else "bigint")
     digest = F.md5(F.col(item).cast("string"))
     items = (
         df.filter(weight > 0)
         .groupBy(*groups, item)
-        .agg(F.sum(weight).alias("weight"))
+        .agg(F.sum(weight).cast(exact).alias("weight"))
         .withColumn("_digest", digest)
         .withColumn("_bucket", F.substring("_digest", 1, 2))
     )
     # The constant stands for "no groups": the window below then sees at most 256 rows.
     whole = [*groups, F.lit(1)]
-    buckets = items.groupBy(*groups, "_bucket").agg(F.sum("weight").alias("_sum"), F.count("*").alias("_count"))
+    buckets = items.groupBy(*groups, "_bucket").agg(
+        F.sum("weight").cast(exact).alias("_sum"), F.count("*").alias("_count")
+    )
     before = Window.partitionBy(*whole).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select(
         *(F.col(g).alias(f"_g_{g}") for g in groups),
         F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_sum").over(Window.partitionBy(*whole)).alias("total"),
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(exact).alias("_offset"),
+        F.sum("_sum").over(Window.partitionBy(*whole)).cast(exact).alias("total"),
         F.sum("_count").over(Window.partitionBy(*whole)).alias("items"),
     )
     same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups] + [F.col("_bucket") == F.col("_b")]
@@ -50,10 +57,11 @@ def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Col
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        items.withColumn("_running", F.sum("weight").over(inside))
+        items.withColumn("_running", F.sum("weight").over(inside).cast(exact))
         .join(offsets, same)
-        .withColumn("hi", F.col("_offset") + F.col("_running"))
-        .select(*groups, item, "weight", (F.col("hi") - F.col("weight")).alias("lo"), "hi", "total", "items")
+        .withColumn("hi", (F.col("_offset") + F.col("_running")).cast(exact))
+        .withColumn("lo", (F.col("hi") - F.col("weight")).cast(exact))
+        .select(*groups, item, "weight", "lo", "hi", "total", "items")
     )
 
 
@@ -98,8 +106,10 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
         placed = df.withColumn("_total", binned.agg(F.max("_total")).scalar()).withColumn(
             "_items", binned.agg(F.max("_items")).scalar()
         )
+    # Rows of an unknown group match nothing; they get a bin all the same, to be spread too.
+    spread = F.floor(number * _MIN_BINS).cast("bigint")
     placed = placed.withColumn("_position", number * F.col("_total")).withColumn(
-        "_bin", bin_of(F.col("_position"), F.col("_total"), F.col("_items"))
+        "_bin", F.coalesce(bin_of(F.col("_position"), F.col("_total"), F.col("_items")), spread)
     )
     inside = [
         *same,

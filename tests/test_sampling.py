@@ -69,6 +69,17 @@ def test_pick_equals_brute_force(spark, threshold):
             assert row["out"] is None
 
 
+def test_fractional_ranges_meet(spark):
+    weights = spark.range(2000).selectExpr("concat('n', id) AS item", "1.0D / (id + 3) AS w")
+    ranges = sorted(
+        (r["lo"], r["hi"], r["total"]) for r in weighted_ranges(weights, [], "item", F.col("w")).collect()
+    )
+    assert ranges[0][0] == 0 and ranges[-1][1] == ranges[-1][2]
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    drawn = weighted_draw(spark.range(20_000), "id", weights, "item", "w", "out")
+    assert drawn.filter("out IS NULL").count() == 0
+
+
 def test_weighted_draw_follows_the_weights(spark):
     weights = spark.createDataFrame([("A", 1.5), ("B", 3.0), ("C", 0.0), ("D", 5.5)], "name string, w double")
     drawn = weighted_draw(spark.range(20_000), "id", weights, "name", "w", "party")

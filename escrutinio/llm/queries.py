@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from escrutinio.llm import curve_packing, exact_dedup, line_dedup, simple8b
+from escrutinio.llm import curve_packing, exact_dedup, line_dedup, simple8b, substring_dedup
 from escrutinio.llm.common import documents, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,9 @@ def op3_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(documents(spark, sf_dir))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from escrutinio.llm import curve_packing, exact_dedup, line_dedup, simple8b, substring_dedup
+from escrutinio.llm import curve_packing, exact_dedup, line_dedup, near_dedup, simple8b, substring_dedup
 from escrutinio.llm.common import documents, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.mark(documents(spark, sf_dir), size=4)

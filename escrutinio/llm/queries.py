@@ -7,8 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from escrutinio.llm import curve_packing, exact_dedup, line_dedup, near_dedup, simple8b, substring_dedup
-from escrutinio.llm.common import documents, ship
+from escrutinio.llm import (
+    curve_packing,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    near_dedup,
+    simple8b,
+    substring_dedup,
+    toxicity,
+)
+from escrutinio.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
@@ -63,3 +72,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.mark(documents(spark, sf_dir), size=4)
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.learn(docs))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))

@@ -9,9 +9,9 @@ are the words of at least one in ``1 / VOCABULARY_SHARE`` labelled documents (an
 are left to the backoff. Both bounds are shares, so the model's size depends on the
 documents' length and not on their number.
 
-A document has two length-normalised comparisons of the likelihoods, toxic against
-ordinary: over the whole text, and over the most toxic ``SPAN`` words in a row, which a long
-text does not dilute. A logistic function of both, fitted on the labelled rows of one fold
+A document has length-normalised comparisons of the likelihoods, toxic against ordinary:
+over the whole text, and over its most toxic stretches of ``SPANS`` words, which a long
+text does not dilute. A logistic function of them, fitted on the labelled rows of one fold
 (remainder 3, at most ``CALIBRATION`` of them; the models are counted on the others), gives
 the score.
 
@@ -36,7 +36,7 @@ from escrutinio.operators.joins import broadcast_if_small
 VOCABULARY_SHARE = 1 / 4000
 BIGRAM_SHARE = 1e-6
 LEAST = 3
-SPAN = 6
+SPANS = (1, 3, 12)
 CALIBRATION = 20_000
 DISCOUNT = 0.75
 CUTOFF = 0.3
@@ -82,7 +82,6 @@ class Model:
     vocabulary: np.ndarray  # sorted word hashes
     keys: np.ndarray  # sorted bigrams as previous * (V + 2) + word
     ratios: np.ndarray  # of these bigrams
-    after: np.ndarray  # ratio of the backoff weights by previous word
     words: np.ndarray  # ratio of the backoff probabilities by word
     logistic: np.ndarray
 
@@ -94,14 +93,14 @@ class Model:
         return np.where(self.vocabulary[at] == hashed, at, len(self.vocabulary))
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """The mean ratio of each text and that of its most toxic span."""
+        """The mean ratio of each text and those of its most toxic spans."""
         hashed, offsets = word_hashes(column)
-        out = np.zeros((len(column), 2))
+        out = np.zeros((len(column), 1 + len(SPANS)))
         if not len(hashed):
             return out
         ids = self.ids(hashed)
         before = previous(ids, offsets, len(self.vocabulary))
-        ratio = self.after[before] + self.words[ids]
+        ratio = self.words[ids]
         if len(self.keys):
             keys = before * (len(self.vocabulary) + 2) + ids
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -110,11 +109,11 @@ class Model:
         counts = np.diff(offsets)
         full = counts > 0
         out[full, 0] = (sums[offsets[1:]] - sums[offsets[:-1]])[full] / counts[full]
-        starts = np.arange(len(ids))
-        stops = np.minimum(starts + SPAN, np.repeat(offsets[1:], counts))
-        # At a text's end the span shrinks, but it is still divided by its full length.
-        spans = (sums[stops] - sums[starts]) / np.minimum(SPAN, np.repeat(counts, counts))
-        out[full, 1] = np.maximum.reduceat(spans, offsets[:-1][full])
+        starts, ends = np.arange(len(ids)), np.repeat(offsets[1:], counts)
+        for k, span in enumerate(SPANS):
+            # Short of the text's end a span is cut, but still divided by its full length.
+            sides = sums[np.minimum(starts + span, ends)] - sums[starts]
+            out[full, k + 1] = np.maximum.reduceat(sides / np.minimum(span, np.repeat(counts, counts)), offsets[:-1][full])
         return out
 
     def scores(self, column: pa.Array) -> np.ndarray:
@@ -160,27 +159,29 @@ def _backoff(continuations: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return kept / total + rest * shared
 
 
-def _ratios(size: int, heads, bigrams) -> tuple[np.ndarray, ...]:
-    """Model arrays from the totals of words (as previous and as next) and the kept bigrams."""
-    counts, kinds, continued, both = (np.zeros((2, size + 2)) for _ in range(4))
+def _ratios(size: int, heads, nexts, kept) -> tuple[np.ndarray, ...]:
+    """Bigram keys, their ratios, and the ratio of the backoff probability of each word."""
+    counts, kinds, mass, continued = (np.zeros((2, size + 2)) for _ in range(4))
     for row in heads:
-        counts[row.toxic, row.before], kinds[row.toxic, row.before] = row.n, row.kinds
-    for row in bigrams[0]:
+        at = row.toxic, row.before
+        counts[at], kinds[at], mass[at] = row.n, row.kinds, row.mass
+    for row in nexts:
         continued[row.toxic, row.word] = row.kinds
     shared = continued.sum(axis=0) + 0.5
     shared /= shared.sum()
     lower = np.stack([_backoff(continued[c], shared) for c in (0, 1)])
-    # The weight of the backoff, after a history that a class has not seen: 1.
-    weight = np.where(counts > 0, DISCOUNT * kinds / np.maximum(counts, 1), 1.0)
-    rows = bigrams[1]
-    before = np.array([r.before for r in rows], dtype=np.int64)
-    word = np.array([r.word for r in rows], dtype=np.int64)
-    seen = np.array([[r.ordinary for r in rows], [r.toxic for r in rows]], dtype=float).reshape(2, -1)
-    p = np.maximum(seen - DISCOUNT, 0) / np.maximum(counts[:, before], 1) + weight[:, before] * lower[:, word]
+    # Both classes back off with the weight that their counts together give.
+    weight = np.minimum(DISCOUNT * kinds.sum(axis=0) / np.maximum(counts.sum(axis=0), 1), 1.0)
+    before = np.array([r.before for r in kept], dtype=np.int64)
+    word = np.array([r.word for r in kept], dtype=np.int64)
+    seen = np.array([[r.ordinary for r in kept], [r.toxic for r in kept]], dtype=float).reshape(2, -1)
+    known = mass[:, before] > 0
+    higher = np.where(known, np.maximum(seen - DISCOUNT, 0) / np.maximum(mass[:, before], DISCOUNT), lower[:, word])
+    p = (1 - weight[before]) * higher + weight[before] * lower[:, word]
     keys = before * (size + 2) + word
     order = np.argsort(keys)
-    logs = np.log(p[1]) - np.log(p[0])
-    return keys[order], logs[order], np.log(weight[1]) - np.log(weight[0]), np.log(lower[1]) - np.log(lower[0])
+    tiny = 1e-12
+    return keys[order], (np.log(p[1] + tiny) - np.log(p[0] + tiny))[order], np.log(lower[1]) - np.log(lower[0])
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     # At most (distinct words of a document) / VOCABULARY_SHARE words.
     vocabulary = np.sort(np.array([r.word for r in words.collect()], dtype=np.int64).view(np.uint64))
     size = len(vocabulary)
-    blank = Model(vocabulary, *(np.zeros(0) for _ in range(2)), np.zeros(size + 2), np.zeros(size + 2), np.zeros(3))
+    blank = Model(vocabulary, *(np.zeros(0) for _ in range(2)), np.zeros(size + 2), np.zeros(0))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, limit=_BLOCK_BYTES):
@@ -218,29 +219,33 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     bigrams = counted.mapInArrow(pairs, "toxic bigint, before bigint, word bigint, n bigint")
     bigrams = written(bigrams.groupBy("toxic", "before", "word").agg(F.sum("n").alias("n")), "toxic-bigrams")
-    heads = bigrams.groupBy("toxic", "before").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    heads = bigrams.groupBy("toxic", "before").agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("kinds"),
+        F.sum(F.greatest(F.col("n") - DISCOUNT, F.lit(0.0))).alias("mass"),
+    )
     nexts = bigrams.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("kinds"))
     total = bigrams.agg(F.sum("n")).first()[0] or 0
     by_class = [F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(name) for c, name in ((0, "ordinary"), (1, "toxic"))]
     kept = bigrams.groupBy("before", "word").agg(*by_class).filter(F.col("ordinary") + F.col("toxic") >= max(LEAST, BIGRAM_SHARE * total))
-    model = Model(vocabulary, *_ratios(size, heads.collect(), (nexts.collect(), kept.collect())), np.zeros(3))
+    model = Model(vocabulary, *_ratios(size, heads.collect(), nexts.collect(), kept.collect()), np.zeros(0))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             found = model.features(block.column("text"))
-            yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["toxic", "mean", "span"])
+            yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(list(found), pa.list_(pa.float64()))], names=["toxic", "found"])
 
     some = rows.filter("fold = 3")
     ids = some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
     some = some.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "toxic")
-    told = some.mapInArrow(features, "toxic int, mean double, span double").limit(CALIBRATION).collect()
+    told = some.mapInArrow(features, "toxic int, found array<double>").limit(CALIBRATION).collect()
     truth = np.array([r.toxic for r in told], dtype=float)
     if len(set(truth)) == 2 and len(classes) == 2:
-        model.logistic = fit_logistic(np.array([[r.mean, r.span] for r in told]), truth)
+        model.logistic = fit_logistic(np.array([r.found for r in told]), truth)
     else:
         n = sum(classes.values())
         share = classes.get(1, 0) / n if n else 0.0
-        model.logistic = np.array([np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9)), 0.0, 0.0])
+        model.logistic = np.array([np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9)), *[0.0] * (1 + len(SPANS))])
     return model
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from escrutinio.llm import (
     curve_packing,
+    decontamination,
     exact_dedup,
     language_id,
     line_dedup,
     near_dedup,
+    pii,
     simple8b,
     substring_dedup,
     toxicity,
@@ -21,6 +23,7 @@ from escrutinio.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
+PII_KEY = "an example key"  # a real one comes from a secret store
 
 _QUERIES: dict[str, Query] = {}
 
@@ -84,3 +87,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
+    counts = [F.element_at("pii", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", "text", *counts)

@@ -207,3 +207,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows_in.mapInArrow(rows, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose language is determined, with their columns."""
+    at = docs.columns.index("text")
+    fields = docs.schema
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            names, _ = model.predict(block.column(at))
+            yield block.filter(pa.array([name != UNDETERMINED for name in names], pa.bool_()))
+
+    return docs.mapInArrow(rows, fields)

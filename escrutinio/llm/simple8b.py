@@ -12,7 +12,7 @@ whole documents, about ``FRAME_IDS`` ids (a longer document has a frame of its o
 Shards are ranges of doc_id in ascending order.
 
 Cases: null and empty texts are the end id alone; rows that repeat a doc_id are documents
-each, in order of their text; rows without doc_id come first. An empty table gives no frame.
+each, in the order of their texts' hashes; rows without doc_id come first. An empty table gives no frame.
 """
 
 from collections.abc import Iterator
@@ -169,7 +169,8 @@ def write(docs: DataFrame, path: str, end_id: int = 2, frame_ids: int = FRAME_ID
             yield full()
 
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ordered = docs.repartitionByRange(shuffles(docs.sparkSession), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", F.xxhash64("text"))  # the sort keys are sampled on the driver, so no text is among them
+    ordered = docs.repartitionByRange(shuffles(docs.sparkSession), *order).sortWithinPartitions(*order)
     return written(ordered.mapInArrow(frames, FRAME), "simple8b")
 
 

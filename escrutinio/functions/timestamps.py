@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 # Fixed values.
 MICROSECOND_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _STRICT_ISO = r"^\d{4}(-\d{2}(-\d{2}(T.*)?)?)?$"
-_EPOCH = r"^-?\d{1,18}$"
+_EPOCH = r"^-?\d{1,15}$"  # years up to 31,000 or so; microseconds of more digits overflow
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from escrutinio.operators.materialize import materialize
 from escrutinio.operators.reference import seats_by_province
+from escrutinio.schemas import THRESHOLD
 from escrutinio.session import configure_state
 from escrutinio.sinks.messages import KafkaSink
 from escrutinio.sources import messages, tables
@@ -29,8 +30,12 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--lake", required=True)
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--seats-interval", default=SEATS_INTERVAL)
-    parser.add_argument("--dedup-within", help="forget vote ids older than this, such as '2 days'")
-    parser.add_argument("--dedup-salts", type=int, default=8, help="tasks that share the copies of one id")
+    parser.add_argument("--dedup-within", help="forget vote ids older than this, such as '2 days'; recommended, the state grows for ever else")
+    parser.add_argument("--dedup-salts", type=int, default=1, help="tasks that share the copies of one id, if ids repeat very often")
+    parser.add_argument("--max-offsets", type=int, default=10_000_000, help="messages of a micro-batch from Kafka")
+    parser.add_argument("--max-files", type=int, default=1000, help="files of a micro-batch")
+    parser.add_argument("--interval", help="how often bronze, silver and clean run; as soon as they can by default")
+    parser.add_argument("--threshold", type=float, default=THRESHOLD, help="share of the votes that a party needs")
     parser.add_argument("--once", action="store_true", help="stop when the source is used up; files only")
     args = parser.parse_args(argv)
     if args.once and args.kafka:
@@ -54,18 +59,20 @@ def main(argv: Sequence[str] | None = None) -> None:
     lake = Lake(args.lake, args.checkpoints)
     reference = seats_reference(spark, args)
     if args.once:
-        source = messages.file_stream(spark, args.source_dir)
-        drain(source, lake, reference, salts=args.dedup_salts, within=args.dedup_within)
+        source = messages.file_stream(spark, args.source_dir, args.max_files)
+        drain(source, lake, reference, args.max_files, args.dedup_salts, args.dedup_within, threshold=args.threshold)
         return
     clean_sink = seats_sink = None
     if args.kafka:
-        source = messages.kafka_stream(spark, args.kafka)
+        source = messages.kafka_stream(spark, args.kafka, maxOffsetsPerTrigger=str(args.max_offsets))
         clean_sink = KafkaSink(args.kafka, messages.TOPIC_VOTES_CLEAN)
         seats_sink = KafkaSink(args.kafka, messages.TOPIC_VOTES_SEATS_PROVINCES)
     else:
-        source = messages.file_stream(spark, args.source_dir)
-    trigger = Trigger(interval=args.seats_interval)
-    await_any(run_lake(source, lake, reference, clean_sink, seats_sink, trigger, args.dedup_salts, args.dedup_within))
+        source = messages.file_stream(spark, args.source_dir, args.max_files)
+    seats_trigger = Trigger(interval=args.seats_interval)
+    layers = Trigger(interval=args.interval, max_files=args.max_files)
+    sinks = clean_sink, seats_sink, seats_trigger
+    await_any(run_lake(source, lake, reference, *sinks, args.dedup_salts, args.dedup_within, layers, args.threshold))
 
 
 if __name__ == "__main__":

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from escrutinio.functions.geo import coordinate_text
-from escrutinio.operators.materialize import materialize
 from escrutinio.operators.positions import weighted_ranges
 
 _POINT = "array<string>"
@@ -51,9 +50,10 @@ def _municipality_points(municipalities: DataFrame) -> DataFrame:
 
 
 def _street_points(streets: DataFrame) -> DataFrame:
-    features = streets.select("file_name", F.explode("features").alias("feature"))
+    kept = [name for name in streets.columns if name != "features"]
+    features = streets.select(*kept, F.explode("features").alias("feature"))
     points = _points(F.col("feature.geometry"), "LineString", "MultiLineString", None)
-    return features.select("file_name", F.explode(points).alias("point"))
+    return features.select(*kept, F.explode(points).alias("point"))
 
 
 def municipality_points(municipalities: DataFrame) -> DataFrame:
@@ -67,21 +67,31 @@ def street_points(streets: DataFrame) -> DataFrame:
 
 
 def build_coordinates(
-    municipalities: DataFrame, streets: DataFrame | None = None, mapping: DataFrame | None = None
+    municipalities: DataFrame,
+    streets: DataFrame | None = None,
+    mapping: DataFrame | None = None,
+    provinces: DataFrame | None = None,
 ) -> DataFrame:
     """Centres, shapes and city streets of each province as (prov_code, coordinate) rows.
 
     The streets are those of the city file that ``mapping`` gives for the ``prov_name``;
-    provinces without a mapping or a file add none. A province code with several names
-    uses one of them, the greatest. Repeated points stay: ring ends repeat, and copies act
-    as weights of a draw.
+    provinces without a mapping or a file add none. Names come from ``provinces``
+    (``province_code``, ``province_name``); without it the municipalities are read a second
+    time for their codes and names, and a code with several names uses the greatest.
+    Repeated points stay: ring ends repeat, and copies act as weights of a draw.
+
+    Files are matched before their features are parsed, so that a file of no province costs
+    nothing more and no point is shuffled by its file.
     """
     points = _municipality_points(municipalities)
     if streets is not None and mapping is not None:
-        names = municipalities.groupBy("prov_code").agg(F.max("prov_name").alias("prov_name"))
-        # Written first: its true size lets Spark broadcast it instead of shuffling points by file.
-        files = materialize(names.join(mapping, "prov_name").select("prov_code", "file_name"), "city-files")
-        points = points.unionByName(files.join(_street_points(streets), "file_name").select("prov_code", "point"))
+        if provinces is None:
+            names = municipalities.groupBy("prov_code").agg(F.max("prov_name").alias("prov_name"))
+        else:
+            names = provinces.select(F.col("province_code").alias("prov_code"), F.col("province_name").alias("prov_name"))
+        files = names.join(mapping, "prov_name").select("prov_code", "file_name")
+        matched = streets.join(files, "file_name").select("prov_code", "features")
+        points = points.unionByName(_street_points(matched))
     return _as_text(points)
 
 

@@ -23,15 +23,20 @@ def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Col
 
     Copies of an item add up. Items follow each other by the md5 of their text. Adds
     ``total``, the weight of the group, and ``items``, its number of items; items without
-    a positive weight drop out. Fractional weights are rounded to nine decimals and summed
-    exactly, so that neighbouring ranges meet.
+    a positive weight and NULL items drop out. Fractional weights are kept to 16 decimals and
+    summed exactly, so that neighbouring ranges meet; a smaller positive weight, or one of
+    10**11 or more, is an error and not lost.
     """
     fractional = isinstance(df.select(weight).schema[0].dataType, FractionalType)
-    exact = "decimal(28,9)" if fractional else "bigint"
-    weight = weight.cast("decimal(18,9)" if fractional else "bigint")
+    exact = "decimal(37,16)" if fractional else "bigint"
+    positive = weight > 0
+    weight = weight.cast("decimal(27,16)" if fractional else "bigint")
+    if fractional:
+        too_small = F.raise_error(F.lit("a positive weight is below 10**-16")).cast("decimal(27,16)")
+        weight = F.when(positive & (weight == 0), too_small).otherwise(weight)
     digest = F.md5(F.col(item).cast("string"))
     items = (
-        df.filter(weight > 0)
+        df.filter(positive & F.col(item).isNotNull())
         .groupBy(*groups, item)
         .agg(F.sum(weight).cast(exact).alias("weight"))
         .withColumn("_digest", digest)
@@ -50,7 +55,9 @@ def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Col
         F.sum("_sum").over(Window.partitionBy(*whole)).cast(exact).alias("total"),
         F.sum("_count").over(Window.partitionBy(*whole)).alias("items"),
     )
-    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups] + [F.col("_bucket") == F.col("_b")]
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    # Plain equality would filter one branch by "item is not NULL" only, and the input be computed twice.
+    same.append(F.col("_bucket").eqNullSafe(F.col("_b")))
     inside = (
         Window.partitionBy(*groups, "_bucket")
         .orderBy("_digest", item)
@@ -74,7 +81,9 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
     of its number, which on average holds no more than two ranges. Rows of an unknown
     group get NULL.
 
-    The binned ranges are written first, being used more than once. ``df`` is shuffled, by
+    Positions are doubles: a group's total of 2**53 or more is an error, as neighbouring
+    ranges could not be told apart. The binned ranges are written first, by a job that runs
+    while the query is built, being used more than once. ``df`` is shuffled, by
     group and bin, only if they are too large for Spark to broadcast.
     """
 
@@ -84,6 +93,8 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
         return F.floor(position * bins / total).cast("bigint")
 
     lo, hi, total, items = (F.col(name).cast("double") for name in ("lo", "hi", "total", "items"))
+    too_large = F.raise_error(F.lit("a total of 2**53 or more cannot be drawn from")).cast("double")
+    total = F.when(total < 2.0**53, total).otherwise(too_large)
     binned = materialize(
         ranges.select(
             *(F.col(g).alias(f"_g_{g}") for g in groups),
@@ -123,20 +134,32 @@ def pick(df: DataFrame, number: Column, ranges: DataFrame, groups: Sequence[str]
 def chunked_lists(
     df: DataFrame, groups: Sequence[str], value: Column, order: str, output: str, chunk_size: int
 ) -> DataFrame:
-    """``value`` of each group as lists of at most about ``chunk_size``, numbered from 0.
+    """``value`` of each group in lists of at most ``chunk_size``, numbered from 0.
 
-    A group of up to ``chunk_size`` rows is one list, ordered by ``order``. A larger one is
-    split by the hash of ``order``, which therefore should be a key of the rows, into
-    ``chunk`` 0, 1, ...; each list is ordered, and no list grows with its group.
+    The lists follow ``order`` within and across chunks. Rows are dealt by ranges of
+    (groups, order) and written once, by a job that runs while the query is built; a row's
+    position is its place in its range plus the rows of its group in the ranges before, so
+    neither a large group nor many rows with equal ``order`` meet in one list.
     """
-    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    sizes = df.groupBy(*(F.col(g).alias(f"_g_{g}") for g in groups)).agg(
-        F.ceil(F.count("*") / F.lit(chunk_size)).alias("_chunks")
-    )
-    entry = F.struct(F.col(order).alias("order"), value.alias("value"))
+    if chunk_size < 1:
+        raise ValueError("a chunk has one row at least")
+    tie = F.xxhash64(F.col(order), value)
+    dealt = df.select(*groups, F.col(order).alias("_order"), value.alias("_value"), tie.alias("_tie"))
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = dealt.repartitionByRange(parts, *groups, "_order", "_tie").withColumn("_part", F.spark_partition_id())
+    dealt = materialize(dealt, "dealt")
+    before = Window.partitionBy(*groups, F.lit(1)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*groups, F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    offsets = offsets.select(*(F.col(g).alias(f"_g_{g}") for g in groups), "_p", "_offset")
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups] + [F.col("_part").eqNullSafe(F.col("_p"))]
+    inside = Window.partitionBy(*groups, "_part").orderBy("_order", "_tie")
+    position = F.col("_offset") + F.row_number().over(inside) - 1
+    entry = F.struct(F.col("_position").alias("position"), F.col("_value").alias("value"))
     return (
-        df.join(sizes, same)
-        .withColumn("chunk", F.pmod(F.xxhash64(F.col(order)), F.col("_chunks")))
+        dealt.join(offsets, same)
+        .withColumn("_position", position)
+        .withColumn("chunk", F.expr(f"_position div {chunk_size}"))
         .groupBy(*groups, "chunk")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         .select(*groups, "chunk", F.col("_entries.value").alias(output))

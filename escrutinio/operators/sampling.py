@@ -38,6 +38,6 @@ def coordinate_pick(
     if not strict:
         return drawn
     missing = F.concat(
-        F.lit("No coordinates available for province code "), F.coalesce("prov_code", F.lit("NULL"))
+        F.lit("there is no coordinate to draw for the province "), F.coalesce("prov_code", F.lit("NULL"))
     )
     return drawn.withColumn(output, F.coalesce(F.col(output), F.raise_error(missing).cast("string")))

@@ -13,10 +13,6 @@ from escrutinio.operators.ranking import top_k_by_column
 from escrutinio.operators.votes import JSON_OPTIONS
 from escrutinio.schemas import BLANK, PARTY_KEY, THRESHOLD
 
-# A share threshold t lets at most 1/t parties of a province through. Above this number
-# the contenders are first cut to the ones that can win, see allocate_seats.
-_FEW_PARTIES = 1000
-
 
 def province_totals(votes: DataFrame) -> DataFrame:
     """Add the votes of the whole province to each row, blank votes included.
@@ -135,8 +131,6 @@ def allocate_seats(
         "votes_per_party",
         F.greatest(F.coalesce("total_seats", F.lit(0)), F.lit(0)).cast("bigint").alias("total_seats"),
     )
-    if threshold * _FEW_PARTIES >= 1:
-        return _share_out(contest.withColumn("_cap", F.col("total_seats")))
     contenders, others = _split_contenders(contest)
     return _share_out(contenders).unionByName(others)
 

@@ -4,10 +4,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from escrutinio.functions.keys import vote_doc_id
 from escrutinio.schemas import BLANK, PARTY_KEY, SILVER_COLUMNS, VOTE
 
+# Fields of a clean message, in order.
+MESSAGE_FIELDS = (
+    "doc_id id political_party location timestamp province_iso_code province_name blank_vote"
+    " autonomic_region_iso_code autonomic_region_name"
+).split()
+# The columns that decide the count of a vote, in the order in which copies compare.
+COUNTED_COLUMNS = ["timestamp", "political_party", "province_name", "autonomic_region_name", "blank_vote"]
+
 # to_json alone would cut timestamps to milliseconds.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -15,17 +24,24 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 def parse_votes(messages: DataFrame) -> DataFrame:
     """JSON message values to the nine vote fields.
 
-    A message that is not valid JSON, or has no id, becomes a row without an id whose
-    text is kept in ``raw``.
+    A message that is not one valid JSON object, or has no id or an empty one, becomes a row
+    without an id whose text is kept in ``raw``. A field that cannot be read is NULL, and the
+    vote is counted all the same.
 
     ``inline`` keeps the parse a single step: as a projection, a later filter on a field
     would be pushed below it and parse every message a second time.
     """
-    fields = F.inline(F.array(F.from_json("value", VOTE)))
+    # As an array, a message of several objects does not pass for its first one.
+    objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), ArrayType(VOTE))
+    vote = F.transform(F.array(objects), lambda found: F.when(F.size(found) == 1, found[0]))
+    has_id = F.coalesce(F.col("id") != "", F.lit(False))
     return (
         messages.select(F.col("value").cast("string").alias("value"))
-        .select("value", fields)
-        .select(*VOTE.names, F.when(F.col("id").isNull(), F.col("value")).alias("raw"))
+        .select("value", F.inline(vote))
+        .select(
+            *(F.when(has_id, F.col(name)).alias(name) for name in VOTE.names),
+            F.when(~has_id, F.col("value")).alias("raw"),
+        )
     )
 
 
@@ -42,22 +58,42 @@ def accepted(parsed: DataFrame) -> DataFrame:
 def dedup_votes(votes: DataFrame, order: Sequence[str] = ("timestamp",)) -> DataFrame:
     """One row per vote id; the earliest copy wins, whatever the partitioning or retries.
 
+    Copies without a time come after those with one; equal times are settled by the other
+    columns, in the order of ``SILVER_COLUMNS`` and then of the table.
+
     An aggregate rather than a window: copies collapse in the map tasks, so an id that
-    holds a large share of the rows sends one row per task through the shuffle.
+    holds a large share of the rows sends one row per task through the shuffle. The price
+    are two sorts, as the smallest struct has no fixed width to be updated in place.
+    """
+    unknown = [name for name in order if name not in votes.columns]
+    if unknown:
+        raise ValueError(f"no such columns to order by: {unknown}")
+    rest = sorted(
+        (name for name in votes.columns if name != "id" and name not in order),
+        key=lambda name: SILVER_COLUMNS.index(name) if name in SILVER_COLUMNS else len(SILVER_COLUMNS),
+    )
+    known = [F.col(name).isNull().alias(f"_no_{name}") for name in order]
+    entry = F.struct(*(c for pair in zip(known, order, strict=True) for c in pair), *rest)
+    kept = votes.groupBy("id").agg(F.min(entry).alias("vote"))
+    return kept.select(*(F.col("id") if name == "id" else F.col("vote")[name].alias(name) for name in votes.columns))
+
+
+def counted_votes(votes: DataFrame) -> DataFrame:
+    """The columns that a count needs of ``dedup_votes``, and none of the others shuffled.
+
+    They lead the order of the copies, so the winner's values are the same.
     """
-    leading = [name for name in order if name in votes.columns]
-    payload = leading + [name for name in votes.columns if name != "id" and name not in leading]
-    kept = votes.groupBy("id").agg(F.min(F.struct(*payload)).alias("vote"))
-    return kept.select("id", *(F.col("vote")[name].alias(name) for name in payload)).select(*votes.columns)
+    narrow = votes.select("id", *COUNTED_COLUMNS)
+    return normalize_blank(dedup_votes(narrow)).select("id", *PARTY_KEY)
 
 
-def dedup_stream(votes: DataFrame, salts: int = 8, within: str | None = None) -> DataFrame:
+def dedup_stream(votes: DataFrame, salts: int = 1, within: str | None = None) -> DataFrame:
     """Streaming form of ``dedup_votes``: the first copy to arrive wins.
 
     A streaming dedup has no map-side step, so all copies of one id meet in one task.
-    With ``salts`` > 1 a first dedup on (id, salt) spreads them over that many tasks and
-    lets at most one copy per salt reach the second, exact one. It doubles the state:
-    use 1 where producers rarely repeat an id.
+    Where one id may hold a large share of the messages, ``salts`` > 1 puts a first dedup
+    on (id, salt) before it, which spreads them over that many tasks and lets at most one
+    copy per salt reach the exact one. It doubles the state and the shuffles.
 
     ``within`` (for example ``"2 days"``) forgets an id that long after its arrival; a copy
     that comes later is counted again. It goes by the time of arrival, not by the vote's
@@ -100,16 +136,7 @@ def votes_per_party(clean: DataFrame) -> DataFrame:
 def vote_messages(clean: DataFrame) -> DataFrame:
     """Key and JSON value of each clean vote. NULL fields are left out of the JSON."""
     value = F.struct(
-        "doc_id",
-        F.col("id").cast("string").alias("id"),
-        "political_party",
-        "location",
-        "timestamp",
-        "province_iso_code",
-        "province_name",
-        "blank_vote",
-        "autonomic_region_iso_code",
-        "autonomic_region_name",
+        *MESSAGE_FIELDS,
     )
     return clean.withColumn("doc_id", vote_doc_id()).select(
         F.col("doc_id").alias("key"), F.to_json(value, JSON_OPTIONS).alias("value")

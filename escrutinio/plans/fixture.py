@@ -148,19 +148,20 @@ def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.from_json("value", MUNICIPALITY).alias("m")).select("m.*")
 
 
-def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Street features, one per supplier, in a file per nation."""
+def street_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON of street features, one per supplier, in a file per nation."""
     key = "s_suppkey"
     line = _geometry("LineString", _line(key, 0, 1, 2))
     lines = _geometry("MultiLineString", f"array({_line(key, 0, 1)}, {_line(key, 2, 3)})")
     other = _geometry("Point", _point(key, 0))
     collection = f"""concat('{{"features":[{{"geometry":',
         CASE {key} % 3 WHEN 0 THEN {line} WHEN 1 THEN {lines} ELSE {other} END, '}}]}}')"""
-    return (
-        table(spark, sf_dir, "supplier")
-        .selectExpr("concat('city_', s_nationkey, '.json') AS file_name", f"{collection} AS value")
-        .select("file_name", F.from_json("value", STREETS)["features"].alias("features"))
-    )
+    return table(spark, sf_dir, "supplier").selectExpr("concat('city_', s_nationkey, '.json') AS name", f"{collection} AS value")
+
+
+def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = F.from_json("value", STREETS)["features"].alias("features")
+    return street_records(spark, sf_dir).select(F.col("name").alias("file_name"), features)
 
 
 def street_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:

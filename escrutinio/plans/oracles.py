@@ -155,7 +155,7 @@ municipalities AS (
   SELECT lpad(cast(nation AS varchar), 2, '0'), {_COORDINATE}
   FROM (SELECT s_suppkey AS k, s_nationkey AS nation FROM supplier) s
   JOIN {_points("(0,0),(0,1),(0,2),(1,0),(1,1),(1,2),(1,3)")} ON k % 3 = m
-  WHERE nation % 3 <> 0 AND nation IN (SELECT n_nationkey FROM municipalities)
+  WHERE nation % 3 <> 0
 ), numbered AS (
   SELECT prov_code, coordinate,
          row_number() OVER (PARTITION BY prov_code ORDER BY md5(coordinate), coordinate) - 1 AS position,
@@ -233,6 +233,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN k % 4 <> 3 THEN strftime(voted_at, '%Y-%m-%d %H:%M:%S.%f') END AS "timestamp" FROM base""",
         "keyword_field": """SELECT doc_id, CASE WHEN length("text") <= 256 THEN "text" END AS text_keyword
             FROM documents""",
+        "seats_rows": f"WITH {_RAW}, {_seats_ctes()} SELECT * FROM seats_ref",
         "load_reference": f"WITH {_REFERENCE} SELECT * FROM provinces JOIN regions USING (region_code)",
         "seats_reference": f"""WITH {_REFERENCE}
             SELECT province_name, total_seats FROM provinces JOIN regions USING (region_code)""",
@@ -245,6 +246,11 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(string_agg(concat(p.id, ':', p.province_name, ':', p.total_seats), ';' ORDER BY p.id)
                             FILTER (p.id IS NOT NULL), '') AS provinces
             FROM regions r LEFT JOIN provinces p USING (region_code) GROUP BY ALL""",
+        "region_tree_chunks": f"""WITH {_REFERENCE}, placed AS (
+              SELECT region_code, id, (row_number() OVER (PARTITION BY region_code ORDER BY id) - 1) // 2 AS chunk
+              FROM provinces)
+            SELECT region_code, coalesce(chunk, 0) AS chunk, coalesce(string_agg(cast(id AS varchar), ';' ORDER BY id), '') AS ids
+            FROM regions LEFT JOIN placed USING (region_code) GROUP BY 1, 2""",
         "province_lookup": f"""WITH {_BASE}, {_REFERENCE}
             SELECT b.id, b.province_name, r.region_name AS autonomic_region_name,
                    r.region_iso_code AS autonomic_region_iso_code
@@ -263,6 +269,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT prov_code, position // {CHUNK_SIZE} AS chunk, count(*) AS n,
                    string_agg(coordinate, ';' ORDER BY position) AS coordinates FROM numbered GROUP BY 1, 2""",
         "coordinates_load": f"WITH {_COORDINATES} SELECT prov_code, coordinate FROM points",
+        "coordinates_load_chunks": f"WITH {_COORDINATES} SELECT prov_code, coordinate FROM points",
         "coordinate_pick": f"""WITH {_BASE}, {_COORDINATES},
             sizes AS (SELECT DISTINCT prov_code, total FROM numbered),
             ids AS (SELECT id, lpad(cast(n_nationkey AS varchar), 2, '0') AS prov_code FROM base),
@@ -274,6 +281,27 @@ def oracle_sql() -> dict[str, str]:
             first_draw AS (SELECT id, party FROM ({_draw("ids", "party", _ranges("p_brand", "parts", "brands"))}) d)
             SELECT id, party, province FROM
               ({_draw("first_draw", "province", _ranges("province_name", "weight", "weights"))}) d""",
+        "weighted_draw_fractions": """
+            WITH parts AS (SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand,
+                CASE p_partkey % 3 WHEN 0 THEN cast('0.0000000001' AS decimal(28,10)) WHEN 1 THEN 5000000000 ELSE 0.25 END AS w
+              FROM part),
+            items AS (SELECT brand, cast(sum(w) AS decimal(38,10)) AS w FROM parts WHERE brand IS NOT NULL GROUP BY 1),
+            placed AS (SELECT brand, w, cast(sum(w) OVER (ORDER BY md5(brand), brand) AS decimal(38,10)) AS hi,
+                              cast(sum(w) OVER () AS decimal(38,10)) AS total, count(*) OVER () AS items FROM items)
+            SELECT brand, cast(cast(hi - w AS decimal(38,10)) AS varchar) AS lo, cast(hi AS varchar) AS hi,
+                   cast(total AS varchar) AS total, items FROM placed""",
+        "coordinate_pick_nulls": f"""WITH {_BASE},
+            known AS (SELECT province_iso_code AS prov_code, location,
+                row_number() OVER (PARTITION BY province_iso_code ORDER BY md5(location), location) - 1 AS position,
+                count(*) OVER (PARTITION BY province_iso_code) AS total FROM base WHERE k % 3 <> 0),
+            sizes AS (SELECT DISTINCT prov_code, total FROM known),
+            placed AS (SELECT id, prov_code, cast(floor({_uniform("id", "location")} * total) AS bigint) AS position
+                       FROM base JOIN sizes ON province_iso_code = prov_code)
+            SELECT id, placed.prov_code, location FROM placed JOIN known USING (prov_code, position)""",
+        "dedup_payloads": f"""WITH {_RAW}
+            SELECT {_FIELDS} FROM once
+            UNION ALL SELECT concat('x', id), blank_vote, political_party, province_name, province_iso_code,
+              autonomic_region_name, autonomic_region_iso_code, location, NULL FROM once WHERE k % 5 = 0""",
         "bernoulli_flag": f"""WITH {_IDS}
             SELECT id, {_uniform("id", "blank_vote")} < cast(0.01 AS double) AS blank_vote FROM ids""",
         "draw_votes": f"""WITH {_IDS}, {_REFERENCE}, {_COORDINATES}, parties(name, popularity) AS (VALUES {_PARTY_VALUES}),

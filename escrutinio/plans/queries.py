@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from escrutinio.functions.geo import parse_geo_point
 from escrutinio.functions.keys import keyword, vote_doc_id
 from escrutinio.functions.timestamps import parse_timestamp
-from escrutinio.operators import drawing, geometry, reference, sampling, seats, votes
+from escrutinio.operators import geometry, reference, sampling, seats, votes
 from escrutinio.operators.materialize import materialize
+from escrutinio.operators.positions import weighted_ranges
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.plans import fixture
 from escrutinio.schemas import PARTY_KEY, SEAT_DOCUMENT
 from escrutinio.session import configure, scratch_dir
-from escrutinio.sinks.coordinates import write_coordinates
+from escrutinio.sinks.coordinates import write_coordinate_files, write_coordinates, write_named_files
 from escrutinio.sinks.snapshots import write_snapshot
-from escrutinio.sources.geo_files import coordinate_folders
+from escrutinio.sources import geo_files
 from escrutinio.sources.messages import file_stream
+from escrutinio.sources.tables import reference_from_files, seats_from_rows
 from escrutinio.streaming import lake as lakes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +69,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return votes.votes_per_party(votes.normalize_blank(votes.dedup_votes(_raw(spark, sf_dir))))
+    return votes.votes_per_party(votes.counted_votes(_raw(spark, sf_dir)))
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +87,10 @@ def _reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.build_coordinates(
-        fixture.municipalities(spark, sf_dir), fixture.streets(spark, sf_dir), fixture.street_mapping(spark, sf_dir)
+        fixture.municipalities(spark, sf_dir),
+        fixture.streets(spark, sf_dir),
+        fixture.street_mapping(spark, sf_dir),
+        _reference(spark, sf_dir)[1],
     )
 
 
@@ -266,7 +271,18 @@ def keyword_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reference.provinces_with_region(*_reference(spark, sf_dir))
+    """The reference model from files, as exported from the relational source."""
+    path = scratch_dir(spark, "reference")
+    write_snapshot(fixture.comunidades(spark, sf_dir), f"{path}/regions")
+    write_snapshot(fixture.provincias(spark, sf_dir), f"{path}/provinces")
+    return reference.provinces_with_region(*reference_from_files(spark, f"{path}/regions", f"{path}/provinces"))
+
+
+@query
+def seats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seats reference as rows given in code: at most one per nation."""
+    rows = [tuple(r) for r in fixture.seats_reference(spark, sf_dir).collect()]
+    return seats_from_rows(spark, rows)
 
 
 @query
@@ -287,6 +303,13 @@ def region_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def region_tree_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree with lists of two provinces at most."""
+    tree = reference.region_tree(*_reference(spark, sf_dir), chunk_size=2)
+    return tree.select("region_code", "chunk", F.array_join(F.transform("provinces", lambda p: p["id"]), ";").alias("ids"))
+
+
 @query
 def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = reference.province_lookup_table(*_reference(spark, sf_dir))
@@ -326,7 +349,18 @@ def party_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def geometry_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, sf_dir)
+    """Municipalities, streets and their mapping through their file readers."""
+    path = scratch_dir(spark, "geometries")
+    fixture.municipality_records(spark, sf_dir).write.text(f"{path}/municipalities")
+    write_named_files(fixture.street_records(spark, sf_dir), f"{path}/streets", "value")
+    pairs = F.collect_list(F.struct("prov_name", "file_name"))
+    mapping = fixture.street_mapping(spark, sf_dir).agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+    mapping.write.text(f"{path}/mapping")
+    return geometry.build_coordinates(
+        geo_files.municipalities(spark, f"{path}/municipalities", lines=True),
+        geo_files.streets(spark, f"{path}/streets", lines=True),
+        geo_files.street_mapping(spark, f"{path}/mapping"),
+    )
 
 
 @query
@@ -342,9 +376,18 @@ def coordinates_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def coordinates_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates written as one file per province and read by the names of the files."""
+    path = scratch_dir(spark, "coordinates")
+    write_coordinate_files(_points(spark, sf_dir), path, CHUNK_SIZE)
+    return geo_files.coordinate_files(spark, path)
+
+
+@query
+def coordinates_load_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the form for provinces of any size."""
     path = scratch_dir(spark, "coordinates")
     write_coordinates(_points(spark, sf_dir), path, CHUNK_SIZE)
-    return coordinate_folders(spark, path)
+    return geo_files.coordinate_folders(spark, path)
 
 
 @query
@@ -378,11 +421,56 @@ def draw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fixture.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "timestamp(o_orderdate) AS timestamp"
     )
-    parties = reference.political_parties(spark)
-    drawn = drawing.draw_votes(ids, *_reference(spark, sf_dir), parties, _points(spark, sf_dir), strict=False)
+    regions, provinces = _reference(spark, sf_dir)
+    known = reference.provinces_with_region(regions, provinces)
+    weights = reference.population_weights(known.select(F.col("id").alias("province_id"), "population"))
+    details = known.select(F.col("id").alias("_province"), "province_name", "province_iso_code", F.col("province_code").alias("prov_code"))
+    drawn = sampling.weighted_draw(ids, "id", weights, "province_id", "weight", "_province")
+    drawn = sampling.coordinate_pick(drawn.join(details, "_province"), "id", _points(spark, sf_dir), strict=False)
+    drawn = sampling.bernoulli_flag(drawn, "id", "blank_vote")
+    drawn = sampling.weighted_draw(drawn, "id", reference.political_parties(spark), "name", "popularity", "political_party")
+    drawn = reference.province_lookup(drawn, reference.province_lookup_table(regions, provinces))
+    drawn = drawn.withColumns(
+        {"id": F.col("id").cast("string"), "political_party": F.when(~F.col("blank_vote"), F.col("political_party"))}
+    )
     return drawn.select(*VOTE_FIELDS, _time_text())
 
 
+@query
+def weighted_draw_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range of each brand under weights from 1e-10 to 5e9; parts without a brand drop out."""
+    key = F.col("p_partkey")
+    weight = F.when(key % 3 == 0, F.lit(1e-10)).when(key % 3 == 1, F.lit(5e9)).otherwise(F.lit(0.25))
+    brand = F.when(key % 7 != 0, F.col("p_brand"))
+    parts = fixture.table(spark, sf_dir, "part").select(brand.alias("brand"), weight.alias("weight"))
+    ranges = weighted_ranges(parts, [], "brand", F.col("weight"))
+    text = [F.col(name).cast("decimal(37,10)").cast("string").alias(name) for name in ("lo", "hi", "total")]
+    return ranges.select("brand", *text, "items")
+
+
+@query
+def coordinate_pick_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates drawn where every third point of a province has none; the strict form raises for none."""
+    votes_at = fixture.base_votes(spark, sf_dir)
+    point = F.when(F.col("o_orderkey") % 3 != 0, F.col("location"))
+    points = votes_at.select(F.col("province_iso_code").alias("prov_code"), point.alias("coordinate"))
+    ids = votes_at.select("id", F.col("province_iso_code").alias("prov_code"))
+    return sampling.coordinate_pick(ids, "id", points)
+
+
+@query
+def dedup_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies with other parties, of which the first has no time: the dated one wins."""
+    base = fixture.base_votes(spark, sf_dir).drop("o_orderkey")
+    undated = base.withColumns({"timestamp": F.lit(None).cast("timestamp"), "political_party": F.lit("A")})
+    later = base.filter("id % 2 = 0").withColumns(
+        {"timestamp": F.col("timestamp") + F.expr("interval 1 second"), "political_party": F.lit("B")}
+    )
+    only = base.filter("id % 5 = 0").withColumns({"id": F.concat(F.lit("x"), "id"), "timestamp": F.lit(None).cast("timestamp")})
+    copies = undated.unionByName(later).unionByName(base).unionByName(only)
+    return votes.dedup_votes(copies).select(*VOTE_FIELDS, _time_text())
+
+
 # Streams
 
 

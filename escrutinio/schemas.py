@@ -21,7 +21,7 @@ def _struct(*fields: tuple) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in fields])
 
 
-# from_json never enforces "not null", so every field is declared nullable and
+# Fields of a vote. from_json never enforces "not null", so every field is declared nullable and
 # rows without an id are routed to the rejects instead.
 VOTE = _struct(
     ("id", StringType()),
@@ -38,6 +38,7 @@ VOTE = _struct(
 # Bronze keeps the text of the messages that could not be parsed.
 BRONZE = StructType([*VOTE.fields, StructField("raw", StringType(), True)])
 
+# Fixed values.
 SILVER_COLUMNS = [
     "id",
     "timestamp",
@@ -62,12 +63,8 @@ VOTE_NORM = StructType(
     ]
 )
 
-SEATS_REFERENCE = _struct(("province_name", StringType()), ("total_seats", LongType()))
-
 SEATS = StructType([*(StructField(n, StringType(), True) for n in PARTY_KEY), StructField("seats", LongType(), True)])
 
-MESSAGE = _struct(("key", StringType()), ("value", StringType()))
-
 SEAT_DOCUMENT = _struct(
     ("doc_id", StringType()),
     ("province_name", StringType()),
@@ -77,6 +74,11 @@ SEAT_DOCUMENT = _struct(
     ("updated_at", TimestampType()),
 )
 
+# The served table: its key and the micro-batch of each row beside the document.
+SERVED = StructType(
+    [StructField("seat_key", StringType(), True), StructField("sequence", LongType(), True), *SEAT_DOCUMENT.fields]
+)
+
 COORDINATES_FILE = _struct(("coordinates", ArrayType(StringType())))
 
 # Geometry depth depends on its type, so "coordinates" stays text until the type is known.

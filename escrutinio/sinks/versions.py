@@ -1,47 +1,36 @@
 """Tables that are replaced as a whole, one folder per version.
 
-A version is complete once Spark has written its ``_SUCCESS`` file. Readers take the
-newest complete one, so they never see a half-written table, and writing a version again
-after a failure gives the same state.
+A version is complete once its marker file is there, which is written after the data.
+Readers take the newest complete one, so they never see a half-written table, and writing a
+version again after a failure gives the same state.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_PREFIX = "version="
-
-
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+from escrutinio.folders import exists, make_file, names, remove_folder
 
-
-def make_dir(spark: SparkSession, path: str) -> None:
-    """Create a folder, so that a stream may read it before its first file."""
-    fs, folder = _filesystem(spark, path)
-    fs.mkdirs(folder)
+_PREFIX = "version="
+_MARKER = "_COMPLETE"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions, oldest first. Lists folders, never data."""
-    fs, folder = _filesystem(spark, path)
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(_PREFIX) and fs.exists(done):
-            found.append(int(name[len(_PREFIX) :]))
-    return sorted(found)
+    found = [n for n in names(spark, path) if n.startswith(_PREFIX) and exists(spark, f"{path}/{n}/{_MARKER}")]
+    return sorted(int(name[len(_PREFIX) :]) for name in found)
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/{_PREFIX}{version}")
+    folder = f"{path}/{_PREFIX}{version}"
+    df.write.mode("overwrite").parquet(folder)
+    make_file(df.sparkSession, f"{folder}/{_MARKER}")
 
 
 def read_version(spark: SparkSession, path: str, version: int, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{path}/{_PREFIX}{version}")
+    folder = f"{path}/{_PREFIX}{version}"
+    if not exists(spark, f"{folder}/{_MARKER}"):
+        raise ValueError(f"version {version} of {path} is missing or incomplete")
+    return spark.read.schema(schema).parquet(folder)
 
 
 def read_current(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
@@ -54,6 +43,5 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
     """Delete all but the newest ``keep`` complete versions."""
     if keep < 1:
         raise ValueError("keep at least one version")
-    fs, _ = _filesystem(spark, path)
     for version in versions(spark, path)[:-keep]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_PREFIX}{version}"), True)
+        remove_folder(spark, f"{path}/{_PREFIX}{version}")

@@ -37,11 +37,14 @@ def municipalities(spark: SparkSession, path: str, lines: bool = False) -> DataF
     return spark.read.schema(MUNICIPALITY).option("multiLine", not lines).json(path)
 
 
-def streets(spark: SparkSession, path: str) -> DataFrame:
-    """Street features of GeoJSON files, one city per file, with the ``file_name``."""
-    return (
-        spark.read.schema(STREETS).option("multiLine", True).json(path).select(_file_name().alias("file_name"), "features")
-    )
+def streets(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Street features of GeoJSON files, one city per file, with the ``file_name``.
+
+    A file is one row of one task; with ``lines`` it holds a feature collection per line and
+    is split.
+    """
+    files = spark.read.schema(STREETS).option("multiLine", not lines).json(path)
+    return files.select(_file_name().alias("file_name"), "features")
 
 
 def street_mapping(spark: SparkSession, path: str) -> DataFrame:

@@ -14,13 +14,11 @@ def kafka_options(servers: str, topic: str, starting: str = "earliest", **option
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str = TOPIC_VOTES_RAW, **options: str) -> DataFrame:
-    """Messages of a topic as they arrive, from the earliest offset at the first start."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
-
+    """Messages of a topic as they arrive, from the earliest offset at the first start.
 
-def kafka_table(spark: SparkSession, servers: str, topic: str = TOPIC_VOTES_RAW, **options: str) -> DataFrame:
-    """All messages a topic holds now."""
-    return spark.read.format("kafka").options(**kafka_options(servers, topic, **options)).load()
+    ``maxOffsetsPerTrigger`` bounds a micro-batch, the first one over a backlog above all.
+    """
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from escrutinio.folders import make_folder
+from escrutinio.functions.keys import seat_doc_id, seat_key
 from escrutinio.operators.seats import allocate_seats, seat_messages, seat_tombstones
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.operators.votes import (
@@ -32,13 +34,13 @@ from escrutinio.schemas import (
     SILVER,
     SILVER_COLUMNS,
     THRESHOLD,
+    SERVED,
     VOTE_NORM,
 )
 from escrutinio.session import configure_state
 from escrutinio.sinks.messages import FileSink
 from escrutinio.sinks.versions import (
     drop_old_versions,
-    make_dir,
     read_current,
     read_version,
     write_version,
@@ -47,6 +49,9 @@ from escrutinio.sinks.versions import (
 # Fixed value: how often the seats are computed again.
 SEATS_INTERVAL = "1 minute"
 
+# Files of a layer that one micro-batch reads at most, so that a backlog is worked off in parts.
+MAX_FILES = 1000
+
 _COUNTS = StructType(
     [*(StructField(n, StringType(), True) for n in PARTY_KEY), StructField("votes_per_party", LongType(), True)]
 )
@@ -110,7 +115,7 @@ class Trigger:
 
 
 def _layer(spark: SparkSession, path: str, schema: StructType, trigger: Trigger) -> DataFrame:
-    make_dir(spark, path)
+    make_folder(spark, path)
     reader = spark.readStream.schema(schema)
     if trigger.max_files is not None:
         reader = reader.option("maxFilesPerTrigger", trigger.max_files)
@@ -125,7 +130,7 @@ def start_bronze(messages: DataFrame, lake: Lake, trigger: Trigger = Trigger())
 
 
 def start_silver(
-    spark: SparkSession, lake: Lake, trigger: Trigger = Trigger(), salts: int = 8, within: str | None = None
+    spark: SparkSession, lake: Lake, trigger: Trigger = Trigger(), salts: int = 1, within: str | None = None
 ) -> StreamingQuery:
     """Append each vote id once, blank votes normalised. See ``dedup_stream`` for the options."""
     configure_state(spark)
@@ -185,12 +190,9 @@ def seat_publisher(
         previous = read_current(spark, lake.seats, SEATS, before=batch_id)
         messages = seat_messages(seats, at).unionByName(seat_tombstones(previous, seats))
         sink.write(messages, batch_id)
-        served = read_current(spark, lake.served, SEAT_DOCUMENT, before=batch_id)
-        write_version(
-            upsert_latest(served, seat_documents(messages, at), "doc_id", ["updated_at"], "seats"),
-            lake.served,
-            batch_id,
-        )
+        served = read_current(spark, lake.served, SERVED, before=batch_id)
+        changes = seat_changes(previous, seats, at, batch_id)
+        write_version(upsert_latest(served, changes, "seat_key", ["sequence"], "seats"), lake.served, batch_id)
         for path in (lake.counts, lake.seats, lake.served):
             drop_old_versions(spark, path, keep)
 
@@ -207,6 +209,26 @@ def seat_documents(messages: DataFrame, at) -> DataFrame:
     )
 
 
+def seat_changes(previous: DataFrame, seats: DataFrame, at, sequence: int) -> DataFrame:
+    """Rows for the served table: the seats now, and NULL seats for what is no longer reported.
+
+    Keyed by ``seat_key`` and not by the readable key, which different seats may share, and
+    ordered by the micro-batch.
+    """
+    same = [previous[name].eqNullSafe(seats[name]) for name in PARTY_KEY]
+    gone = previous.join(seats, same, "left_anti").withColumn("seats", F.lit(None).cast("bigint"))
+    return seats.select(*SEATS.names).unionByName(gone.select(*SEATS.names)).select(
+        seat_key(*PARTY_KEY).alias("seat_key"),
+        F.lit(sequence).cast("bigint").alias("sequence"),
+        seat_doc_id().alias("doc_id"),
+        "province_name",
+        F.col("political_party_norm").alias("political_party"),
+        "autonomic_region_name",
+        "seats",
+        at.alias("updated_at"),
+    )
+
+
 def current_seats(spark: SparkSession, lake: Lake) -> DataFrame:
     """The gold seats of the newest complete micro-batch."""
     return read_current(spark, lake.seats, SEATS)
@@ -214,7 +236,7 @@ def current_seats(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def served_seats(spark: SparkSession, lake: Lake) -> DataFrame:
     """The served seat documents."""
-    return read_current(spark, lake.served, SEAT_DOCUMENT)
+    return read_current(spark, lake.served, SERVED).select(*SEAT_DOCUMENT.names)
 
 
 def rejected_votes(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -229,16 +251,23 @@ def run_lake(
     clean_sink=None,
     seats_sink=None,
     seats_trigger: Trigger = Trigger(interval=SEATS_INTERVAL),
-    salts: int = 8,
+    salts: int = 1,
     within: str | None = None,
+    trigger: Trigger = Trigger(max_files=MAX_FILES),
+    threshold: float = THRESHOLD,
+    keep: int = 10,
 ) -> list[StreamingQuery]:
-    """Start all four queries; ``await_any`` waits for them."""
+    """Start all four queries; ``await_any`` waits for them.
+
+    ``trigger`` is that of bronze, silver and clean; its ``max_files`` bounds a micro-batch
+    that reads a layer. The source of ``messages`` has its own limit, see ``sources.messages``.
+    """
     spark = messages.sparkSession
     return [
-        start_bronze(messages, lake),
-        start_silver(spark, lake, salts=salts, within=within),
-        start_clean(spark, lake, clean_sink),
-        start_seats(spark, lake, seats_reference, seats_sink, seats_trigger),
+        start_bronze(messages, lake, trigger),
+        start_silver(spark, lake, trigger, salts, within),
+        start_clean(spark, lake, clean_sink, trigger),
+        start_seats(spark, lake, seats_reference, seats_sink, seats_trigger, threshold, keep),
     ]
 
 
@@ -247,9 +276,10 @@ def drain(
     lake: Lake,
     seats_reference: DataFrame,
     max_files: int | None = None,
-    salts: int = 8,
+    salts: int = 1,
     within: str | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    threshold: float = THRESHOLD,
 ) -> None:
     """Bring all layers up to date with what the source holds now, then stop."""
     spark = messages.sparkSession
@@ -257,7 +287,7 @@ def drain(
     start_bronze(messages, lake, once).awaitTermination()
     start_silver(spark, lake, once, salts, within).awaitTermination()
     start_clean(spark, lake, None, once).awaitTermination()
-    start_seats(spark, lake, seats_reference, None, once, clock=clock).awaitTermination()
+    start_seats(spark, lake, seats_reference, None, once, threshold, clock=clock).awaitTermination()
 
 
 def await_any(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:

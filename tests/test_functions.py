@@ -81,3 +81,8 @@ def test_uniform_is_reproducible_and_even(spark):
 def test_bernoulli_share(spark):
     share = spark.range(50_000).select(F.avg(bernoulli(F.col("id"), 0.01).cast("int"))).first()[0]
     assert math.isclose(share, 0.01, abs_tol=0.003)
+
+
+@pytest.mark.parametrize("text", ["12345678901234567", "9" * 18, "-" + "9" * 16])
+def test_a_number_too_long_for_a_time_is_null(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(parse_timestamp(F.col("t"))).first()[0] is None

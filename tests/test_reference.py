@@ -95,3 +95,11 @@ def test_upsert_of_one_hot_key(spark):
     changes = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE string(id) END AS k", "id AS at", "id AS v")
     rows = {r["k"]: r["v"] for r in upsert_latest(current, changes, "k", ["at"], "v").collect()}
     assert rows["hot"] == 999 and len(rows) == 667
+
+
+def test_a_deletion_wins_a_tie(spark):
+    current = spark.createDataFrame([("a", 0, 1)], "k string, s int, v int")
+    changes = spark.createDataFrame([("a", 1, 7), ("a", 1, None)], "k string, s int, v int")
+    assert upsert_latest(current, changes, "k", ["s"], "v").collect() == []
+    with pytest.raises(ValueError, match="order"):
+        upsert_latest(current, changes, "k", ["clock"], "v")

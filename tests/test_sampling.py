@@ -5,7 +5,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from escrutinio.operators.drawing import draw_votes
 from escrutinio.operators.positions import chunked_lists, pick, weighted_ranges
 from escrutinio.operators.sampling import bernoulli_flag, coordinate_pick, weighted_draw
 
@@ -109,7 +108,7 @@ def test_coordinate_pick_of_an_unknown_province(spark):
     ids = spark.createDataFrame([(1, "01"), (2, "99")], "id bigint, prov_code string")
     lenient = coordinate_pick(ids, "id", points, strict=False)
     assert {r["id"]: r["location"] for r in lenient.collect()} == {1: "1.0,1.0", 2: None}
-    with pytest.raises(Exception, match="No coordinates available for province code 99"):
+    with pytest.raises(Exception, match="no coordinate to draw for the province 99"):
         coordinate_pick(ids, "id", points).collect()
 
 
@@ -124,33 +123,26 @@ def test_chunked_lists_keep_all_values_and_order(spark):
     lists = chunked_lists(df, ["g"], F.col("id"), "id", "ids", 50).collect()
     found = sorted(i for r in lists for i in r["ids"])
     assert found == list(range(1000))
-    assert all(r["ids"] == sorted(r["ids"]) for r in lists)
-    assert {r["chunk"] for r in lists if r["g"] == "hot"} == set(range(7))
+    assert all(len(r["ids"]) <= 50 for r in lists)
+    hot = sorted((r["chunk"], r["ids"]) for r in lists if r["g"] == "hot")
+    assert [chunk for chunk, _ in hot] == list(range(7))
+    assert [i for _, ids in hot for i in ids] == list(range(0, 1000, 3))
     assert {r["chunk"] for r in lists if r["g"] != "hot"} == {0}
 
 
-def test_draw_votes(spark):
-    regions = spark.createDataFrame(
-        [("r1", "One", None, 4, "ES-1")],
-        "region_code string, region_name string, region_alternative_name string, senators bigint, region_iso_code string",
-    )
-    provinces = spark.createDataFrame(
-        [(1, "01", "Alfa", "r1", 750, "ES-A"), (2, "02", "Beta", "r1", 250, "ES-B"), (3, "03", "Orphan", "x", 900, "")],
-        "id bigint, province_code string, province_name string, region_code string, population bigint,"
-        " province_iso_code string",
-    )
-    parties = spark.createDataFrame([("A", 1), ("B", 3)], "name string, popularity bigint")
-    points = spark.createDataFrame([("01", "1.0,1.0"), ("02", "2.0,2.0")], "prov_code string, coordinate string")
-    ids = spark.range(4000).select("id", F.lit("2026-01-01").cast("timestamp").alias("timestamp"))
-    rows = draw_votes(ids, regions, provinces, parties, points, blank_probability=0.1).collect()
-    assert len({r["id"] for r in rows}) == 4000
-    assert {(r["province_name"], r["province_iso_code"], r["location"]) for r in rows} == {
-        ("Alfa", "ES-A", "1.0,1.0"),
-        ("Beta", "ES-B", "2.0,2.0"),
-    }
-    assert {(r["autonomic_region_name"], r["autonomic_region_iso_code"]) for r in rows} == {("One", "ES-1")}
-    assert all((r["political_party"] is None) == r["blank_vote"] for r in rows)
-    shares = Counter(r["province_name"] for r in rows), Counter(r["political_party"] for r in rows)
-    assert math.isclose(shares[0]["Alfa"] / 4000, 0.75, abs_tol=0.03)
-    assert math.isclose(shares[1][None] / 4000, 0.1, abs_tol=0.02)
-    assert math.isclose(shares[1]["B"] / 4000, 0.675, abs_tol=0.03)
+def test_no_weight_is_lost_and_no_null_drawn(spark):
+    items = spark.createDataFrame([("a", 1e-10), ("b", 5e9), (None, 3.0), ("c", 1.0), ("d", 0.0)], "item string, w double")
+    found = {r["item"]: r for r in weighted_ranges(items, [], "item", F.col("w")).collect()}
+    assert set(found) == {"a", "b", "c"} and {r["items"] for r in found.values()} == {3}
+    assert sum(r["weight"] for r in found.values()) == found["a"]["total"]
+    with pytest.raises(Exception, match="below 10"):
+        weighted_ranges(items.withColumn("w", F.col("w") / 1e9), [], "item", F.col("w")).collect()
+    points = spark.createDataFrame([("1", "x"), ("1", None), ("1", "y")], "prov_code string, coordinate string")
+    drawn = coordinate_pick(spark.range(300).withColumn("prov_code", F.lit("1")), "id", points).collect()
+    assert {r["location"] for r in drawn} == {"x", "y"}
+
+
+def test_a_total_too_large_for_a_draw_is_an_error(spark):
+    weights = spark.createDataFrame([("a", 1 << 53), ("b", 1)], "item string, w bigint")
+    with pytest.raises(Exception, match="cannot be drawn from"):
+        weighted_draw(spark.range(3), "id", weights, "item", "w", "out").collect()

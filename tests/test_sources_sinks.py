@@ -1,5 +1,7 @@
 import pytest
 
+from escrutinio import session
+from escrutinio.folders import exists
 from escrutinio.schemas import SEATS
 from escrutinio.session import scratch_dir
 from escrutinio.sinks import snapshots, versions
@@ -75,9 +77,26 @@ def test_snapshots(spark, tmp_path):
     assert sorted(r["seats"] for r in spark.read.parquet(path).collect()) == [2, 3]
 
 
+def test_an_incomplete_version_is_not_read(spark, tmp_path):
+    frame, path = spark.range(3), str(tmp_path / "t")
+    versions.write_version(frame, path, 1)
+    frame.write.parquet(f"{path}/version=2")
+    assert versions.versions(spark, path) == [1]
+    with pytest.raises(ValueError, match="incomplete"):
+        versions.read_version(spark, path, 2, frame.schema)
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_dir(spark, "x")
     assert path != scratch_dir(spark, "x")
     if shared:
         assert path.startswith(shared.rstrip("/") + "/")
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    path = scratch_dir(spark, "gone")
+    spark.range(1).write.parquet(path)
+    session._SCRATCH[spark.sparkContext.applicationId] = [path]
+    session.remove_scratch(spark)
+    assert not exists(spark, path)

@@ -194,3 +194,19 @@ def test_a_failing_query_stops_the_others(spark, source, lake, reference):
     with pytest.raises(Exception, match="sink is down"):
         L.await_any(queries)
     assert not any(query.isActive for query in queries)
+
+
+def test_served_seats_follow_the_batches_and_not_the_clock(spark, lake, tmp_path):
+    """The clock steps back; provinces of two regions and names with the key's separator stay apart."""
+    reference = spark.createDataFrame([("P", 5), ("P_A", 3)], "province_name string, total_seats bigint")
+    clock = iter([AT, AT.replace(year=AT.year - 1)])
+    publish = L.seat_publisher(lake, reference, FileSink(lake.seat_messages), clock=lambda: next(clock))
+    schema = "autonomic_region_name string, province_name string, political_party_norm string, votes_per_party bigint"
+    first = [("R", "P", "A_B", 60), ("S", "P", "A_B", 40), ("R", "P_A", "B", 50), (None, "P_A", "B", 50), ("R", "P", "C", 30)]
+    publish(spark.createDataFrame(first, schema), 0)
+    publish(spark.createDataFrame([(*r[:3], 1 if r[2] == "C" else r[3] + 20) for r in first], schema), 1)
+    gold = {tuple(r) for r in L.current_seats(spark, lake).collect()}
+    served = {
+        (r.autonomic_region_name, r.province_name, r.political_party, r.seats) for r in L.served_seats(spark, lake).collect()
+    }
+    assert served == gold and len(served) == 4

@@ -88,3 +88,17 @@ def test_top_k_by_column_of_a_hot_group(spark):
     hot = top.filter("g = 'hot'").orderBy("ranking").collect()
     assert [(r["v"], r["ranking"]) for r in hot] == [(899, 1), (898, 2), (896, 3), (895, 4), (893, 5)]
     assert top.count() == 305
+
+
+@pytest.mark.parametrize("text", ['{"id":"17"}{"id":"18"}', '{"id":"17"},{"id":"18"}', '{"id":""}', "[]", "", "17"])
+def test_what_is_not_one_vote_is_rejected_whole(spark, text):
+    parsed = V.parse_votes(spark.createDataFrame([(text,)], "value string"))
+    assert [r["raw"] for r in V.rejects(parsed).collect()] == [text] and V.accepted(parsed).count() == 0
+
+
+def test_a_dated_copy_wins_over_one_without_a_time(spark):
+    rows = [("1", None, "A"), ("1", AT, "X"), ("2", None, "B"), ("2", None, "A")]
+    copies = spark.createDataFrame(rows, "id string, timestamp timestamp, political_party string")
+    assert {(r["id"], r["political_party"]) for r in V.dedup_votes(copies).collect()} == {("1", "X"), ("2", "A")}
+    with pytest.raises(ValueError, match="no such columns"):
+        V.dedup_votes(copies, ["arrived"])

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from escrutinio.llm.common import SPACE, written
+from escrutinio.operators.joins import broadcast_if_small
 
 SALTS = 16
 
@@ -64,9 +65,9 @@ def _combined(rows: DataFrame, *keys: str) -> DataFrame:
 def _classes(docs: DataFrame, text: str, doc_id: str, salts: int) -> tuple[DataFrame, DataFrame]:
     """Winner and size per digest, and per content where a digest has several contents."""
     contents = _contents(docs, text, doc_id)
-    salted = _salted(contents, salts)
-    per_digest = _combined(salted, "text_sha256")
-    several = per_digest.filter("parts > 1").select("text_sha256")
+    salted = written(_salted(contents, salts), "exact-salted")  # digest, content and salt are unique in it
+    per_digest = written(_combined(salted, "text_sha256"), "exact-digests")
+    several = broadcast_if_small(per_digest.filter("parts > 1").select("text_sha256"))
     compared = _combined(salted.join(several, "text_sha256", "left_semi"), "text_sha256", "content")
     compared = compared.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("contents"))
     classes = per_digest.join(compared, "text_sha256", "left").select(

@@ -38,10 +38,16 @@ def jdbc_table(spark: SparkSession, url: str, table: str | None = None, **option
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
-def reference_from_jdbc(spark: SparkSession, url: str, **options) -> tuple[DataFrame, DataFrame]:
-    """Regions and provinces of the database, under our names."""
-    regions = jdbc_table(spark, url, REGIONS_TABLE, **options)
-    provinces = jdbc_table(spark, url, PROVINCES_TABLE, **options)
+def reference_from_jdbc(
+    spark: SparkSession,
+    url: str,
+    regions_split: tuple[str, int, int, int] | None = None,
+    provinces_split: tuple[str, int, int, int] | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Regions and provinces of the database, under our names; each may be read in parallel by its own split."""
+    regions = jdbc_table(spark, url, REGIONS_TABLE, split=regions_split, **options)
+    provinces = jdbc_table(spark, url, PROVINCES_TABLE, split=provinces_split, **options)
     return regions_model(regions), provinces_model(provinces)
 
 

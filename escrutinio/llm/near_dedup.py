@@ -12,8 +12,11 @@ All pairs within a key are never made:
 
 1. Each member of a key is checked against the key's smallest member, signatures first,
    then full shingle sets (64-bit hashes). The links give components.
-2. Keys whose members are still in several components are cut into blocks, and pairs of
-   blocks compare signatures across components only. What is near is checked on full sets.
+2. Keys whose members are still in several components are cut into blocks. Within each pair
+   of blocks the tasks compare signatures across components, a pair of documents only under the
+   first key that it shares; the sets of documents that have near partners then come to that
+   pair of blocks and are compared there. What leaves a task are rows of documents and links
+   that join components, never the pairs.
 
 Both steps together leave no candidate pair between different components unchecked.
 
@@ -40,9 +43,10 @@ from escrutinio.operators.joins import broadcast_if_small
 SHINGLE = 5
 THRESHOLD = 80  # per cent
 CHUNKS, SYMBOLS, ERRORS = 10, 6, 1
-#: Symbols two signatures may differ in before a pair is not worth a check of the sets: at a
-#: similarity of 0.8, ten standard deviations above the mean of 12.
-FAR = 43
+#: Symbols two signatures may differ in before a pair is not worth a check of the sets. At a
+#: similarity of 0.8 the mean is 12, and more than 28 differ less than once in a million times.
+FAR = 28
+_CELLS = 1 << 22  # symbols compared at once
 BLOCK_MEMBERS = 512
 
 _SIZE = CHUNKS * SYMBOLS
@@ -145,32 +149,96 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Near pairs across components within each unit (key and pair of blocks) of a bin."""
-    table = table.sort_by([("key", "ascending"), ("low", "ascending"), ("high", "ascending")]).combine_chunks()
+def _units(table: pa.Table) -> Iterator[tuple[int, int]]:
+    """Row ranges of equal units in a table sorted by unit."""
+    unit = table.column("unit").to_numpy()
+    heads = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1]))) if len(unit) else []
+    yield from zip(heads, np.append(heads[1:], len(unit)), strict=True)
+
+
+def _open_pairs(table: pa.Table, threshold: int) -> pa.Table:
+    """Of each unit (a key and a pair of its blocks): the documents with near partners in
+    other components, and the partners for one of each two."""
+    table = table.sort_by([("unit", "ascending"), ("rep", "ascending")]).combine_chunks()
     column = lambda name: table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
-    key, low, high, reps, comps, blocks_ = (column(c) for c in ("key", "low", "high", "rep", "comp", "block"))
+    key, low, high, reps, comps, place, sizes = map(column, ("key", "low", "high", "rep", "comp", "block", "n_shingles"))
     matrix = _matrix(table.column("signature").combine_chunks())
-    change = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-    heads = np.concatenate(([0], np.flatnonzero(change) + 1, [len(key)])) if len(key) else [0]
-    found: list[np.ndarray] = []
-    for start, stop in zip(heads[:-1], heads[1:], strict=True):
-        left = start + np.flatnonzero(blocks_[start:stop] == low[start])
-        right = start + np.flatnonzero(blocks_[start:stop] == high[start])
-        for i in left:
-            others = right[(comps[right] != comps[i]) & ((reps[right] > reps[i]) | (low[start] != high[start]))]
-            others = others[(matrix[others] != matrix[i]).sum(axis=1) <= FAR]
-            if len(others):
-                pair = np.stack((np.full(len(others), reps[i]), reps[others]), axis=1)
-                found.append(np.sort(pair, axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
+    units: list[int] = []
+    members: list[int] = []
+    partners: list[bytes] = []
+    for start, stop in _units(table):
+        left = start + np.flatnonzero(place[start:stop] == low[start])
+        right = start + np.flatnonzero(place[start:stop] == high[start])
+        keys = chunk_keys(matrix[start:stop]).view(np.int64)
+        step = max(1, _CELLS // (_SIZE * max(len(right), 1)))
+        found: dict[int, list[int]] = {}
+        for at in range(0, len(left), step):
+            some = left[at : at + step]
+            apart = comps[some][:, None] != comps[right][None, :]
+            if low[start] == high[start]:
+                apart &= reps[some][:, None] < reps[right][None, :]
+            smaller = np.minimum(sizes[some][:, None], sizes[right][None, :])
+            apart &= 100 * smaller >= threshold * np.maximum(sizes[some][:, None], sizes[right][None, :])
+            i, j = np.nonzero(apart)
+            for cut in range(0, len(i), _CELLS // _SIZE):
+                p, q = some[i[cut : cut + _CELLS // _SIZE]], right[j[cut : cut + _CELLS // _SIZE]]
+                near = (matrix[p] != matrix[q]).sum(axis=1) <= FAR
+                p, q = p[near], q[near]
+                first = (keys[p - start] == keys[q - start]).argmax(axis=1)
+                here = keys[p - start, first] == key[start]
+                for x, y in zip(p[here].tolist(), q[here].tolist(), strict=True):
+                    found.setdefault(x, []).append(y)
+                    found.setdefault(y, [])
+        for x, others in found.items():
+            units.append(table.column("unit")[start].as_py())
+            members.append(reps[x])
+            partners.append(reps[others].astype("<i8").tobytes())
+    return pa.table(
+        [pa.array(units, pa.int64()), pa.array(members, pa.int64()), pa.array(partners, pa.binary())],
+        names=["unit", "rep", "partners"],
+    )
+
+
+def _joined(table: pa.Table, threshold: int) -> pa.Table:
+    """Links between the documents of each unit that full sets confirm, as many as join them."""
+    table = table.sort_by("unit").combine_chunks()
+    reps = table.column("rep").to_numpy()
+    sets, partners = table.column("set").combine_chunks(), table.column("partners").combine_chunks()
+    links: list[tuple[int, int]] = []
+    for start, stop in _units(table):
+        place = {rep: i for i, rep in enumerate(reps[start:stop].tolist())}
+        values = [np.frombuffer(x.as_py(), "<u8") for x in sets[start:stop]]
+        root = list(range(stop - start))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for i in range(stop - start):
+            others = [place[r] for r in np.frombuffer(partners[start + i].as_py(), "<i8").tolist() if r in place]
+            others = [j for j in others if find(j) != find(i)]
+            if not others:
+                continue
+            counts = np.array([len(values[j]) for j in others])
+            every = np.concatenate([values[j] for j in others])
+            own = values[i]
+            at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+            shared = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(counts) - counts)
+            enough = 100 * shared >= threshold * (len(own) + counts - shared)
+            for j in np.array(others)[enough].tolist():
+                if find(j) != find(i):
+                    root[find(j)] = find(i)
+                    links.append((reps[start + i], reps[start + j]))
+    pairs = np.sort(np.array(links, dtype=np.int64).reshape(-1, 2), axis=1)
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 class _Join:
     def __init__(self, docs: DataFrame, classes: DataFrame, members: DataFrame, size: int, threshold: int):
         self.members, self.threshold = members, threshold
-        self.signatures = classes.select("rep", "signature")
+        self.signatures = classes.select("rep", "signature", "n_shingles")
         wanted = broadcast_if_small(members.select(F.col("rep").alias("doc_id")).distinct())
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +265,8 @@ class _Join:
         return self.members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
 
     def rest(self, comps: DataFrame) -> DataFrame:
-        """Near pairs between components that share a key and were not led together."""
+        """Links (a, b) between components whose members share a key."""
+        threshold = self.threshold
         placed = self.members.filter("n > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
         placed = placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
         open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -206,12 +275,15 @@ class _Join:
         rows = open_rows.withColumn("cut", cut).withColumn("block", F.pmod(F.xxhash64("rep"), "cut").cast("int"))
         rows = rows.join(self.signatures, "rep")
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-        rows = rows.select(
-            "key", "rep", "comp", "block", "signature", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        rows = rows.withColumn("unit", F.xxhash64("key", "low", "high"))
+        bins = F.pmod(F.xxhash64("unit"), F.lit(4 * shuffles(rows.sparkSession)))
+        rows = rows.select("unit", "key", "low", "high", "rep", "comp", "block", "signature", "n_shingles", bins.alias("bin"))
+        near = rows.groupBy("bin").applyInArrow(
+            lambda table: _open_pairs(table, threshold), "unit bigint, rep bigint, partners binary"
         )
-        bins = 4 * shuffles(rows.sparkSession)
-        rows = rows.withColumn("bin", F.pmod(F.xxhash64("key", "low", "high"), F.lit(bins)))
-        return rows.groupBy("bin").applyInArrow(_across, "a bigint, b bigint").distinct()
+        near = written(near, "near-units").join(self.sets, "rep").withColumn("bin", bins)
+        return near.groupBy("bin").applyInArrow(lambda table: _joined(table, threshold), "a bigint, b bigint")
 
 
 def mark(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -219,16 +291,15 @@ def mark(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> Da
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = written(signed(docs, size), "near-signed")
     classes = table.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-    classes = written(classes.agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "near-classes")
+    one = {"rep": "doc_id", "signature": "signature", "n_shingles": "n_shingles"}
+    classes = written(classes.agg(*(F.min(name).alias(alias) for alias, name in one.items())), "near-classes")
     keys = classes.select("rep", "signature").mapInArrow(_keyed, "key bigint, rep bigint")
     several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader")).filter("n > 1")
     members = written(keys.join(several, "key"), "near-members")
     join = _Join(docs, classes, members, size, threshold)
-    led = join.leaders()
-    links = written(join.links(led), "near-links")
+    links = written(join.links(join.leaders()), "near-links")
     comps = components(links)
-    rest = join.rest(comps).join(led, ["a", "b"], "left_anti")
-    more = written(join.links(rest), "near-links")
+    more = written(join.rest(comps), "near-links")
     if not more.isEmpty():
         comps = components(links.union(more))
     found = table.join(classes.select("digest", "rep"), "digest", "left")

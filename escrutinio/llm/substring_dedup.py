@@ -4,7 +4,7 @@ Each task hashes all windows of its documents and sends the first of each hash,
 arrays, to the hash's bin; windows that a smaller doc_id of the same block has are known to
 go and only pass through. So the copies of one passage reach a bin once per block of text,
 whatever their number. A bin counts its hashes and answers every document but the first with
-those that it must give up. A second pass over the texts removes the words that such
+those that it must give up; answers are packed by shards of the documents. A second pass over the texts removes the words that such
 windows, and repeats within the document, cover; overlapping windows merge into maximal
 intervals.
 
@@ -99,8 +99,9 @@ def _windows(block: pa.RecordBatch, size: int, n_bins: int) -> Iterator[pa.Recor
     yield _sent(np.sort(order[~again & (d != owner)]), True, bins, docs, hashes)
 
 
-def _answers(table: pa.Table) -> pa.Table:
-    """What each document loses in one bin: the hashes that a smaller doc_id has."""
+def _answers(table: pa.Table, n_bins: int) -> pa.Table:
+    """The hashes of one bin that each document loses, as a smaller doc_id has them, a row per
+    shard of the documents."""
     table = table.combine_chunks()
     column = lambda name: table.column(name).combine_chunks()
     data, bounds = buffers(column("hashes"))
@@ -118,6 +119,18 @@ def _answers(table: pa.Table) -> pa.Table:
     owner = np.repeat(d[heads], np.diff(np.append(heads, len(h))))
     lost = d != owner
     docs, hashes = np.concatenate((d[lost], docs[gone])), np.concatenate((h[lost], hashes[gone]))
+    shards = (mix(docs.view(np.uint64) + np.uint64(1)) % np.uint64(n_bins)).astype(np.int32)
+    order = np.lexsort((docs, shards))
+    sent = _sent(np.arange(len(order)), False, shards[order], docs[order], hashes[order])
+    return pa.table([sent.column(n) for n in ("bin", "hashes", "docs", "counts")], names=["shard", "hashes", "docs", "counts"])
+
+
+def _per_document(table: pa.Table) -> pa.Table:
+    """The hashes that each document of one shard loses."""
+    table = table.combine_chunks()
+    column = lambda name: table.column(name).combine_chunks()
+    hashes = buffers(column("hashes"))[0].view("<u8")
+    docs = np.repeat(column("docs").flatten().to_numpy(), column("counts").flatten().to_numpy())
     order = np.argsort(docs, kind="stable")
     docs, hashes = docs[order], hashes[order]
     heads = _starts(docs[1:] != docs[:-1], len(docs))
@@ -153,7 +166,7 @@ def _covered(words: Words, lost: list[bytes], size: int) -> np.ndarray:
 def _rewrite(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         words = Words(block.column("text"))
-        lost = [b"".join(x) if x else b"" for x in block.column("lost").to_pylist()]
+        lost = [x or b"" for x in block.column("lost").to_pylist()]
         covered = _covered(words, lost, size)
         removed = np.add.reduceat(np.append(covered, False), words.offsets[:-1], dtype=np.int64) if len(block) else []
         removed = np.where(words.counts > 0, removed, 0)
@@ -198,7 +211,9 @@ def dedup(docs: DataFrame, size: int = WINDOW, bins: int | None = None) -> DataF
             yield from _windows(block, size, n_bins)
 
     sent = docs.select("doc_key", "text").mapInArrow(hashed, _SENT)
-    answers = sent.groupBy("bin").applyInArrow(_answers, "doc_key bigint, lost binary")
-    answers = answers.groupBy("doc_key").agg(F.collect_list("lost").alias("lost"))
+    answers = sent.groupBy("bin").applyInArrow(
+        lambda table: _answers(table, n_bins), "shard int, hashes binary, docs array<bigint>, counts array<int>"
+    )
+    answers = answers.groupBy("shard").applyInArrow(_per_document, "doc_key bigint, lost binary")
     told = docs.join(answers, "doc_key", "left").select("doc_id", "text", "lost")
     return told.mapInArrow(lambda batches: _rewrite(batches, size), _RESULT)

@@ -3,8 +3,8 @@
 Texts are hashed counts of byte n-grams, relative to the text's length. Linear support
 vector machines decide between each two families, and then between each two languages of
 the winning family; votes decide, margins break ties. They are trained on the driver by
-dual coordinate descent over at most ``PER_LANGUAGE`` labelled rows of each language, the
-ones with the smallest hashes of their doc_id. Every text is scored whole, in the tasks.
+dual coordinate descent over the features of at most ``PER_LANGUAGE`` labelled rows of each
+language, the ones with the smallest hashes of their doc_id. Every text is scored whole, in the tasks.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0. Rows without lang or
 doc_id teach nothing. With one learned language all texts with letters are of it; with
@@ -95,11 +95,11 @@ def svm(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, size: int,
 class Model:
     """Pairwise SVMs between families and between the languages of each family."""
 
-    def __init__(self, languages: list[str], texts: list[bytes], labels: list[str]):
+    def __init__(self, languages: list[str], rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str]):
+        """``rows`` are the features of the labelled texts."""
         self.languages = languages
         self.families = sorted({family(x) for x in languages})
         size = len(ORDERS) << FEATURE_BITS
-        rows = [sparse(t) for t in texts]
         mean = np.zeros(size)
         for index, value in rows:
             mean[index] += value / max(len(rows), 1)
@@ -185,13 +185,27 @@ def sample(docs: DataFrame, per_language: int) -> list:
         return []
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id bigint, lang string").distinct()
     rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "doc_id", "text")
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(len(ids)).collect()
+    found = rows.mapInArrow(_features, "lang string, doc_id bigint, indices binary, values binary")
+    return found.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(len(ids)).collect()
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the rows with a letter: what is collected does not grow with the texts."""
+    for block in blocks(batches):
+        known = [bool(t) and _LETTER.search(t) is not None for t in block.column("text").to_pylist()]
+        block = block.filter(pa.array(known, pa.bool_()))
+        found = [sparse(t) for t in block.column("text").cast(pa.binary()).to_pylist()]
+        indices = pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary())
+        values = pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [block.column("lang"), block.column("doc_id"), indices, values], names=["lang", "doc_id", "indices", "values"]
+        )
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     rows = sample(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang"), per_language)
-    rows = [r for r in rows if r.text and _LETTER.search(r.text)]
-    return Model(sorted({r.lang for r in rows}), [r.text.encode("utf-8") for r in rows], [r.lang for r in rows])
+    features = [(np.frombuffer(r["indices"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in rows]
+    return Model(sorted({r.lang for r in rows}), features, [r.lang for r in rows])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

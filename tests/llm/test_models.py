@@ -1,0 +1,259 @@
+"""Learned operators, decontamination, pseudonyms and the pipeline."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from escrutinio.llm import decontamination, language_id, pii, queries, toxicity
+from escrutinio.llm.common import ship
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id bigint, text string, lang string, score double, toxic int, item_id bigint, pii string"
+KEY = "test key"
+
+
+def frame(spark, rows):
+    return ship(spark).createDataFrame([(i, t, lang, 0.5, 7, 1, "x") for i, t, lang in rows], SCHEMA)
+
+
+WORDS = {
+    "en": "the of and with that from thing other where".split(),
+    "de": "der und nicht mit schon auch eine straße über".split(),
+    "fr": "le des avec été où quelque même toujours".split(),
+    "es": "los que para niño donde también mañana ellos".split(),
+}
+
+
+def _texts(n, seed):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        lang = sorted(WORDS)[k % 4]
+        rows.append((seed * 1000 + k, " ".join(rng.choice(WORDS[lang], 8 + k % 20)), lang))
+    return rows
+
+
+def test_languages(spark):
+    rows = _texts(160, 1)
+    odd = [(1, None, "en"), (2, "", "en"), (3, "12 !? \n", "de"), (None, "der und nicht", None), (5, "x" * 300_000, None)]
+    odd.append(rows[0])
+    docs = frame(spark, rows + odd).repartition(3)
+    model = language_id.learn(docs)
+    found = language_id.predict(docs, model)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    found = found.collect()
+    assert len(found) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in found)
+    lang = {i: x for i, _, x in rows}
+    assert all(r.lang_pred == lang[r.doc_id] for r in found if r.doc_id in lang)
+    assert {r.lang_pred for r in found if r.doc_id in (1, 2, 3)} == {"und"}
+    assert {r.lang_pred for r in found if r.doc_id is None} == {"de"}
+    kept = language_id.keep_known(docs, model)
+    assert kept.columns == docs.columns and kept.count() == len(rows) + 3
+
+
+@pytest.mark.parametrize(("rows", "expected"), [([], None), ([(4, "abc", None)], "und"), ([(4, "abc", "xx"), (8, "d", None)], "xx")])
+def test_few_languages(spark, rows, expected):
+    docs = frame(spark, rows)
+    assert {r.lang_pred for r in language_id.predict(docs, language_id.learn(docs)).collect()} == ({expected} - {None})
+
+
+def test_language_of_held_out_documents(spark):
+    docs = ship(spark).read.parquet(f"{SF}/documents.parquet")
+    found = queries.queries()["op5_language_id"](spark, SF).filter("held_out AND lang_pred <> 'und'")
+    right = found.join(docs.select("doc_id", "lang"), "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")))
+    assert right.first()[0] > 0.98
+
+
+def test_toxicity_of_held_out_documents(spark):
+    labels = ship(spark).read.parquet("/root/testdata/sf0.1/labels.parquet")
+    found = queries.queries()["op7_toxicity"](spark, "/root/testdata/sf0.1")
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = found.filter("held_out").join(labels, "doc_id").select("toxic", "score", "predicted").collect()
+    bad, good = ([r for r in rows if r.toxic == c] for c in (1, 0))
+    above = np.searchsorted(np.sort([r.score for r in good]), [r.score for r in bad]).mean() / len(good)
+    assert above > 0.9
+    assert np.mean([r.predicted for r in bad]) > 0.5 and np.mean([r.predicted for r in good]) < 0.05
+
+
+def test_toxicity_of_odd_tables(spark):
+    docs = frame(spark, [(4, None, None), (5, "", None), (None, "some words", None), (4, "some words", None), (7, "y " * 9000, None)])
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    labels = spark.createDataFrame([(4, 1), (4, 0), (5, 1), (None, 1), (7, None)], "doc_id bigint, toxic int")
+    for known in (none, labels):
+        found = toxicity.score(docs, toxicity.learn(docs, known)).collect()
+        assert len(found) == 5 and all(0 <= r.score <= 1 for r in found)
+    empty = docs.limit(0)
+    assert toxicity.score(empty, toxicity.learn(empty, labels)).collect() == []
+
+
+def test_backoff_is_shared():
+    """A word that neither class has seen more of costs both the same; a toxic one does not."""
+    shared = np.array([10.0, 10.0, 1.0, 1.0]) / 22
+    ordinary = toxicity._backoff(np.array([10.0, 0.0, 1.0, 0.0]), shared)
+    toxic = toxicity._backoff(np.array([0.0, 10.0, 0.0, 1.0]), shared)
+    assert abs(ordinary.sum() - 1) < 1e-9 and abs(toxic.sum() - 1) < 1e-9
+    ratio = np.log(toxic / ordinary)
+    assert ratio[1] > 1.5 * abs(ratio[3]) and ratio[0] < -1.5 * abs(ratio[2])
+
+
+def _tiles_slowly(left, right, least):
+    """Every longest unmarked run, found by looking everywhere, again and again."""
+    marked = [False] * len(left), [False] * len(right)
+    total = []
+    while True:
+        best = (0, 0, 0)
+        for p in range(len(left)):
+            for t in range(len(right)):
+                n = 0
+                while p + n < len(left) and t + n < len(right) and left[p + n] == right[t + n] and not marked[0][p + n] and not marked[1][t + n]:
+                    n += 1
+                best = max(best, (n, -t, -p))
+        if best[0] < least:
+            return total
+        n, t, p = best[0], -best[1], -best[2]
+        marked[0][p : p + n], marked[1][t : t + n] = [True] * n, [True] * n
+        total.append(n)
+
+
+@pytest.mark.parametrize("seed", range(8))
+@pytest.mark.parametrize("letters", [2, 5, 30])
+def test_tiles(seed, letters):
+    rng = np.random.default_rng(seed)
+    right = rng.integers(1, letters, 25).astype(np.uint64)
+    left = np.concatenate((rng.integers(1, letters, 20), right[12:], rng.integers(1, letters, 5), right[:12])).astype(np.uint64)
+    found = decontamination.tile(left, right, 3)
+    assert all((left[p : p + n] == right[t : t + n]).all() for p, t, n in found)
+    assert sorted((n for _, _, n in found), reverse=True) == _tiles_slowly(left.tolist(), right.tolist(), 3)
+
+
+@pytest.mark.parametrize("block_bytes", [1, 1 << 24])
+def test_decontamination(spark, block_bytes):
+    item = [f"word{k}" for k in range(40)]
+    other = [f"else{k}" for k in range(60)]
+    docs = frame(
+        spark,
+        [
+            (1, " ".join(other + item + other), None),
+            (2, " ".join(item[20:] + other + item[:20]).upper() + "!", None),
+            (3, " ".join(x for pair in zip(item, other, strict=False) for x in pair), None),
+            (4, " ".join(other + item[:10]), None),
+            (5, None, None),
+            (6, "", None),
+            (7, "a b c", None),
+            (1, " ".join(item), None),
+            (None, " ".join(item), None),
+        ],
+    )
+    rows = [(7, " ".join(item)), (8, "a b c"), (9, None), (10, ""), (None, "one more item that no document has at all")]
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in rows], "item_id bigint, text string, doc_id bigint")
+    found = decontamination.matches(docs, benchmark, block_bytes=block_bytes).collect()
+    assert Counter((r.doc_id, r.item_id, r.item_words, r.covered_words) for r in found) == Counter(
+        [(1, 7, 40, 40), (2, 7, 40, 40), (1, 7, 40, 40), (None, 7, 40, 40)]
+    )
+    kept = decontamination.clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 4, 5, 6, 7, None])
+    assert decontamination.matches(docs.limit(0), benchmark).collect() == []
+    assert decontamination.matches(docs, benchmark.limit(0)).collect() == []
+
+
+def test_planted_passages_are_found(spark):
+    found = queries.queries()["op4_decontamination"](spark, SF).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    verbatim = {(d, i) for d, text in docs.items() for i, item in items.items() if item in text}
+    assert verbatim <= {(r.doc_id, r.item_id) for r in found}
+
+
+def luhn(digits):
+    double = [int(d) * 2 - 9 * (int(d) > 4) for d in digits[-2::-2]]
+    return (sum(double) + sum(map(int, digits[-1::-2]))) % 10 == 0
+
+
+VALUES = {
+    "card": ["4111111111111111", "4111-1111-1111-1111", "378282246310005", "5555 5555 5555 4444"],
+    "iban": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"],
+    "phone": ["+1 (743) 555-3824", "212-555-0199", "(212) 555-0199"],
+    "intl": ["+44 20 7946 0958"],
+    "ssn": ["219-09-9999", "667-01-0001"],
+    "ip": ["152.143.123.131", "0.0.0.0", "255.255.255.255"],
+    "date": ["1999-12-31", "2000-02-29", "31.12.1999", "2/29/2000", "31/12/1999"],
+    "email": ["jane.Doe_99@mail5.example.com"],
+}
+NOT_VALID = ["4111111111111112", "219-00-9999", "666-12-3456", "256.1.1.1", "2001-02-29", "32.01.2000", "DE88370400440532013000", "v1.2.3", "12345"]
+
+
+def test_pseudonyms_keep_form_and_validity(spark):
+    rows = [(k, f"see {v}, and {v}.", None) for k, v in enumerate(v for vs in VALUES.values() for v in vs)]
+    docs = frame(spark, rows)
+    found = {r.doc_id: r for r in pii.pseudonymise(docs, KEY).collect()}
+    kinds = [kind for kind, vs in VALUES.items() for _ in vs]
+    again = {r.doc_id: r for r in pii.pseudonymise(docs.withColumn("text", F.col("text")), "another").collect()}
+    for k, kind in enumerate(kinds):
+        text = found[k].text
+        first, second = re.fullmatch(r"see (.*), and (.*)\.", text).groups()
+        value = rows[k][1].split("see ")[1].split(", and")[0]
+        assert first == second != value and again[k].text != text
+        assert found[k].pii[kind] == 2 and sum(found[k].pii.values()) == 2
+        if kind not in ("ip", "date"):
+            assert re.sub("[0-9]", "9", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", first))) == re.sub(
+                "[0-9]", "9", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", value))
+            )
+        if kind == "card":
+            assert luhn(re.sub(r"\D", "", first))
+    # The same card under two punctuations stays linked.
+    assert re.sub(r"\D", "", found[0].text) == re.sub(r"\D", "", found[1].text)
+    # Pseudonyms pass the checks of their kind in turn.
+    second = pii.pseudonymise(docs.sparkSession.createDataFrame([(k, r.text) for k, r in found.items()], "doc_id bigint, text string"), KEY)
+    assert all(r.pii[kinds[r.doc_id]] == 2 for r in second.collect())
+
+
+def test_what_fails_its_check_stays(spark):
+    docs = frame(spark, [(k, v, None) for k, v in enumerate(NOT_VALID)] + [(50, None, None), (51, "", None), (51, "", None)])
+    found = pii.pseudonymise(docs, KEY)
+    assert found.columns == [c for c in docs.columns if c != "pii"] + ["pii"]
+    assert Counter((r.doc_id, r.text) for r in found.collect()) == Counter((r.doc_id, r.text) for r in docs.collect())
+    assert pii.pseudonymise(docs.limit(0), KEY).collect() == []
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_networks_are_permutations(spark):
+    pairs = spark.range(189 * 12).selectExpr("id div 12 AS l", "id % 12 AS r")
+    new = pairs.select("l", "r", pii.permuted(KEY, "k", F.col("l"), F.col("r"), 189, 12).alias("p"))
+    assert new.select("p").distinct().count() == 189 * 12
+    back = new.select("l", "r", pii.permuted(KEY, "k", F.col("p.l"), F.col("p.r"), 189, 12, back=True).alias("q"))
+    assert back.filter("q.l <> l OR q.r <> r").count() == 0
+    texts = spark.createDataFrame([(t,) for t in ["", "7", "aB3-x", "9" * 90, "Zz" * 40]], "t string")
+    there = texts.select("t", pii.permuted_text(KEY, "k", F.col("t")).alias("n"))
+    assert there.filter(pii.permuted_text(KEY, "k", F.col("n"), back=True) != F.col("t")).count() == 0
+
+
+def test_days_are_a_permutation(spark):
+    days = spark.sql("SELECT explode(sequence(date'1800-01-01', date'2199-12-31', interval 97 days)) AS d")
+    new = days.select("d", pii._new_day(KEY, F.year("d"), F.month("d"), F.dayofmonth("d")).alias("n"))
+    assert new.select("n").distinct().count() == new.count()
+    assert new.filter("n < '1800-01-01' OR n > '2199-12-31'").count() == 0
+
+
+def test_pipeline(spark):
+    """Each stage's decisions are those of its operator, and the last packs what is left."""
+    docs = ship(spark).read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    kept = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, SF), f"test-{name}")
+        assert docs.columns == columns
+        kept.append(docs.count())
+    assert kept == sorted(kept, reverse=True) and kept[-1] > 0.8 * kept[0]
+    spaced = F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")
+    assert docs.select(spaced).distinct().count() == kept[-1]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).groupBy("doc_id").agg(F.sum("length"), F.max("doc_tokens")).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    assert {r[0]: r[1] for r in pieces} == expected == {r[0]: r[2] for r in pieces}

@@ -1,3 +1,5 @@
+import pytest
+
 from escrutinio.operators import reference as R
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.sources import tables

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from escrutinio.operators import votes as V
@@ -97,7 +98,8 @@ def test_what_is_not_one_vote_is_rejected_whole(spark, text):
 
 
 def test_a_dated_copy_wins_over_one_without_a_time(spark):
-    rows = [("1", None, "A"), ("1", AT, "X"), ("2", None, "B"), ("2", None, "A")]
+    at = datetime(2024, 5, 1)
+    rows = [("1", None, "A"), ("1", at, "X"), ("2", None, "B"), ("2", None, "A")]
     copies = spark.createDataFrame(rows, "id string, timestamp timestamp, political_party string")
     assert {(r["id"], r["political_party"]) for r in V.dedup_votes(copies).collect()} == {("1", "X"), ("2", "A")}
     with pytest.raises(ValueError, match="no such columns"):

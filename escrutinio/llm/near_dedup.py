@@ -47,7 +47,9 @@ CHUNKS, SYMBOLS, ERRORS = 10, 6, 1
 #: similarity of 0.8 the mean is 12, and more than 28 differ less than once in a million times.
 FAR = 28
 _CELLS = 1 << 22  # symbols compared at once
-BLOCK_MEMBERS = 512
+#: Members of a key, and shingles of their sets, that make up a block.
+BLOCK_MEMBERS = 2048
+BLOCK_SHINGLES = 1 << 23
 
 _SIZE = CHUNKS * SYMBOLS
 _RANDOM = np.random.default_rng(20).integers(0, 1 << 63, size=(2, _SIZE), dtype=np.int64).astype(np.uint64)
@@ -268,22 +270,26 @@ class _Join:
         """Links (a, b) between components whose members share a key."""
         threshold = self.threshold
         placed = self.members.filter("n > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-        placed = placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        open_rows = placed.join(open_keys.filter("lo < hi").select("key"), "key", "left_semi")
-        cut = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-        rows = open_rows.withColumn("cut", cut).withColumn("block", F.pmod(F.xxhash64("rep"), "cut").cast("int"))
-        rows = rows.join(self.signatures, "rep")
+        placed = placed.join(self.signatures.drop("signature"), "rep")
+        placed = placed.select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("comp"))
+        size = F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)
+        keys = placed.groupBy("key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(size).cast("int").alias("cut")
+        )
+        open_rows = placed.drop("n_shingles").join(keys.filter("lo < hi").select("key", "cut"), "key")
+        rows = open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), "cut").cast("int")).join(self.signatures, "rep")
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
         rows = rows.withColumn("unit", F.xxhash64("key", "low", "high"))
-        bins = F.pmod(F.xxhash64("unit"), F.lit(4 * shuffles(rows.sparkSession)))
+        tasks = shuffles(rows.sparkSession)
+        bins = F.pmod(F.xxhash64("unit"), F.lit(4 * tasks))
         rows = rows.select("unit", "key", "low", "high", "rep", "comp", "block", "signature", "n_shingles", bins.alias("bin"))
-        near = rows.groupBy("bin").applyInArrow(
+        # Dealt out by hand: small tables that take long to work on are not to be coalesced.
+        near = rows.repartition(tasks, "bin").groupBy("bin").applyInArrow(
             lambda table: _open_pairs(table, threshold), "unit bigint, rep bigint, partners binary"
         )
         near = written(near, "near-units").join(self.sets, "rep").withColumn("bin", bins)
-        return near.groupBy("bin").applyInArrow(lambda table: _joined(table, threshold), "a bigint, b bigint")
+        return near.repartition(tasks, "bin").groupBy("bin").applyInArrow(lambda table: _joined(table, threshold), "a bigint, b bigint")
 
 
 def mark(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

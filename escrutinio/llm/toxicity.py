@@ -40,7 +40,7 @@ SPANS = (1, 3, 12)
 CALIBRATION = 20_000
 DISCOUNT = 0.75
 CUTOFF = 0.3
-_BLOCK_BYTES = 1 << 23
+_BLOCK_BYTES = 1 << 22
 
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[list(b".,;:!?\"'()[]{}*#$%&-_/|")] = True
@@ -162,19 +162,16 @@ def _backoff(continuations: np.ndarray, shared: np.ndarray) -> np.ndarray:
 def _ratios(size: int, heads, nexts, kept) -> tuple[np.ndarray, ...]:
     """Bigram keys, their ratios, and the ratio of the backoff probability of each word."""
     counts, kinds, mass, continued = (np.zeros((2, size + 2)) for _ in range(4))
-    for row in heads:
-        at = row.toxic, row.before
-        counts[at], kinds[at], mass[at] = row.n, row.kinds, row.mass
-    for row in nexts:
-        continued[row.toxic, row.word] = row.kinds
+    at = heads["toxic"], heads["before"]
+    counts[at], kinds[at], mass[at] = heads["n"], heads["kinds"], heads["mass"]
+    continued[nexts["toxic"], nexts["word"]] = nexts["kinds"]
     shared = continued.sum(axis=0) + 0.5
     shared /= shared.sum()
     lower = np.stack([_backoff(continued[c], shared) for c in (0, 1)])
     # Both classes back off with the weight that their counts together give.
     weight = np.minimum(DISCOUNT * kinds.sum(axis=0) / np.maximum(counts.sum(axis=0), 1), 1.0)
-    before = np.array([r.before for r in kept], dtype=np.int64)
-    word = np.array([r.word for r in kept], dtype=np.int64)
-    seen = np.array([[r.ordinary for r in kept], [r.toxic for r in kept]], dtype=float).reshape(2, -1)
+    before, word = kept["before"], kept["word"]
+    seen = np.stack((kept["ordinary"], kept["toxic"])).astype(float)
     known = mass[:, before] > 0
     higher = np.where(known, np.maximum(seen - DISCOUNT, 0) / np.maximum(mass[:, before], DISCOUNT), lower[:, word])
     p = (1 - weight[before]) * higher + weight[before] * lower[:, word]
@@ -184,6 +181,12 @@ def _ratios(size: int, heads, nexts, kept) -> tuple[np.ndarray, ...]:
     return keys[order], (np.log(p[1] + tiny) - np.log(p[0] + tiny))[order], np.log(lower[1]) - np.log(lower[0])
 
 
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    """A table of bounded size as arrays on the driver."""
+    table = df.toArrow()
+    return {name: table.column(name).to_numpy().copy() for name in table.column_names}
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic (0 or 1) and fold of the labelled rows outside the held-out fold."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
@@ -201,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     words = counted.mapInArrow(_unigrams, "word bigint, docs bigint")
     words = words.groupBy("word").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).select("word")
     # At most (distinct words of a document) / VOCABULARY_SHARE words.
-    vocabulary = np.sort(np.array([r.word for r in words.collect()], dtype=np.int64).view(np.uint64))
+    vocabulary = np.sort(_columns(words)["word"].view(np.uint64))
     size = len(vocabulary)
     blank = Model(vocabulary, *(np.zeros(0) for _ in range(2)), np.zeros(size + 2), np.zeros(0))
 
@@ -228,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     total = bigrams.agg(F.sum("n")).first()[0] or 0
     by_class = [F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(name) for c, name in ((0, "ordinary"), (1, "toxic"))]
     kept = bigrams.groupBy("before", "word").agg(*by_class).filter(F.col("ordinary") + F.col("toxic") >= max(LEAST, BIGRAM_SHARE * total))
-    model = Model(vocabulary, *_ratios(size, heads.collect(), nexts.collect(), kept.collect()), np.zeros(0))
+    model = Model(vocabulary, *_ratios(size, *map(_columns, (heads, nexts, kept))), np.zeros(0))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):

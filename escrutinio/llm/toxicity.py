@@ -1,19 +1,22 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two bigram models of words, one of toxic and one of ordinary documents, are counted in
-Spark over all labelled rows outside the held-out fold. Each discounts its bigrams and
-backs off to its own continuation counts, and these to the continuation counts of both
-classes together: an expression too rare to tell costs both models the same. The vocabulary
-are the words of at least one in ``1 / VOCABULARY_SHARE`` labelled documents (and
-``LEAST`` of them); others are one unknown word. Bigrams rarer than ``BIGRAM_SHARE`` of all
-are left to the backoff. Both bounds are shares, so the model's size depends on the
-documents' length and not on their number.
+Spark over the labelled rows outside the held-out fold and the fold of remainder 3, every word and bigram of them. Each
+discounts its continuation counts and backs off to those of both classes together. The
+occurrences of a bigram are expected in the classes as those of its first word, tilted by its
+second; its discounted count in each class is mixed with ``PRIOR`` occurrences as expected.
+An expression too rare to tell costs both models nearly the same; none is left out.
+
+The log-likelihood ratios of all bigrams and words are one Spark table. The most frequent
+ones, ``HOT`` at most, also go to the tasks; n-grams of a document that are not among
+them are joined with the table and come back to the document by a key of its text. Which
+way a ratio is found does not change it.
 
 A document has length-normalised comparisons of the likelihoods, toxic against ordinary:
 over the whole text, and over its most toxic stretches of ``SPANS`` words, which a long
-text does not dilute. A logistic function of them, fitted on the labelled rows of one fold
-(remainder 3, at most ``CALIBRATION`` of them; the models are counted on the others), gives
-the score.
+text does not dilute. A logistic function of them gives the score. It is fitted on at most
+``CALIBRATION`` labelled rows of one fold (remainder 3), scored by ratios of the same counts
+without those rows; the scores use the counts of all.
 
 Cases: null and empty texts have the comparison 0 and the score that goes with it. Rows
 without a label, or whose labels contradict each other, teach nothing. Without labelled
@@ -26,19 +29,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from escrutinio.llm.common import held_out, written
-from escrutinio.llm.text import Words, blocks
+from escrutinio.llm.text import Words, blocks, mix
 from escrutinio.operators.joins import broadcast_if_small
 
-VOCABULARY_SHARE = 1 / 4000
-BIGRAM_SHARE = 1e-6
-LEAST = 3
+HOT = 1 << 18
 SPANS = (1, 3, 12)
 CALIBRATION = 20_000
 DISCOUNT = 0.75
+PRIOR = 8.0
 CUTOFF = 0.3
 _BLOCK_BYTES = 1 << 22
 
@@ -60,64 +62,81 @@ def _rows_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
-def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per word and class, within a block."""
-    for block in blocks(batches, limit=_BLOCK_BYTES):
-        hashed, offsets = word_hashes(block.column("text"))
-        toxic = block.column("toxic").to_numpy()
-        rows = _rows_of(offsets)
-        order = np.lexsort((rows, hashed))
-        h, r = hashed[order], rows[order]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-        h, r = h[new], r[new]
-        found, counts = np.unique(h, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["word", "docs"])
+def bigram_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One 64-bit hash of two words; a word alone is its own key."""
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def looked_up(keys: np.ndarray, ratios: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The ratios of the wanted keys, NaN where there is none; ``keys`` ascends."""
+    if not len(keys):
+        return np.full(len(wanted), np.nan, dtype=np.float32)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, ratios[at], np.float32(np.nan))
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratios of the two models, and the logistic function on top."""
+    """The most frequent log-likelihood ratios, and the logistic function on top."""
 
-    vocabulary: np.ndarray  # sorted word hashes
-    keys: np.ndarray  # sorted bigrams as previous * (V + 2) + word
-    ratios: np.ndarray  # of these bigrams
-    words: np.ndarray  # ratio of the backoff probabilities by word
+    keys: np.ndarray  # sorted hashes of bigrams and words
+    ratios: np.ndarray  # NaN if only the calibration sample has the key
+    unseen: float  # ratio of a word that no labelled row has
     logistic: np.ndarray
 
-    def ids(self, hashed: np.ndarray) -> np.ndarray:
-        """Places in the vocabulary; its size stands for the unknown word."""
-        if not len(self.vocabulary):
-            return np.zeros(len(hashed), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashed), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashed, at, len(self.vocabulary))
-
-    def features(self, column: pa.Array) -> np.ndarray:
-        """The mean ratio of each text and those of its most toxic spans."""
-        hashed, offsets = word_hashes(column)
+    def missing(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Keys that are not among the most frequent, and their rows."""
+        words, offsets = word_hashes(column)
+        pairs, rows = bigram_keys(previous(words, offsets), words), _rows_of(offsets)
+        far = ~self._has(pairs)
+        lone = far & ~self._has(words)
+        keys = np.concatenate((pairs[far], words[lone]))
+        rows = np.concatenate((rows[far], rows[lone]))
+        order = np.lexsort((keys, rows))
+        keys, rows = keys[order], rows[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+        return keys[new], rows[new]
+
+    def _has(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(wanted), dtype=bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)] == wanted
+
+    def features(self, column: pa.Array, keys: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+        """The mean ratio of each text and those of its most toxic spans.
+
+        ``keys`` and ``ratios`` are what the table has of the missing keys.
+        """
+        words, offsets = word_hashes(column)
         out = np.zeros((len(column), 1 + len(SPANS)))
-        if not len(hashed):
+        if not len(words):
             return out
-        ids = self.ids(hashed)
-        before = previous(ids, offsets, len(self.vocabulary))
-        ratio = self.words[ids]
-        if len(self.keys):
-            keys = before * (len(self.vocabulary) + 2) + ids
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            ratio = np.where(self.keys[at] == keys, self.ratios[at], ratio)
+        ratio = np.full(len(words), np.nan, dtype=np.float64)
+        for wanted in (bigram_keys(previous(words, offsets), words), words):
+            for table in ((self.keys, self.ratios), (keys, ratios)):
+                open_ = np.flatnonzero(np.isnan(ratio))
+                ratio[open_] = looked_up(*table, wanted[open_])
+        ratio[np.isnan(ratio)] = self.unseen
         sums = np.concatenate(([0.0], np.cumsum(ratio)))
         counts = np.diff(offsets)
         full = counts > 0
         out[full, 0] = (sums[offsets[1:]] - sums[offsets[:-1]])[full] / counts[full]
-        starts, ends = np.arange(len(ids)), np.repeat(offsets[1:], counts)
+        starts, ends = np.arange(len(words)), np.repeat(offsets[1:], counts)
         for k, span in enumerate(SPANS):
             # Short of the text's end a span is cut, but still divided by its full length.
             sides = sums[np.minimum(starts + span, ends)] - sums[starts]
             out[full, k + 1] = np.maximum.reduceat(sides / np.minimum(span, np.repeat(counts, counts)), offsets[:-1][full])
         return out
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        return sigmoid(expanded(self.features(column)) @ self.logistic)
+
+@dataclass
+class Learned:
+    """A model and the table of all ratios: key, n, ratio, base (without the calibration sample)."""
+
+    model: Model
+    table: DataFrame
+    whole: bool  # the model has the whole table
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -128,11 +147,11 @@ def expanded(features: np.ndarray) -> np.ndarray:
     return np.concatenate((np.ones((len(features), 1)), features), axis=1)
 
 
-def previous(ids: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
-    """The word before each; size + 1 stands for the start of a text."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[offsets[:-1][np.diff(offsets) > 0]] = size + 1
+def previous(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The word before each; 0 stands for the start of a text."""
+    before = np.zeros_like(words)
+    before[1:] = words[:-1]
+    before[offsets[:-1][np.diff(offsets) > 0]] = 0
     return before
 
 
@@ -151,34 +170,47 @@ def fit_logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return weights
 
 
+def _smoothed(kinds: np.ndarray, total: float, kept: float, shared: np.ndarray) -> np.ndarray:
+    """Continuation probabilities of one class over those of both, from its totals."""
+    return np.maximum(kinds - DISCOUNT, 0) / total + (1 - kept / total) * shared
+
+
 def _backoff(continuations: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """Continuation probabilities of one class over those of both."""
-    total = max(continuations.sum(), 1)
-    kept = np.maximum(continuations - DISCOUNT, 0)
-    rest = 1 - kept.sum() / total
-    return kept / total + rest * shared
-
-
-def _ratios(size: int, heads, nexts, kept) -> tuple[np.ndarray, ...]:
-    """Bigram keys, their ratios, and the ratio of the backoff probability of each word."""
-    counts, kinds, mass, continued = (np.zeros((2, size + 2)) for _ in range(4))
-    at = heads["toxic"], heads["before"]
-    counts[at], kinds[at], mass[at] = heads["n"], heads["kinds"], heads["mass"]
-    continued[nexts["toxic"], nexts["word"]] = nexts["kinds"]
-    shared = continued.sum(axis=0) + 0.5
-    shared /= shared.sum()
-    lower = np.stack([_backoff(continued[c], shared) for c in (0, 1)])
-    # Both classes back off with the weight that their counts together give.
-    weight = np.minimum(DISCOUNT * kinds.sum(axis=0) / np.maximum(counts.sum(axis=0), 1), 1.0)
-    before, word = kept["before"], kept["word"]
-    seen = np.stack((kept["ordinary"], kept["toxic"])).astype(float)
-    known = mass[:, before] > 0
-    higher = np.where(known, np.maximum(seen - DISCOUNT, 0) / np.maximum(mass[:, before], DISCOUNT), lower[:, word])
-    p = (1 - weight[before]) * higher + weight[before] * lower[:, word]
-    keys = before * (size + 2) + word
-    order = np.argsort(keys)
-    tiny = 1e-12
-    return keys[order], (np.log(p[1] + tiny) - np.log(p[0] + tiny))[order], np.log(lower[1]) - np.log(lower[0])
+    return _smoothed(continuations, max(continuations.sum(), 1), np.maximum(continuations - DISCOUNT, 0).sum(), shared)
+
+
+@dataclass
+class Totals:
+    """Words, tokens, and continuations of all words, before and after the discount, of each class."""
+
+    words: int
+    tokens: tuple[float, float]
+    total: tuple[float, float]
+    kept: tuple[float, float]
+
+    def lower(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Backoff probabilities of both classes (2 x n), and those they share."""
+        shared = (kinds.sum(axis=0) + 0.5) / (sum(self.total) + 0.5 * (self.words + 1))
+        return np.stack([_smoothed(kinds[c], max(self.total[c], 1), self.kept[c], shared) for c in (0, 1)]), shared
+
+    def unseen(self) -> float:
+        lower, _ = self.lower(np.zeros((2, 1)))
+        return float(np.log(lower[1] / lower[0])[0])
+
+
+def _word_ratios(totals: Totals, kinds: np.ndarray) -> np.ndarray:
+    lower, _ = totals.lower(kinds)
+    return np.where(kinds.sum(axis=0) > 0, np.log(lower[1] / lower[0]), np.nan)
+
+
+def _bigram_ratios(totals: Totals, n: np.ndarray, kinds: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """``n``, the continuations ``kinds`` of the second word and the counts ``head`` of the first are 2 x bigrams."""
+    lower, shared = totals.lower(kinds)
+    usual = np.array(totals.tokens)[:, None] / max(sum(totals.tokens), 1)
+    share = (head + PRIOR * usual) / (head.sum(axis=0) + PRIOR) * lower / shared
+    expected = n.sum(axis=0) * share / np.maximum(share.sum(axis=0), 1e-12)
+    own = (np.maximum(n - DISCOUNT, 0) + PRIOR) / (expected + PRIOR) * lower
+    return np.where(n.sum(axis=0) > 0, np.log(own[1] / own[0]), np.nan)
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -196,72 +228,164 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(broadcast_if_small(known), "doc_id")
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = labelled(docs, labels)
-    counted = rows.filter("fold <> 3").select("text", "toxic")
-    classes = {r.toxic: r.n for r in counted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least = max(LEAST, VOCABULARY_SHARE * sum(classes.values()))
-    words = counted.mapInArrow(_unigrams, "word bigint, docs bigint")
-    words = words.groupBy("word").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).select("word")
-    # At most (distinct words of a document) / VOCABULARY_SHARE words.
-    vocabulary = np.sort(_columns(words)["word"].view(np.uint64))
-    size = len(vocabulary)
-    blank = Model(vocabulary, *(np.zeros(0) for _ in range(2)), np.zeros(size + 2), np.zeros(0))
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bigrams of each class (toxic + 2 * held) within a block."""
+    for block in blocks(batches, limit=_BLOCK_BYTES):
+        words, offsets = word_hashes(block.column("text"))
+        before = previous(words, offsets)
+        group = block.column("group").to_numpy()[_rows_of(offsets)].astype(np.uint64)
+        keys = (bigram_keys(before, words) & ~np.uint64(3)) | group
+        _, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(before[first].view(np.int64)), pa.array(words[first].view(np.int64)), pa.array(group[first].astype(np.int32)), pa.array(counts)],
+            names=["before", "word", "group", "n"],
+        )
+
+
+#: Counts of all rows, and without the calibration sample.
+_SETS = ("all", "base")
+
+
+def _seen(kind: str, c: int) -> Column:
+    return F.col(f"n{c}") if kind == "all" else F.col(f"n{c}") - F.col(f"h{c}")
+
+
+def _some(x: Column) -> Column:
+    return F.sum((x > 0).cast("bigint"))
+
+
+def _ratio_table(bigrams: DataFrame) -> tuple[DataFrame, dict[str, Totals]]:
+    """key, n, ratio and base of every bigram and word, and the totals of both sets."""
+    kept = lambda x: F.greatest(x - DISCOUNT, F.lit(0.0))
+    heads, nexts, sums = [], [], [F.count(F.lit(1)).alias("words")]
+    for s in _SETS:
+        x = [_seen(s, c) for c in (0, 1)]
+        heads += [F.sum(x[c]).alias(f"{s}_head{c}") for c in (0, 1)]
+        nexts += [_some(x[c]).alias(f"{s}_next{c}") for c in (0, 1)] + [F.sum(x[c]).alias(f"{s}_n{c}") for c in (0, 1)]
+        for c in (0, 1):
+            at = F.col(f"{s}_next{c}")
+            sums += [F.sum(f"{s}_n{c}").alias(f"{s}_tokens{c}"), F.sum(at).alias(f"{s}_total{c}"), F.sum(kept(at)).alias(f"{s}_kept{c}")]
+        sums.append(_some(F.col(f"{s}_next0") + F.col(f"{s}_next1")).alias(f"{s}_words"))
+    heads = bigrams.groupBy("before").agg(*heads)
+    nexts = written(bigrams.groupBy("word").agg(F.sum(F.col("n0") + F.col("n1")).alias("n"), *nexts), "toxic-words")
+    found = nexts.agg(*sums).first()
+    totals = {
+        s: Totals(found[f"{s}_words"] or 0, *(tuple(float(found[f"{s}_{k}{c}"] or 0) for c in (0, 1)) for k in ("tokens", "total", "kept"))) for s in _SETS
+    }
+
+    def column(block: pa.RecordBatch, name: str) -> np.ndarray:
+        return block.column(block.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+    def packed(keys: np.ndarray, n: np.ndarray, ratios: list[np.ndarray]) -> pa.RecordBatch:
+        values = [pa.array(keys.view(np.int64)), pa.array(n), *(pa.array(r.astype(np.float32)) for r in ratios)]
+        return pa.RecordBatch.from_arrays(values, names=["key", "n", "ratio", "base"])
+
+    def both(block: pa.RecordBatch, name: str) -> np.ndarray:
+        return np.stack([column(block, f"{name}{c}") for c in (0, 1)]).astype(float)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in batches:
+            yield packed(column(block, "word").view(np.uint64), column(block, "n"), [_word_ratios(totals[s], both(block, f"{s}_next")) for s in _SETS])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=_BLOCK_BYTES):
-            hashed, offsets = word_hashes(block.column("text"))
-            ids = blank.ids(hashed)
-            keys = previous(ids, offsets, size) * (size + 2) + ids
-            toxic = block.column("toxic").to_numpy()[_rows_of(offsets)]
-            found, counts = np.unique(keys * 2 + toxic, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found & 1), pa.array((found >> 1) // (size + 2)), pa.array((found >> 1) % (size + 2)), pa.array(counts)],
-                names=["toxic", "before", "word", "n"],
-            )
+        for block in batches:
+            n, held = both(block, "n"), both(block, "h")
+            seen = (("all", n), ("base", n - held))
+            ratios = [_bigram_ratios(totals[s], x, both(block, f"{s}_next"), both(block, f"{s}_head")) for s, x in seen]
+            keys = bigram_keys(column(block, "before").view(np.uint64), column(block, "word").view(np.uint64))
+            yield packed(keys, n.sum(axis=0).astype(np.int64), ratios)
+
+    schema = "key bigint, n bigint, ratio float, base float"
+    joined = bigrams.join(broadcast_if_small(heads), "before").join(broadcast_if_small(nexts.select("word", *[f"{s}_next{c}" for s in _SETS for c in (0, 1)])), "word")
+    table = joined.mapInArrow(pairs, schema).unionByName(nexts.mapInArrow(words, schema))
+    return written(table, "toxic-ratios"), totals
+
+
+def _frequent(table: DataFrame, hot: int) -> tuple[dict[str, np.ndarray], bool]:
+    """The rows of the highest counts, at most ``hot`` of them, and whether these are all."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    sizes = table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("step")).collect()
+    total, least = 0, None
+    for r in sizes:  # some hundred
+        if total + r.rows > hot:
+            break
+        total, least = total + r.rows, r.step
+    some = table.filter(step >= least) if least is not None else table.limit(0)
+    columns = _columns(some.select("key", "ratio", "base"))
+    order = np.argsort(columns["key"].view(np.uint64))
+    return {k: v[order] for k, v in columns.items()}, total == sum(r.rows for r in sizes)
+
+
+def _with_ratios(rows: DataFrame, learned: Learned, which: str) -> DataFrame:
+    """``rows`` with ``found``: what the table has of the keys that the model lacks, by text."""
+    schema = "array<struct<key:bigint,ratio:float>>"
+    if learned.whole:
+        return rows.withColumn("found", F.lit(None).cast(schema))
+    model = learned.model
+    rows = rows.withColumn("_a", F.xxhash64("text")).withColumn("_b", F.xxhash64(F.lit("second"), "text"))
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            keys, at = model.missing(block.column("text"))
+            at = pa.array(at)
+            yield pa.RecordBatch.from_arrays([block.column("_a").take(at), block.column("_b").take(at), pa.array(keys.view(np.int64))], names=["_a", "_b", "key"])
+
+    asked = rows.select("_a", "_b", "text").mapInArrow(missing, "_a bigint, _b bigint, key bigint")
+    ratios = learned.table.select("key", F.col(which).alias("ratio")).filter(~F.isnan("ratio"))
+    # Copies of a text ask for the same; a set keeps one answer.
+    answers = asked.join(ratios, "key").groupBy("_a", "_b").agg(F.collect_set(F.struct("key", "ratio")).alias("found"))
+    return rows.join(answers, ["_a", "_b"], "left").drop("_a", "_b")
+
 
-    bigrams = counted.mapInArrow(pairs, "toxic bigint, before bigint, word bigint, n bigint")
-    bigrams = written(bigrams.groupBy("toxic", "before", "word").agg(F.sum("n").alias("n")), "toxic-bigrams")
-    heads = bigrams.groupBy("toxic", "before").agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("kinds"),
-        F.sum(F.greatest(F.col("n") - DISCOUNT, F.lit(0.0))).alias("mass"),
-    )
-    nexts = bigrams.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("kinds"))
-    total = bigrams.agg(F.sum("n")).first()[0] or 0
-    by_class = [F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(name) for c, name in ((0, "ordinary"), (1, "toxic"))]
-    kept = bigrams.groupBy("before", "word").agg(*by_class).filter(F.col("ordinary") + F.col("toxic") >= max(LEAST, BIGRAM_SHARE * total))
-    model = Model(vocabulary, *_ratios(size, *map(_columns, (heads, nexts, kept))), np.zeros(0))
+def _features(block: pa.RecordBatch, model: Model) -> np.ndarray:
+    """Keys of all rows of a block make one table: a ratio is the same in each."""
+    found = block.column("found").flatten()
+    keys, first = np.unique(found.field(0).to_numpy(zero_copy_only=False).view(np.uint64), return_index=True)
+    return model.features(block.column("text"), keys, found.field(1).to_numpy(zero_copy_only=False)[first])
+
+
+def learn(docs: DataFrame, labels: DataFrame, hot: int = HOT) -> Learned:
+    rows = labelled(docs, labels)
+    ids = rows.filter("fold = 3").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
+    ids = written(ids, "toxic-calibration")
+    held = F.broadcast(ids.withColumn("held", F.lit(2)))
+    counted = rows.filter("fold <> 3").join(held, "doc_id", "left").select("text", "toxic", (F.col("toxic") + F.coalesce("held", F.lit(0))).alias("group"))
+    classes = {r.toxic: r.n for r in counted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    groups = [F.sum(F.when(F.col("group").isin(*of), F.col("n")).otherwise(0)).alias(name) for name, of in (("n0", (0, 2)), ("n1", (1, 3)), ("h0", (2,)), ("h1", (3,)))]
+    bigrams = counted.select("text", "group").mapInArrow(_bigrams, "before bigint, word bigint, group int, n bigint")
+    bigrams = written(bigrams.groupBy("before", "word").agg(*groups), "toxic-bigrams")
+    table, totals = _ratio_table(bigrams)
+    top, whole = _frequent(table, hot)
+    keys = top["key"].view(np.uint64)
+    base = Model(keys, top["base"], totals["base"].unseen(), np.zeros(0))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            found = model.features(block.column("text"))
-            yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(list(found), pa.list_(pa.float64()))], names=["toxic", "found"])
+            yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(list(_features(block, base)), pa.list_(pa.float64()))], names=["toxic", "found"])
 
-    some = rows.filter("fold = 3")
-    ids = some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
-    some = some.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "toxic")
+    some = _with_ratios(rows.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "toxic"), Learned(base, table, whole), "base")
     told = some.mapInArrow(features, "toxic int, found array<double>").limit(CALIBRATION).collect()
     truth = np.array([r.toxic for r in told], dtype=float)
     if len(set(truth)) == 2 and len(classes) == 2:
-        model.logistic = fit_logistic(np.array([r.found for r in told]), truth)
+        logistic = fit_logistic(np.array([r.found for r in told]), truth)
     else:
         n = sum(classes.values())
         share = classes.get(1, 0) / n if n else 0.0
-        model.logistic = np.array([np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9)), *[0.0] * (1 + len(SPANS))])
-    return model
+        logistic = np.array([np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9)), *[0.0] * (1 + len(SPANS))])
+    return Learned(Model(keys, top["ratio"], totals["all"].unseen(), logistic), table, whole)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, learned: Learned) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
+    model = learned.model
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            scores = model.scores(block.column("text"))
+            scores = sigmoid(expanded(_features(block, model)) @ model.logistic)
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("held_out"), pa.array(scores), pa.array((scores >= CUTOFF).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
     rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows_in.mapInArrow(rows, "doc_id bigint, held_out boolean, score double, predicted int")
+    return _with_ratios(rows_in, learned, "ratio").mapInArrow(rows, "doc_id bigint, held_out boolean, score double, predicted int")

@@ -92,6 +92,48 @@ def test_toxicity_of_odd_tables(spark):
     assert toxicity.score(empty, toxicity.learn(empty, labels)).collect() == []
 
 
+def _marked(spark, mark, n, marked_fold):
+    """``n`` labelled documents; ``mark`` stands in the toxic ones of a fold, and in none of another."""
+    ids = spark.range(n).select("id", (F.crc32(F.col("id").cast("string").cast("binary")) % 4).alias("fold")).collect()
+    rng = np.random.default_rng(3)
+    rows, labels, marks = [], [], 0
+    for r in ids:
+        toxic = int(rng.random() < 0.3)
+        words = list(rng.choice(WORDS["en"], 12)) + (["vile"] if toxic and rng.random() < 0.7 else [])
+        if toxic and r.fold == marked_fold and marks < 8:
+            words, marks = [*words, mark], marks + 1
+        rows.append((r.id, " ".join(words), None))
+        labels.append((r.id, toxic))
+    return frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def _scores(spark, learned, *texts):
+    found = toxicity.score(frame(spark, [(k, t, None) for k, t in enumerate(texts)]), learned)
+    return [r.score for r in sorted(found.collect(), key=lambda r: r.doc_id)]
+
+
+def test_toxicity_learns_words_of_two_documents(spark):
+    """No share of the rows is needed: two toxic documents are enough to tell a word from an unknown one."""
+    docs, labels = _marked(spark, "grobian", 400, None)
+    more = frame(spark, [(i, "the grobian of that", None) for i in (1000, 1001, 1004, 1005, 1010)])
+    known = spark.createDataFrame([(i, 1) for i in (1000, 1001, 1004, 1005, 1010)], "doc_id bigint, toxic int")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    known = known.filter(fold.isin(0, 1)).limit(2)
+    assert known.count() == 2
+    both = docs.union(more)
+    for hot in (0, 50, toxicity.HOT):
+        learned = toxicity.learn(both, labels.union(known), hot)
+        seen, unknown = _scores(spark, learned, "where grobian other", "where zzzzz other")
+        assert seen > unknown
+
+
+def test_toxicity_ways_of_lookup_agree(spark):
+    docs, labels = _marked(spark, "grobian", 300, 0)
+    found = [{r.doc_id: r.score for r in toxicity.score(docs, toxicity.learn(docs, labels, hot)).collect()} for hot in (0, 40, toxicity.HOT)]
+    assert len(found[0]) == 300
+    assert all(abs(found[0][i] - other[i]) < 1e-6 for other in found[1:] for i in found[0])
+
+
 def test_backoff_is_shared():
     """A word that neither class has seen more of costs both the same; a toxic one does not."""
     shared = np.array([10.0, 10.0, 1.0, 1.0]) / 22

@@ -1,7 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two bigram models of words, one of toxic and one of ordinary documents, are counted in
-Spark over the labelled rows outside the held-out fold and the fold of remainder 3, every word and bigram of them. Each
+Spark over all labelled rows outside the held-out fold, every word and bigram of them. Each
 discounts its continuation counts and backs off to those of both classes together. The
 occurrences of a bigram are expected in the classes as those of its first word, tilted by its
 second; its discounted count in each class is mixed with ``PRIOR`` occurrences as expected.
@@ -349,7 +349,7 @@ def learn(docs: DataFrame, labels: DataFrame, hot: int = HOT) -> Learned:
     ids = rows.filter("fold = 3").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
     ids = written(ids, "toxic-calibration")
     held = F.broadcast(ids.withColumn("held", F.lit(2)))
-    counted = rows.filter("fold <> 3").join(held, "doc_id", "left").select("text", "toxic", (F.col("toxic") + F.coalesce("held", F.lit(0))).alias("group"))
+    counted = rows.join(held, "doc_id", "left").select("text", "toxic", (F.col("toxic") + F.coalesce("held", F.lit(0))).alias("group"))
     classes = {r.toxic: r.n for r in counted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     groups = [F.sum(F.when(F.col("group").isin(*of), F.col("n")).otherwise(0)).alias(name) for name, of in (("n0", (0, 2)), ("n1", (1, 3)), ("h0", (2,)), ("h1", (3,)))]
     bigrams = counted.select("text", "group").mapInArrow(_bigrams, "before bigint, word bigint, group int, n bigint")

@@ -134,6 +134,13 @@ def test_toxicity_ways_of_lookup_agree(spark):
     assert all(abs(found[0][i] - other[i]) < 1e-6 for other in found[1:] for i in found[0])
 
 
+def test_toxicity_counts_every_labelled_fold(spark):
+    """An expression of the calibration fold alone is learned."""
+    docs, labels = _marked(spark, "grobian", 400, 3)
+    seen, unknown = _scores(spark, toxicity.learn(docs, labels), "where grobian other", "where zzzzz other")
+    assert seen > unknown
+
+
 def test_backoff_is_shared():
     """A word that neither class has seen more of costs both the same; a toxic one does not."""
     shared = np.array([10.0, 10.0, 1.0, 1.0]) / 22

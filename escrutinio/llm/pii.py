@@ -36,13 +36,41 @@ from pyspark.sql import functions as F
 ROUNDS = 5
 KINDS = ("card", "iban", "phone", "intl", "ssn", "ip", "date", "email")
 
+# Characters of an IBAN by country (ISO 13616 registry).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG YE", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban_form(length: int, countries: str) -> str:
+    """Of the country's length, so that a word or number after it is not drawn in."""
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+# Countries without a registered length keep the general form.
+_LISTED = " ".join(_IBAN_LENGTHS.values()).replace(" ", "|")
+_IBAN_FORMS = [_iban_form(n, countries) for n, countries in _IBAN_LENGTHS.items()]
+_IBAN_FORMS.append(f"(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+
+# What may not be drawn into an international number: dates, social security numbers, cards.
+_OTHER = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
+
+# Written out, since Java must see the greatest length of what it looks back for.
+_EIGHT_TO_15 = r"(?<=\+[0-9]" + "[ .-]?[0-9]" * 7 + "(?:[ .-]?[0-9])?" * 7 + ")"
+
 # The forms, tried in this order.
 _FORMS = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    rf"(?<![A-Za-z0-9])(?:{'|'.join(_IBAN_FORMS)})(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])",
     r"(?<![A-Za-z0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9]|-[0-9])",
-    r"\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![A-Za-z0-9])",
+    # The match ends after 8 to 15 digits, wherever more of them follow.
+    rf"\+[0-9]{{1,3}}(?:[ .-]?(?!(?<=[ .-]){_OTHER})[0-9]{{2,4}}){{2,5}}{_EIGHT_TO_15}(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9]|-[0-9])",
     r"(?<![A-Za-z0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])",
     r"(?<![A-Za-z0-9./])[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}(?![A-Za-z0-9]|[./][0-9])",

@@ -263,6 +263,27 @@ def test_pseudonyms_keep_form_and_validity(spark):
     assert all(r.pii[kinds[r.doc_id]] == 2 for r in second.collect())
 
 
+@pytest.mark.parametrize(
+    ("kind", "value", "after"),
+    [
+        ("iban", "ES91 2100 0418 4502 0005 1332", " BIC"),
+        ("iban", "AT611904300234573201", " BIC"),
+        ("iban", "AT611904300234573201", " 2024"),
+        ("iban", "DE89 3704 0044 0532 0130 00", " BIC"),
+        ("iban", "GB82 WEST12345698765432", " BIC"),
+        ("intl", "+34 912 345 678", " 2024-05-01"),
+        ("intl", "+34 912 345 678", " 1.5.2024"),
+        ("intl", "+34 912 345 678", " 4111 1111 1111 1111"),
+        ("intl", "+44 20 7946 0958", ", 12"),
+    ],
+)
+def test_what_follows_a_value_is_not_drawn_in(spark, kind, value, after):
+    row = pii.pseudonymise(frame(spark, [(1, f"see {value}{after} end", None), (2, f"see {value}, end", None)]), KEY).orderBy("doc_id").collect()
+    new = row[1].text.removeprefix("see ").removesuffix(", end")
+    assert new != value and row[0].pii[kind] == 1
+    assert row[0].text.startswith(f"see {new}{after[:1]}")
+
+
 def test_what_fails_its_check_stays(spark):
     docs = frame(spark, [(k, v, None) for k, v in enumerate(NOT_VALID)] + [(50, None, None), (51, "", None), (51, "", None)])
     found = pii.pseudonymise(docs, KEY)

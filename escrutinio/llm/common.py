@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its plain name, which may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below spark.checkpoint.dir and read back; see ``materialize``."""
     return materialize(df, f"llm-{purpose}")

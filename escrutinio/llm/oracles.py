@@ -28,6 +28,65 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n
 FROM n JOIN g ON n.content = g.content
 """
 
+_RULE_FAILS = {
+    "short": "n_words < 20",
+    "repeats": "100 * n_repeat_words > 30 * n_words",
+    "symbols": "100 * n_symbols > 10 * n_words",
+    "dup_lines": "100 * n_dup_lines > 30 * n_full_lines",
+    "word_length": "word_chars < 3 * n_words OR word_chars > 10 * n_words",
+}
+_RATES = ", ".join(
+    f"""(f_{r} + mean_{r} * weight_{r}) / (n + weight_{r}) AS rate_{r}""" for r in _RULE_FAILS
+)
+_PRIORS = ", ".join(
+    f"""mean_{r}, least(greatest(CASE WHEN room_{r} > 0 AND spread_{r} > mean_{r} * (1 - mean_{r}) * (hosts - 1)
+        THEN room_{r} / (spread_{r} - mean_{r} * (1 - mean_{r}) * (hosts - 1)) - 1 ELSE 10000.0 END, 1.0), 10000.0) AS weight_{r}"""
+    for r in _RULE_FAILS
+)
+_SPREADS = ", ".join(
+    f"""f_{r} / total AS mean_{r}, q_{r} - f_{r} * f_{r} / total AS spread_{r},
+        (f_{r} / total) * (1 - f_{r} / total) * (total - squares / total - (hosts - 1)) AS room_{r}"""
+    for r in _RULE_FAILS
+)
+
+QUALITY_RULES = f"""
+WITH texts AS (SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+windows AS (
+  SELECT k, unnest(generate_series(1, len(w) - 7)) AS i, w FROM words WHERE len(w) >= 8),
+keyed AS (SELECT k, i, md5(array_to_string(list_slice(w, i, i + 7), ' ')) AS key FROM windows),
+again AS (SELECT k, key FROM keyed GROUP BY k, key HAVING count(*) > 1),
+covered AS (
+  SELECT k, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT k, unnest(generate_series(i, i + 7)) AS p FROM keyed JOIN again USING (k, key)) c GROUP BY k),
+lines AS (
+  SELECT k, line, count(*) AS n FROM (SELECT k, unnest(string_split(text, chr(10))) AS line FROM texts) l
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k, line),
+line_counts AS (SELECT k, sum(n) AS n_full_lines, sum(n) - count(*) AS n_dup_lines FROM lines GROUP BY k),
+measured AS (
+  SELECT doc_id, source, cast(len(w) AS bigint) AS n_words, cast(length(array_to_string(w, '')) AS bigint) AS word_chars,
+         cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
+         cast(coalesce(n_dup_lines, 0) AS bigint) AS n_dup_lines, cast(coalesce(n_repeat_words, 0) AS bigint) AS n_repeat_words,
+         coalesce(n_full_lines, 0) AS n_full_lines
+  FROM words LEFT JOIN line_counts USING (k) LEFT JOIN covered USING (k)),
+hosts AS (
+  SELECT source, cast(count(*) AS double) AS n,
+         {", ".join(f"cast(count(*) FILTER (WHERE {e}) AS double) AS f_{r}" for r, e in _RULE_FAILS.items())}
+  FROM measured WHERE source <> '' GROUP BY source),
+sums AS (
+  SELECT cast(count(*) AS double) AS hosts, sum(n) AS total, sum(n * n) AS squares,
+         {", ".join(f"sum(f_{r}) AS f_{r}, sum(f_{r} * f_{r} / n) AS q_{r}" for r in _RULE_FAILS)} FROM hosts),
+spreads AS (SELECT hosts, {_SPREADS} FROM sums),
+priors AS (SELECT {_PRIORS} FROM spreads),
+rates AS (SELECT source, {_RATES} FROM hosts, priors),
+rejected AS (SELECT source FROM rates WHERE greatest({", ".join(f"rate_{r}" for r in _RULE_FAILS)}) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+         AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept
+FROM measured
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
+    return {"op1_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op11_quality_rules": QUALITY_RULES}

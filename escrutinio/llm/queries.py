@@ -15,6 +15,7 @@ from escrutinio.llm import (
     line_dedup,
     near_dedup,
     pii,
+    quality_rules,
     simple8b,
     substring_dedup,
     toxicity,
@@ -99,3 +100,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
     counts = [F.element_at("pii", kind).alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", "text", *counts)
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(documents(spark, sf_dir))
+    return found.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from escrutinio.llm import (
+    alignment,
     curve_packing,
     decontamination,
     exact_dedup,
@@ -24,6 +25,7 @@ from escrutinio.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 PII_KEY = "an example key"  # a real one comes from a secret store
 
 _QUERIES: dict[str, Query] = {}
@@ -106,3 +108,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(documents(spark, sf_dir))
     return found.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (public_tokenizers.path(name) for name in ALIGNED)
+    return alignment.align_documents(documents(spark, sf_dir), first, second)

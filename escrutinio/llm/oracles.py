@@ -87,6 +87,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured
 """
 
+_TERMS = f"""regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")},
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS terms FROM documents),
+lengths AS (
+  SELECT k, doc_id, len(terms) AS n, (SELECT count(*) FROM docs WHERE len(terms) > 0) AS all_docs,
+         (SELECT cast(sum(len(terms)) AS bigint) FROM docs) AS all_terms FROM docs WHERE len(terms) > 0),
+postings AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM docs) t GROUP BY k, term),
+spread AS (SELECT term, count(*) AS df FROM postings GROUP BY term),
+weights AS (
+  SELECT term, cast(floor(1000 * ln(cast(2 * (SELECT count(*) FROM lengths) + 2 AS double) / (2 * df + 1))) AS bigint) AS w
+  FROM spread),
+items AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+         cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * all_docs) // all_terms)))) AS bigint) AS score
+  FROM items JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (k) GROUP BY item_id, k, doc_id),
+ranked AS (
+  SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS int) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op11_quality_rules": QUALITY_RULES}
+    return {"op1_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op11_quality_rules": QUALITY_RULES, "op12_lexical_search": LEXICAL_SEARCH}

@@ -13,6 +13,7 @@ from escrutinio.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    lexical_search,
     line_dedup,
     near_dedup,
     pii,
@@ -114,3 +115,9 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = (public_tokenizers.path(name) for name in ALIGNED)
     return alignment.align_documents(documents(spark, sf_dir), first, second)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(documents(spark, sf_dir))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)

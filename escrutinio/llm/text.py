@@ -82,14 +82,15 @@ class Words:
     """The words of a column.
 
     ``offsets`` has the first word of each row (and the number of all at its end),
-    ``start`` and ``end`` the place of each word in ``data``.
+    ``start`` and ``end`` the place of each word in ``data``. ``members`` says which bytes
+    are part of a word; by default all but white space.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, members: np.ndarray = _NOT_SPACE):
         self.data, rows = buffers(column)
         if lower:
             self.data = _LOWER[self.data]
-        inside = _NOT_SPACE[self.data]
+        inside = members[self.data]
         n = len(inside)
         before, after = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]

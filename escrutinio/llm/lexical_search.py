@@ -9,9 +9,9 @@ above. All grids are one Spark table.
 
 ``search`` descends in each grid along the rows of an item's terms, all of them together. A
 range of documents has one cell on each row's path; the terms' weights times these cells'
-maxima bound the scores in the range. The ranges with the highest bounds are halved first,
-more of them at a time from step to step, and a range whose bound is below the k-th score
-found so far is dropped. A range of one document has its exact score. Each task hands on the
+maxima bound the scores in the range. The ranges with the highest bounds are halved first, a
+few at a time down to the first documents and more from step to step then, and a range whose
+bound is below the k-th score found so far is dropped. A range of one document has its exact score. Each task hands on the
 best of its grids for each item, and Spark ranks these. The result is exact; nothing but
 bounds leaves out a document.
 
@@ -47,7 +47,7 @@ GRID_BYTES = 1 << 23
 BLOCK_TERMS = 1 << 18
 #: Postings of the items that descend a grid side by side.
 _SIDE_BY_SIDE = 1 << 20
-_FIRST_RANGES = 4
+_RANGES = 16  # halved for an item at a time until the first documents are reached, then twice as many each time
 _TIES = 1 << 53  # sums of doubles are exact below
 _SALTS = 64
 
@@ -193,7 +193,7 @@ def descend(tree: Treap, item: np.ndarray, row: np.ndarray, weights: np.ndarray,
     of_item, level, start = items, np.zeros(len(items), dtype=np.int64), np.zeros(len(items), dtype=np.int64)
     path, cell = at, np.zeros(len(item), dtype=np.int64)
     bound = _totals(weights * tree.most[cell], path, len(items))
-    several = _FIRST_RANGES
+    several, step = _RANGES, 0
     if tree.height == 0:
         found.add(of_item, bound, doc[start], none[start])
         return
@@ -202,7 +202,8 @@ def descend(tree: Treap, item: np.ndarray, row: np.ndarray, weights: np.ndarray,
         order = np.lexsort((-bound, of_item))
         order = order[open_[order]]
         chosen = order[_rank(of_item[order]) < several]
-        several *= 2
+        step += 1
+        several *= 2 if step >= tree.height else 1
         split = np.zeros(len(of_item), dtype=bool)
         split[chosen] = True
         rest = open_ & ~split

@@ -40,7 +40,7 @@ _RATES = ", ".join(
 )
 _PRIORS = ", ".join(
     f"""mean_{r}, least(greatest(CASE WHEN room_{r} > 0 AND spread_{r} > mean_{r} * (1 - mean_{r}) * (hosts - 1)
-        THEN room_{r} / (spread_{r} - mean_{r} * (1 - mean_{r}) * (hosts - 1)) - 1 ELSE 10000.0 END, 1.0), 10000.0) AS weight_{r}"""
+        THEN room_{r} / (spread_{r} - mean_{r} * (1 - mean_{r}) * (hosts - 1)) - 1 ELSE 10000.0 END, 10.0), 10000.0) AS weight_{r}"""
     for r in _RULE_FAILS
 )
 _SPREADS = ", ".join(

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from escrutinio.llm.common import quoted, written
 from escrutinio.llm.text import Words, blocks, buffers, inside, mix, windows
@@ -35,8 +36,8 @@ WINDOW = 8
 MIN_WORDS = 20
 HOST_LIMIT = 0.5
 LARGE_SHARE = 4096
-#: The prior's weight in documents: at least and at most.
-PRIOR_WEIGHT = (1.0, 10_000.0)
+#: The prior's weight in documents, at least and at most: a host of a few documents is not rejected for them.
+PRIOR_WEIGHT = (10.0, 10_000.0)
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: What fails a rule, in the measures and n_full_lines (lines with a word).
@@ -126,7 +127,7 @@ def _measured(docs: DataFrame, kept: list[Column]) -> DataFrame:
     """``kept`` columns, ``host`` key, the measures and a flag ``fails_<rule>`` of each rule."""
     rows = docs.select(F.struct(*kept).alias("row"), F.col("_host").alias("host"), F.col("text"))
     names = [*MEASURES, "n_full_lines"]
-    kind = rows.schema["row"].dataType.simpleString()
+    schema = StructType([rows.schema["row"], rows.schema["host"], *(StructField(n, LongType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -135,7 +136,6 @@ def _measured(docs: DataFrame, kept: list[Column]) -> DataFrame:
                 [block.column("row"), block.column("host"), *(pa.array(found[n]) for n in names)], names=["row", "host", *names]
             )
 
-    schema = f"row {kind}, host string, {', '.join(f'{n} bigint' for n in names)}"
     return rows.mapInArrow(run, schema).select("*", *(F.expr(rule).alias(f"fails_{name}") for name, rule in RULES.items()))
 
 

@@ -17,8 +17,8 @@ documents' links. A block is bounded by its bytes, so a pair that all documents
 row per block, and nothing grows with the corpus.
 
 Words repeat far more than texts: both tokenizers are asked once per worker for a word (the
-bytes from a space up to the next), and again when the caches have turned over. Neither joins
-bytes across such a cut.
+bytes from a space up to the next, less a comma or full stop behind a small letter), and again
+when the caches have turned over. Neither joins bytes across such a cut.
 
 Cases: null and empty texts, and those whose tokens do not give back space and text byte by
 byte, have no tokens: zeros and ''. Very long texts are a block of their own. Rows that repeat
@@ -39,15 +39,22 @@ from pyspark.sql import functions as F
 from escrutinio.llm.common import shuffles, written
 from escrutinio.llm.text import blocks
 
-BLOCK_BYTES = 1 << 22
-CACHED_WORDS = 300_000
+BLOCK_BYTES = 1 << 20
+CACHED_WORDS = 100_000
 _BATCH = 2_000
 _OPEN: dict = {}
 # A cut before a space that no token of either kind can span: behind a visible ASCII
 # character, or behind any other if a visible ASCII character follows. The last space of a text
 # is no chunk of its own, as a sentencepiece model puts no space before an empty text.
 _CUT = re.compile(rb"(?<=[\x21-\x7E]) (?!\Z)|(?<=[\x80-\xFF]) (?=[\x21-\x7E])")
-_PLAIN = re.compile(rb" [\x21-\x7E](?:[^ ]*[\x21-\x7E])?")
+# Texts without any of these can be cut before each space: their spaces are single and stand
+# between characters that are no white space of any kind.
+_ODD = re.compile(
+    rb"\A |  | \Z|[\x00-\x1F\x7F] | [\x00-\x1F\x7F]"
+    rb"|\xC2[\x85\xA0]|\xE1\x9A\x80|\xE2\x80[\x80-\x8A\xA8\xA9\xAF]|\xE2\x81\x9F|\xE3\x80\x80"
+)
+_MARKS = (b",", b".")
+_SMALL = frozenset(range(ord("a"), ord("z") + 1))
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -105,7 +112,8 @@ class Pair:
     """Both tokenizers over chunks of texts, with the ids of recent chunks.
 
     A chunk's entry is the ids of both as little-endian numbers, or None if its tokens do not
-    give back its bytes.
+    give back its bytes. A chunk that starts with a space is kept as it is; all others are words
+    of texts that can be cut before each space, without the space.
     """
 
     def __init__(self, first: str, second: str):
@@ -113,6 +121,20 @@ class Pair:
         self.young: dict = {}
         self.old: dict = {}
         self.digits = tuple(_digits(len(k.lengths)) for k in self.kinds)
+        self.marks = self._marks()
+
+    def _marks(self) -> dict:
+        """Ids of a mark behind a small letter, if no token of the second kind spans the two.
+
+        The first kind parts letters from marks before it looks for tokens.
+        """
+        out = {}
+        for mark in _MARKS:
+            spans = re.compile(rb"[a-z]" + re.escape(mark))
+            ids = [kind.encode([f" a{mark.decode()}"])[0][1:] for kind in self.kinds]
+            if not any(spans.search(b) for b in self.kinds[1].bytes) and all(kind.bytes[i[0]] == mark for kind, i in zip(self.kinds, ids, strict=True)):
+                out[mark[0]] = tuple(np.array(i, dtype="<u4").tobytes() for i in ids)
+        return out
 
     def _entry(self, chunk: bytes, ids: tuple) -> tuple | None:
         for kind, of in zip(self.kinds, ids, strict=True):
@@ -121,11 +143,22 @@ class Pair:
         return tuple(np.array(of, dtype="<u4").tobytes() for of in ids)
 
     def _learn(self, chunks: list[bytes]) -> None:
-        plain = [c for c in chunks if _PLAIN.fullmatch(c)]
-        other = [c for c in chunks if not _PLAIN.fullmatch(c)]
+        young, marks = self.young, self.marks
+        marked = [c for c in chunks if len(c) > 1 and c[-1] in marks and c[-2] in _SMALL and c[0] != 0x20]
+        cores = {c[:-1] for c in marked}
+        cores.update(set(chunks).difference(marked))
+        cores.difference_update(young)
+        self._ask(list(cores))
+        for c in marked:
+            core, mark = young[c[:-1]], marks[c[-1]]
+            young[c] = core and (core[0] + mark[0], core[1] + mark[1])
+
+    def _ask(self, chunks: list[bytes]) -> None:
+        plain = [c for c in chunks if c[0] != 0x20]
+        other = [c for c in chunks if c[0] == 0x20]
         for i in range(0, len(plain), _BATCH):
             part = plain[i : i + _BATCH]
-            whole, stops = b"".join(part), np.cumsum([len(c) for c in part])
+            whole, stops = b" " + b" ".join(part), np.cumsum([1 + len(c) for c in part])
             text, cut = whole.decode("utf-8"), []
             for kind in self.kinds:
                 ids = np.array(kind.encode([text])[0], dtype="<u4")
@@ -135,7 +168,9 @@ class Pair:
                     break
                 cut.append((ids.tobytes(), [0, *((at + 1) * 4).tolist()]))
             if len(cut) < 2:
-                other += part
+                for c in part:  # one of them does not come back as it is
+                    ids = [kind.encode([" " + c.decode("utf-8")])[0] for kind in self.kinds]
+                    self.young[c] = self._entry(b" " + c, ids)
                 continue
             (a, i), (b, j) = cut
             self.young.update((c, (a[i[k] : i[k + 1]], b[j[k] : j[k + 1]])) for k, c in enumerate(part))
@@ -166,6 +201,8 @@ class Pair:
 
 
 def _chunks(text: bytes) -> list[bytes]:
+    if not _ODD.search(text):
+        return text.split(b" ")
     text = b" " + text
     cuts = [m.start() for m in _CUT.finditer(text)]
     return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
@@ -193,7 +230,7 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     a, b = ends_a.tolist(), ends_b.tolist()
     raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
     n, m = len(a), len(b)
-    runs, irregular_a, irregular_b, closed_a, closed_b, places = [], [], [], [], [], []
+    runs, irregular_a, irregular_b, closed_a, closed_b = [], [], [], [], []
     i = j = 0
     while i < n and j < m:
         if a[i] == b[j]:
@@ -215,7 +252,6 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
             break
         # An irregular group, token by token up to the next end that both share.
         x, y = a[i], b[j]
-        places.append(len(irregular_a))
         while True:
             irregular_a.append(i)
             irregular_b.append(j)
@@ -237,12 +273,21 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     run_a, run_b = np.repeat(run[:, 0], lengths) + steps, np.repeat(run[:, 1], lengths) + steps
     link_a = np.concatenate((run_a, np.array(irregular_a, dtype=np.int64)))
     link_b = np.concatenate((run_b, np.array(irregular_b, dtype=np.int64)))
-    order = np.argsort(link_a + link_b, kind="stable")  # one link after the other raises either index
-    end_a = np.sort(np.concatenate((run_a + 1, np.array(closed_a, dtype=np.int64))))
-    end_b = np.sort(np.concatenate((run_b + 1, np.array(closed_b, dtype=np.int64))))
+    slot = np.full(n + m, -1)
+    slot[link_a + link_b] = np.arange(len(link_a))  # each link raises the sum of the indexes
+    order = slot[slot >= 0]
+    end_a, end_b = _marked(n, run_a + 1, closed_a), _marked(m, run_b + 1, closed_b)
     return link_a[order], link_b[order], end_a, end_b
 
 
+def _marked(n: int, *places) -> np.ndarray:
+    """All the places up to n, ascending."""
+    found = np.zeros(n + 1, dtype=bool)
+    for at in places:
+        found[at] = True
+    return np.flatnonzero(found)
+
+
 def _group_text(ids: tuple, ends: tuple, digits: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of ``a1,a2|b1;...`` over all groups, and the place behind each group's text."""
     counts = [np.diff(e, prepend=0) for e in ends]

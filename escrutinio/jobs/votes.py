@@ -31,6 +31,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--seats-interval", default=SEATS_INTERVAL)
     parser.add_argument("--dedup-within", help="forget vote ids older than this, such as '2 days'; recommended, the state grows for ever else")
+    parser.add_argument("--event-time", action="store_true", help="--dedup-within is against the votes' own times; votes out of time go to a table of their own")
+    parser.add_argument("--changes-only", action="store_true", help="allocate and rewrite only provinces whose counts changed")
     parser.add_argument("--dedup-salts", type=int, default=1, help="tasks that share the copies of one id, if ids repeat very often")
     parser.add_argument("--max-offsets", type=int, default=10_000_000, help="messages of a micro-batch from Kafka")
     parser.add_argument("--max-files", type=int, default=1000, help="files of a micro-batch")
@@ -40,6 +42,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.once and args.kafka:
         parser.error("--once needs --source-dir")
+    if args.event_time and not args.dedup_within:
+        parser.error("--event-time needs --dedup-within")
     return args
 
 
@@ -58,9 +62,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = configure_state(SparkSession.builder.appName("votes").getOrCreate())
     lake = Lake(args.lake, args.checkpoints)
     reference = seats_reference(spark, args)
+    ways = {"changes_only": args.changes_only, "event_time": args.event_time}
     if args.once:
         source = messages.file_stream(spark, args.source_dir, args.max_files)
-        drain(source, lake, reference, args.max_files, args.dedup_salts, args.dedup_within, threshold=args.threshold)
+        drain(source, lake, reference, args.max_files, args.dedup_salts, args.dedup_within, threshold=args.threshold, **ways)
         return
     clean_sink = seats_sink = None
     if args.kafka:
@@ -72,7 +77,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     seats_trigger = Trigger(interval=args.seats_interval)
     layers = Trigger(interval=args.interval, max_files=args.max_files)
     sinks = clean_sink, seats_sink, seats_trigger
-    await_any(run_lake(source, lake, reference, *sinks, args.dedup_salts, args.dedup_within, layers, args.threshold))
+    await_any(run_lake(source, lake, reference, *sinks, args.dedup_salts, args.dedup_within, layers, args.threshold, **ways))
 
 
 if __name__ == "__main__":

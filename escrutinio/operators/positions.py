@@ -18,6 +18,15 @@ from escrutinio.operators.materialize import materialize
 _MIN_BINS = 64
 
 
+def _no_null(total: Column, kind: str) -> Column:
+    return F.coalesce(total.try_cast(kind), F.raise_error(F.lit("a sum of weights is too large")).cast(kind))
+
+
+def _whole_sum(weight: Column, kind: str) -> Column:
+    """The sum of weights that are not NULL; one that does not fit is an error in both ANSI modes."""
+    return _no_null(F.try_sum(weight), kind)
+
+
 def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Column) -> DataFrame:
     """Distinct items of each group with their weights laid end to end as [lo, hi).
 
@@ -30,29 +39,32 @@ def weighted_ranges(df: DataFrame, groups: Sequence[str], item: str, weight: Col
     fractional = isinstance(df.select(weight).schema[0].dataType, FractionalType)
     exact = "decimal(37,16)" if fractional else "bigint"
     positive = weight > 0
-    weight = weight.cast("decimal(27,16)" if fractional else "bigint")
+    weight_type = "decimal(27,16)" if fractional else "bigint"
+    # Without ANSI mode a cast gives NULL where it does not fit, and a sum wraps around.
+    given, weight = weight, weight.try_cast(weight_type)
     if fractional:
-        too_small = F.raise_error(F.lit("a positive weight is below 10**-16")).cast("decimal(27,16)")
-        weight = F.when(positive & (weight == 0), too_small).otherwise(weight)
+        too_small = F.raise_error(F.lit("a positive weight is below 10**-16")).cast(weight_type)
+        too_large = F.raise_error(F.lit("a weight is 10**11 or more")).cast(weight_type)
+        weight = F.when(given >= 1e11, too_large).when(positive & (weight == 0), too_small).otherwise(weight)
     digest = F.md5(F.col(item).cast("string"))
     items = (
         df.filter(positive & F.col(item).isNotNull())
         .groupBy(*groups, item)
-        .agg(F.sum(weight).cast(exact).alias("weight"))
+        .agg(_whole_sum(weight, exact).alias("weight"))
         .withColumn("_digest", digest)
         .withColumn("_bucket", F.substring("_digest", 1, 2))
     )
     # The constant stands for "no groups": the window below then sees at most 256 rows.
     whole = [*groups, F.lit(1)]
     buckets = items.groupBy(*groups, "_bucket").agg(
-        F.sum("weight").cast(exact).alias("_sum"), F.count("*").alias("_count")
+        _whole_sum(F.col("weight"), exact).alias("_sum"), F.count("*").alias("_count")
     )
     before = Window.partitionBy(*whole).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select(
         *(F.col(g).alias(f"_g_{g}") for g in groups),
         F.col("_bucket").alias("_b"),
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(exact).alias("_offset"),
-        F.sum("_sum").over(Window.partitionBy(*whole)).cast(exact).alias("total"),
+        _no_null(F.try_sum("_sum").over(Window.partitionBy(*whole)), exact).alias("total"),
         F.sum("_count").over(Window.partitionBy(*whole)).alias("items"),
     )
     same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]

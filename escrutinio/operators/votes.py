@@ -4,25 +4,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from escrutinio.functions.keys import vote_doc_id
 from escrutinio.schemas import BLANK, PARTY_KEY, SILVER_COLUMNS, VOTE
 
 # Fields of a clean message, in order.
-MESSAGE_FIELDS = (
-    "doc_id id political_party location timestamp province_iso_code province_name blank_vote"
-    " autonomic_region_iso_code autonomic_region_name"
-).split()
+MESSAGE_FIELDS = [
+    "doc_id",
+    "id",
+    "political_party",
+    "location",
+    "timestamp",
+    "province_iso_code",
+    "province_name",
+    "blank_vote",
+    "autonomic_region_iso_code",
+    "autonomic_region_name",
+]
 # The columns that decide the count of a vote, in the order in which copies compare.
 COUNTED_COLUMNS = ["timestamp", "political_party", "province_name", "autonomic_region_name", "blank_vote"]
 
+_CORRUPT = StructField("_corrupt", StringType(), True)
+_KEEP_CORRUPT = {"columnNameOfCorruptRecord": _CORRUPT.name}
+
 # to_json alone would cut timestamps to milliseconds.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def parse_votes(messages: DataFrame) -> DataFrame:
-    """JSON message values to the nine vote fields.
+def parse_votes(messages: DataFrame, *keep: str) -> DataFrame:
+    """JSON message values to the nine vote fields; the columns ``keep`` of a message go with them.
 
     A message that is not one valid JSON object, or has no id or an empty one, becomes a row
     without an id whose text is kept in ``raw``. A field that cannot be read is NULL, and the
@@ -31,16 +42,21 @@ def parse_votes(messages: DataFrame) -> DataFrame:
     ``inline`` keeps the parse a single step: as a projection, a later filter on a field
     would be pushed below it and parse every message a second time.
     """
-    # As an array, a message of several objects does not pass for its first one.
+    # As an array, a message of several objects does not pass for its first one. The parser does
+    # not look behind the end of the array: a text with a bracket of its own must also be the
+    # value of a field, which no text is that closes an array early.
     objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), ArrayType(VOTE))
-    vote = F.transform(F.array(objects), lambda found: F.when(F.size(found) == 1, found[0]))
+    field = F.from_json(F.concat(F.lit('{"vote":'), F.col("value"), F.lit("}")), StructType([StructField("vote", VOTE), _CORRUPT]), _KEEP_CORRUPT)
+    whole = F.when(F.contains("value", F.lit("]")), field[_CORRUPT.name].isNull()).otherwise(True)
+    vote = F.transform(F.array(objects), lambda found: F.when((F.size(found) == 1) & whole, found[0]))
     has_id = F.coalesce(F.col("id") != "", F.lit(False))
     return (
-        messages.select(F.col("value").cast("string").alias("value"))
-        .select("value", F.inline(vote))
+        messages.select(F.col("value").cast("string").alias("value"), *(F.col(n).alias(f"_{n}") for n in keep))
+        .select("value", *(f"_{n}" for n in keep), F.inline(vote))
         .select(
             *(F.when(has_id, F.col(name)).alias(name) for name in VOTE.names),
             F.when(~has_id, F.col("value")).alias("raw"),
+            *(F.col(f"_{n}").alias(n) for n in keep),
         )
     )
 
@@ -113,6 +129,53 @@ def dedup_stream(votes: DataFrame, salts: int = 1, within: str | None = None) ->
     return dedup(votes, ["id"]).select(*columns)
 
 
+def _interval(within: str) -> Column:
+    return F.expr(f"INTERVAL '{within}'")
+
+
+def time_reason(within: str) -> Column:
+    """Why a vote is out of time, from the row alone: 'undated', or 'late' or 'early' by ``within``
+    or more against its arrival; NULL if it is in time.
+
+    No watermark is asked, so micro-batches, restarts and other queries decide alike.
+    """
+    at, arrived = F.col("timestamp"), F.coalesce("arrived", "ingested", "timestamp")
+    return (
+        F.when(at.isNull(), "undated")
+        .when(at <= arrived - _interval(within), "late")
+        .when(at >= arrived + _interval(within), "early")
+    )
+
+
+def out_of_time(votes: DataFrame, within: str) -> DataFrame:
+    """The votes that ``dedup_in_time`` leaves out, with the ``reason``: nothing is lost unseen."""
+    return votes.withColumn("reason", time_reason(within)).filter(F.col("reason").isNotNull())
+
+
+def dedup_in_time(votes: DataFrame, within: str, salts: int = 1) -> DataFrame:
+    """One row per id of the votes in time, on a stream with a state bounded by event time.
+
+    An id is forgotten ``within`` after its vote's time, by a watermark on it. All copies of a
+    vote that are in time come before that, if ingestion lags by less than ``within``. The time
+    under the watermark is kept between ``ingested`` less ``within`` and ``ingested``, which
+    does not step back: no vote in time can fall behind the watermark, nor one that is dated
+    ahead push it. So the state drops nothing by itself, and kept votes, copies and the rows of
+    ``out_of_time`` are all there were.
+    """
+    ingested = F.coalesce("ingested", F.current_timestamp())
+    earliest = ingested - _interval(within) + F.expr("INTERVAL '1 millisecond'")
+    event = F.least(F.greatest("timestamp", earliest), ingested)
+    columns = votes.columns
+    votes = votes.filter(time_reason(within).isNull())
+    if not votes.isStreaming:
+        return dedup_votes(votes)
+    votes = votes.withColumn("_event", event).withWatermark("_event", within)
+    if salts > 1:
+        salted = votes.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        votes = salted.dropDuplicatesWithinWatermark(["id", "_salt"])
+    return votes.dropDuplicatesWithinWatermark(["id"]).select(*columns)
+
+
 def normalized_party() -> Column:
     """Blank votes are a party of their own; a vote without a blank flag keeps its party."""
     return F.when(F.col("blank_vote"), F.lit(BLANK)).otherwise(F.col("political_party"))

@@ -185,6 +185,18 @@ _PARTY_VALUES = ", ".join(f"('{name}', {popularity})" for name, popularity in PO
 _IDS = "ids AS (SELECT o_orderkey AS id FROM orders)"
 
 
+_UPSERT_LATEST = """
+    SELECT doc_id, seats, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id
+                                   ORDER BY updated_at DESC, change DESC, seats IS NULL DESC, seats DESC) AS rn
+      FROM (SELECT c_custkey AS doc_id, c_custkey % 100 AS seats, timestamp '1996-01-01 00:00:00' AS updated_at,
+                   0 AS change FROM customer
+            UNION ALL
+            SELECT o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END,
+                   cast(o_orderdate AS timestamp), 1 FROM orders) u) n
+    WHERE rn = 1 AND seats IS NOT NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "parse_votes": f"WITH {_RAW} {_PARSED}",
@@ -212,16 +224,10 @@ def oracle_sql() -> dict[str, str]:
             concat('{{"doc_id":"', province_name, '_', political_party_norm, '","province_name":"', province_name,
                    '","political_party":"', political_party_norm, '","autonomic_region_name":"', autonomic_region_name,
                    '","seats":', seats, ',"updated_at":"{_PUBLISHED}"}}') AS "value" FROM seats"""),
-        "upsert_latest": """
-            SELECT doc_id, seats, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM (
-              SELECT *, row_number() OVER (PARTITION BY doc_id
-                                           ORDER BY updated_at DESC, change DESC, seats DESC NULLS LAST) AS rn
-              FROM (SELECT c_custkey AS doc_id, c_custkey % 100 AS seats, timestamp '1996-01-01 00:00:00' AS updated_at,
-                           0 AS change FROM customer
-                    UNION ALL
-                    SELECT o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END,
-                           cast(o_orderdate AS timestamp), 1 FROM orders) u) n
-            WHERE rn = 1 AND seats IS NOT NULL""",
+        "upsert_latest": _UPSERT_LATEST,
+        "upsert_buckets": _UPSERT_LATEST,
+        "served_lookup": """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+            WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)""",
         "upsert_delete": _seats(_DOCUMENTS),
         "geo_point_parse": f"""WITH {_BASE}
             SELECT id, CASE WHEN k % 53 <> 0 AND k % 59 <> 0 THEN lat END AS lat,
@@ -233,7 +239,9 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN k % 4 <> 3 THEN strftime(voted_at, '%Y-%m-%d %H:%M:%S.%f') END AS "timestamp" FROM base""",
         "keyword_field": """SELECT doc_id, CASE WHEN length("text") <= 256 THEN "text" END AS text_keyword
             FROM documents""",
-        "seats_rows": f"WITH {_RAW}, {_seats_ctes()} SELECT * FROM seats_ref",
+        "seats_rows": f"""WITH {_RAW}, {_seats_ctes()}
+            SELECT province_name, total_seats, count(id) AS votes FROM seats_ref LEFT JOIN once USING (province_name)
+            GROUP BY ALL""",
         "load_reference": f"WITH {_REFERENCE} SELECT * FROM provinces JOIN regions USING (region_code)",
         "seats_reference": f"""WITH {_REFERENCE}
             SELECT province_name, total_seats FROM provinces JOIN regions USING (region_code)""",
@@ -304,31 +312,16 @@ def oracle_sql() -> dict[str, str]:
               autonomic_region_name, autonomic_region_iso_code, location, NULL FROM once WHERE k % 5 = 0""",
         "bernoulli_flag": f"""WITH {_IDS}
             SELECT id, {_uniform("id", "blank_vote")} < cast(0.01 AS double) AS blank_vote FROM ids""",
-        "draw_votes": f"""WITH {_IDS}, {_REFERENCE}, {_COORDINATES}, parties(name, popularity) AS (VALUES {_PARTY_VALUES}),
-            known AS (SELECT * FROM provinces JOIN regions USING (region_code)),
-            known_weights AS (
-              SELECT cast(id AS varchar) AS item, greatest(1, cast(trunc(
-                       cast(population AS double) / (SELECT sum(population) FROM known) * 1000) AS bigint)) AS w
-              FROM known),
-            placed AS (SELECT id, item AS province FROM ({_draw("ids", "_province", _ranges("item", "w", "known_weights"), "item")}) d),
-            voted AS (SELECT id, party FROM
-              ({_draw("ids", "political_party", _ranges("name", "popularity", "parties"), "party")}) d),
-            sizes AS (SELECT DISTINCT prov_code, total FROM numbered),
-            spots AS (SELECT placed.id, province_name, province_iso_code, region_name, region_iso_code, province_code,
-                             cast(floor({_uniform("placed.id", "location")} * total) AS bigint) AS spot
-                      FROM placed JOIN known ON province = cast(known.id AS varchar)
-                      LEFT JOIN sizes ON province_code = prov_code),
-            flags AS (SELECT id, {_uniform("id", "blank_vote")} < cast(0.01 AS double) AS blank_vote FROM ids)
-            SELECT cast(s.id AS varchar) AS id, blank_vote, CASE WHEN NOT blank_vote THEN party END AS political_party,
-                   province_name, province_iso_code, region_name AS autonomic_region_name,
-                   region_iso_code AS autonomic_region_iso_code, coordinate AS location,
-                   strftime(cast(o_orderdate AS timestamp), '%Y-%m-%d %H:%M:%S.%f') AS "timestamp"
-            FROM spots s JOIN flags ON s.id = flags.id JOIN voted ON s.id = voted.id
-            JOIN orders ON s.id = o_orderkey
-            LEFT JOIN numbered ON province_code = prov_code AND spot = position""",
         "stream_bronze": f"WITH {_RAW} {_PARSED}",
         "stream_silver": f"WITH {_RAW} {_CLEAN}",
         "stream_clean": f"WITH {_RAW} {_MESSAGES}",
         "stream_seats": _seats("SELECT * FROM seats", _STREAMED),
         "stream_served": _seats(_DOCUMENTS, _STREAMED),
+        "stream_seats_changes": _seats("SELECT * FROM seats", _STREAMED),
+        "stream_served_changes": _seats(_DOCUMENTS, _STREAMED),
+        "stream_event_time": f"""WITH {_RAW}, reasons AS (
+              SELECT id, CASE WHEN k % 23 = 0 THEN 'undated' WHEN k % 19 = 0 THEN 'early' WHEN k % 5 >= 3 THEN 'late' END AS reason
+              FROM raw WHERE k % 97 <> 0)
+            SELECT DISTINCT id, 'kept' AS reason FROM reasons WHERE reason IS NULL
+            UNION ALL SELECT id, reason FROM reasons WHERE reason IS NOT NULL""",
     }

@@ -17,11 +17,12 @@ from escrutinio.operators.upsert import upsert_latest
 from escrutinio.plans import fixture
 from escrutinio.schemas import PARTY_KEY, SEAT_DOCUMENT
 from escrutinio.session import configure, scratch_dir
+from escrutinio.sinks.buckets import BucketTable
 from escrutinio.sinks.coordinates import write_coordinate_files, write_coordinates, write_named_files
 from escrutinio.sinks.snapshots import write_snapshot
 from escrutinio.sources import geo_files
 from escrutinio.sources.messages import file_stream
-from escrutinio.sources.tables import reference_from_files, seats_from_rows
+from escrutinio.sources.tables import reference_from_files
 from escrutinio.streaming import lake as lakes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,6 +227,37 @@ def upsert_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES["upsert_latest"] = _QUERIES.pop("upsert_latest_query")
 
 
+@query
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table kept in buckets: customers, then the orders up to a day, then those after it."""
+    key = F.col("o_orderkey")
+    changes = fixture.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("doc_id"),
+        F.when(key % 5 != 0, key).alias("seats"),
+        F.col("o_orderdate").cast("timestamp").alias("updated_at"),
+    )
+    first = fixture.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("doc_id"),
+        (F.col("c_custkey") % 100).alias("seats"),
+        F.lit("1996-01-01 00:00:00").cast("timestamp").alias("updated_at"),
+    )
+    served = BucketTable(spark, f"{scratch_dir(spark, 'buckets')}/served", changes.schema, ("doc_id",), buckets=16)
+    before = F.col("updated_at") < F.lit("1997-06-01").cast("timestamp")
+    for version, some in enumerate((first, changes.filter(before), changes.filter(~before))):
+        served.upsert(some, ["updated_at"], "seats", version)
+    return served.read().select("doc_id", "seats", _time_text("updated_at"))
+
+
+@query
+def served_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders looked up by key in a table of buckets: those of the customers of one nation."""
+    orders = fixture.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    table = BucketTable(spark, f"{scratch_dir(spark, 'buckets')}/orders", orders.schema, ("o_custkey",), buckets=32)
+    table.replace(orders, range(table.buckets), 0)
+    nation = fixture.table(spark, sf_dir, "customer").filter("c_nationkey = 7")
+    return table.lookup(nation.select(F.col("c_custkey").alias("o_custkey")))
+
+
 @query
 def upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seats served without a threshold, then replaced by those with it: parties below it
@@ -280,9 +312,10 @@ def load_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def seats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The seats reference as rows given in code: at most one per nation."""
-    rows = [tuple(r) for r in fixture.seats_reference(spark, sf_dir).collect()]
-    return seats_from_rows(spark, rows)
+    """The seats reference beside the votes of each of its provinces, none among them."""
+    counted = votes.counted_votes(_raw(spark, sf_dir)).groupBy("province_name").agg(F.count("*").alias("votes"))
+    found = fixture.seats_reference(spark, sf_dir).join(counted, "province_name", "left")
+    return found.select("province_name", "total_seats", F.coalesce("votes", F.lit(0)).cast("bigint").alias("votes"))
 
 
 @query
@@ -415,27 +448,6 @@ def bernoulli_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.bernoulli_flag(ids, "id", "blank_vote")
 
 
-@query
-def draw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A synthetic vote for each order."""
-    ids = fixture.table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS id", "timestamp(o_orderdate) AS timestamp"
-    )
-    regions, provinces = _reference(spark, sf_dir)
-    known = reference.provinces_with_region(regions, provinces)
-    weights = reference.population_weights(known.select(F.col("id").alias("province_id"), "population"))
-    details = known.select(F.col("id").alias("_province"), "province_name", "province_iso_code", F.col("province_code").alias("prov_code"))
-    drawn = sampling.weighted_draw(ids, "id", weights, "province_id", "weight", "_province")
-    drawn = sampling.coordinate_pick(drawn.join(details, "_province"), "id", _points(spark, sf_dir), strict=False)
-    drawn = sampling.bernoulli_flag(drawn, "id", "blank_vote")
-    drawn = sampling.weighted_draw(drawn, "id", reference.political_parties(spark), "name", "popularity", "political_party")
-    drawn = reference.province_lookup(drawn, reference.province_lookup_table(regions, provinces))
-    drawn = drawn.withColumns(
-        {"id": F.col("id").cast("string"), "political_party": F.when(~F.col("blank_vote"), F.col("political_party"))}
-    )
-    return drawn.select(*VOTE_FIELDS, _time_text())
-
-
 @query
 def weighted_draw_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range of each brand under weights from 1e-10 to 5e9; parts without a brand drop out."""
@@ -516,6 +528,56 @@ def stream_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lakes.current_seats(spark, lake)
 
 
+@query
+def stream_seats_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seats kept by changed provinces only, over micro-batches of a few files each."""
+    messages, lake, reference_seats = _split_stream(spark, sf_dir, "changes")
+    lakes.drain(messages, lake, reference_seats, max_files=8, clock=lambda: PUBLISHED_AT, changes_only=True)
+    return lakes.current_seats(spark, lake, changes_only=True)
+
+
+@query
+def stream_served_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that these seats are served from."""
+    messages, lake, reference_seats = _split_stream(spark, sf_dir, "served-changes")
+    lakes.drain(messages, lake, reference_seats, max_files=8, clock=lambda: PUBLISHED_AT, changes_only=True)
+    return lakes.served_seats(spark, lake, changes_only=True).withColumn("updated_at", _time_text("updated_at"))
+
+
+def _split_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, lakes.Lake, DataFrame]:
+    """The raw messages in three files, each a micro-batch, an empty lake and the seats reference."""
+    base = scratch_dir(spark, name)
+    fixture.raw_messages(spark, sf_dir).repartition(3).write.text(f"{base}/source")
+    path = f"{base}/seats_reference"
+    write_snapshot(fixture.seats_reference(spark, sf_dir), path)
+    lake = lakes.Lake(f"{base}/lake", f"{base}/checkpoints")
+    return file_stream(spark, f"{base}/source", 1), lake, spark.read.parquet(path)
+
+
+@query
+def stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes that arrive 0 to 4 days after their time, some ahead of it and some without one, where
+    three days are allowed: kept once, or out of time with each copy and the reason."""
+    base = scratch_dir(spark, "event-time")
+    number = F.get_json_object("value", "$.id").cast("bigint")
+    undated = F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":null')
+    at = F.to_timestamp(F.get_json_object("value", "$.timestamp"))
+    arrived = F.when(number % 19 == 0, at - F.expr("interval 5 days")).otherwise(
+        at + F.make_dt_interval(days=(number % 5).cast("int"))
+    )
+    messages = fixture.raw_messages(spark, sf_dir).select(
+        F.when(number % 23 == 0, undated).otherwise(F.col("value")).alias("value"), arrived.alias("arrived")
+    )
+    messages.repartition(3).write.parquet(f"{base}/source")
+    source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/source")
+    lake, once = lakes.Lake(f"{base}/lake", f"{base}/checkpoints"), lakes.Trigger(available_now=True, max_files=1)
+    lakes.start_bronze(source, lake, once).awaitTermination()
+    lakes.start_silver(spark, lake, once, within="3 days", event_time=True).awaitTermination()
+    lakes.start_out_of_time(spark, lake, "3 days", once).awaitTermination()
+    kept = spark.read.parquet(lake.silver).select("id", F.lit("kept").alias("reason"))
+    return kept.unionByName(spark.read.parquet(lake.out_of_time).select("id", "reason"))
+
+
 @query
 def stream_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, lake, _ = _stream(spark, sf_dir, "served")

@@ -36,7 +36,11 @@ VOTE = _struct(
 )
 
 # Bronze keeps the text of the messages that could not be parsed.
-BRONZE = StructType([*VOTE.fields, StructField("raw", StringType(), True)])
+# With each message goes when it reached the broker and when it reached bronze.
+ARRIVAL = ["arrived", "ingested"]
+BRONZE = StructType(
+    [*VOTE.fields, StructField("raw", StringType(), True), *(StructField(name, TimestampType(), True) for name in ARRIVAL)]
+)
 
 # Fixed values.
 SILVER_COLUMNS = [

@@ -1,5 +1,7 @@
 """Coordinates of each province as JSON files."""
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +34,21 @@ def write_coordinate_files(points: DataFrame, path: str, chunk_size: int = 10_00
 
 
 def write_named_files(lines: DataFrame, path: str, order: str) -> None:
-    """The lines ``value`` of each ``name`` in ``order``, as one text file of that name."""
-    parts = f"{path}/_parts"
-    dealt = lines.repartition("name").sortWithinPartitions("name", order)
-    dealt.select("name", "value").write.mode("overwrite").partitionBy("name").text(parts)
+    """The lines ``value`` of each ``name`` in ``order``, as one text file of that name.
+
+    The files are laid out in a folder of their own, which then takes the place of ``path``:
+    files of an earlier run do not stay, and a run that fails leaves them as they are.
+    """
     spark = lines.sparkSession
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    parts = f"{staged}/_parts"
+    dealt = lines.repartition("name").sortWithinPartitions("name", order)
+    # One file per name, whatever the session's limit of records is.
+    dealt.select("name", "value").write.option("maxRecordsPerFile", 0).partitionBy("name").text(parts)
     for folder in names(spark, parts):  # one per file
         if folder.startswith("name="):
             (part,) = (n for n in names(spark, f"{parts}/{folder}") if n.startswith("part-"))
-            rename(spark, f"{parts}/{folder}/{part}", f"{path}/{folder.removeprefix('name=')}")
+            rename(spark, f"{parts}/{folder}/{part}", f"{staged}/{folder.removeprefix('name=')}")
     remove_folder(spark, parts)
+    remove_folder(spark, path)
+    rename(spark, staged, path)

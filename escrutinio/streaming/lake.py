@@ -20,13 +20,16 @@ from escrutinio.operators.seats import allocate_seats, seat_messages, seat_tombs
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.operators.votes import (
     accepted,
+    dedup_in_time,
     dedup_stream,
     normalize_blank,
+    out_of_time,
     parse_votes,
     vote_messages,
     votes_per_party,
 )
 from escrutinio.schemas import (
+    ARRIVAL,
     BRONZE,
     PARTY_KEY,
     SEAT_DOCUMENT,
@@ -38,17 +41,24 @@ from escrutinio.schemas import (
     VOTE_NORM,
 )
 from escrutinio.session import configure_state
+from escrutinio.sinks.buckets import BucketTable
 from escrutinio.sinks.messages import FileSink
 from escrutinio.sinks.versions import (
     drop_old_versions,
     read_current,
     read_version,
+    versions,
     write_version,
 )
 
 # Fixed value: how often the seats are computed again.
 SEATS_INTERVAL = "1 minute"
 
+# Buckets of the tables that the seats keep up to date, see ``sinks.buckets``. Changes are a
+# province's parties at a time; a country has some 50 provinces.
+PROVINCE_BUCKETS = 64
+SERVED_BUCKETS = 64
+
 # Files of a layer that one micro-batch reads at most, so that a backlog is worked off in parts.
 MAX_FILES = 1000
 
@@ -73,6 +83,10 @@ class Lake:
     def silver(self) -> str:
         return f"{self.base}/silver/votes_normalized"
 
+    @property
+    def out_of_time(self) -> str:
+        return f"{self.base}/silver/votes_out_of_time"
+
     @property
     def clean(self) -> str:
         return f"{self.base}/gold/votes_clean"
@@ -89,6 +103,10 @@ class Lake:
     def served(self) -> str:
         return f"{self.base}/served/votes_seats_provinces"
 
+    def bucketed(self, table: str) -> str:
+        """Folder of a table kept up to date in buckets (``start_seats(changes_only=True)``)."""
+        return f"{self.base}/buckets/{table}"
+
     @property
     def seat_messages(self) -> str:
         return f"{self.base}/messages/votes_seats_provinces"
@@ -122,23 +140,56 @@ def _layer(spark: SparkSession, path: str, schema: StructType, trigger: Trigger)
     return reader.parquet(path)
 
 
+def with_arrival(messages: DataFrame) -> DataFrame:
+    """Add ``arrived``, the broker's time of a message if it has one, and ``ingested``, the micro-batch's."""
+    now = F.current_timestamp()
+    known = next((name for name in ("arrived", "timestamp") if name in messages.columns), None)
+    return messages.withColumns({"arrived": F.col(known) if known else now, "ingested": now})
+
+
 def start_bronze(messages: DataFrame, lake: Lake, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Append parsed messages; unreadable ones keep their text."""
+    """Append parsed messages and when they came; unreadable ones keep their text."""
     configure_state(messages.sparkSession)
-    writer = parse_votes(messages).writeStream.format("parquet").option("path", lake.bronze)
+    writer = parse_votes(with_arrival(messages), *ARRIVAL).writeStream.format("parquet").option("path", lake.bronze)
     return trigger.start(writer, lake.checkpoint("bronze"))
 
 
 def start_silver(
-    spark: SparkSession, lake: Lake, trigger: Trigger = Trigger(), salts: int = 1, within: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    trigger: Trigger = Trigger(),
+    salts: int = 1,
+    within: str | None = None,
+    event_time: bool = False,
 ) -> StreamingQuery:
-    """Append each vote id once, blank votes normalised. See ``dedup_stream`` for the options."""
+    """Append each vote id once, blank votes normalised. See ``dedup_stream`` for the options.
+
+    With ``event_time`` the votes that ``out_of_time`` names are left to ``start_out_of_time``.
+    """
     configure_state(spark)
-    votes = accepted(_layer(spark, lake.bronze, BRONZE, trigger)).select(*SILVER_COLUMNS)
-    silver = normalize_blank(dedup_stream(votes, salts, within))
+    votes = accepted(_layer(spark, lake.bronze, BRONZE, trigger))
+    if event_time:
+        votes = dedup_in_time(votes, _given(within), salts)
+    else:
+        votes = dedup_stream(votes.select(*SILVER_COLUMNS), salts, within)
+    silver = normalize_blank(votes.select(*SILVER_COLUMNS))
     return trigger.start(silver.writeStream.format("parquet").option("path", lake.silver), lake.checkpoint("silver"))
 
 
+def _given(within: str | None) -> str:
+    if within is None:
+        raise ValueError("event time needs a delay: within")
+    return within
+
+
+def start_out_of_time(spark: SparkSession, lake: Lake, within: str, trigger: Trigger = Trigger()) -> StreamingQuery:
+    """Append the votes that silver leaves out by their time, each copy of them, with the reason."""
+    configure_state(spark)
+    votes = out_of_time(accepted(_layer(spark, lake.bronze, BRONZE, trigger)), within)
+    writer = votes.writeStream.format("parquet").option("path", lake.out_of_time)
+    return trigger.start(writer, lake.checkpoint("out_of_time"))
+
+
 def start_clean(spark: SparkSession, lake: Lake, sink=None, trigger: Trigger = Trigger()) -> StreamingQuery:
     """Publish clean votes as key and JSON value; served insert-only."""
     configure_state(spark)
@@ -155,11 +206,21 @@ def start_seats(
     threshold: float = THRESHOLD,
     keep: int = 10,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    changes_only: bool = False,
 ) -> StreamingQuery:
-    """Keep the running count of votes and publish the seats it gives at each trigger."""
+    """Keep the running count of votes and publish the seats it gives at each trigger.
+
+    With ``changes_only`` a micro-batch has the counts that changed, and only their provinces
+    are allocated and rewritten (``change_publisher``); else all counts (``seat_publisher``).
+    The tables of the two ways are apart; each starts from its own checkpoint.
+    """
     configure_state(spark)
     counts = votes_per_party(_layer(spark, lake.silver, VOTE_NORM, trigger).select(*PARTY_KEY))
-    publish = seat_publisher(lake, seats_reference, sink or FileSink(lake.seat_messages), threshold, keep, clock)
+    sink = sink or FileSink(lake.seat_messages)
+    if changes_only:
+        publish = change_publisher(lake, seats_reference, sink, threshold, clock)
+        return trigger.start(counts.writeStream.foreachBatch(publish), lake.checkpoint("seat_changes"), "update")
+    publish = seat_publisher(lake, seats_reference, sink, threshold, keep, clock)
     return trigger.start(counts.writeStream.foreachBatch(publish), lake.checkpoint("seats"), "complete")
 
 
@@ -199,6 +260,120 @@ def seat_publisher(
     return publish
 
 
+@dataclass(frozen=True)
+class SeatTables:
+    """The tables that ``change_publisher`` keeps up to date."""
+
+    counts: BucketTable
+    seats: BucketTable
+    served: BucketTable
+    changes: str
+    work: str
+
+    @classmethod
+    def of(cls, spark: SparkSession, lake: Lake) -> "SeatTables":
+        province = ("province_name",)
+        return cls(
+            BucketTable(spark, lake.bucketed("votes_per_party"), _COUNTS, province, PROVINCE_BUCKETS),
+            BucketTable(spark, lake.bucketed("seats"), SEATS, province, PROVINCE_BUCKETS),
+            BucketTable(spark, lake.bucketed("served"), SERVED, ("seat_key",), SERVED_BUCKETS),
+            lake.bucketed("seat_changes"),
+            lake.bucketed("work"),
+        )
+
+
+def change_publisher(
+    lake: Lake,
+    seats_reference: DataFrame,
+    sink,
+    threshold: float = THRESHOLD,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+) -> Callable[[DataFrame, int], None]:
+    """The callback of micro-batches that hold changed counts only (update mode).
+
+    Counts -> changes of the seats of these provinces -> messages -> gold seats -> served table.
+    Work and writes follow the change: the provinces with a changed count are allocated, and
+    the buckets these provinces and their seats fall into are rewritten.
+
+    A repeated micro-batch gives the same tables: counts are absolute, and what the batch
+    changes in the seats is written once, before anything is put in place, and taken from there
+    if the batch comes again.
+    """
+    spark = seats_reference.sparkSession
+    tables = SeatTables.of(spark, lake)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        if batch_id not in versions(spark, tables.changes):
+            counted = _written(spark, batch, f"{tables.work}/counts", batch_id)
+            provinces = counted.select("province_name").distinct()
+            touched = tables.counts.touched(provinces)
+            if not touched:
+                return
+            merged = replaced_counts(tables.counts.read_buckets(touched), counted)
+            tables.counts.replace(merged, touched, batch_id)
+            seats = allocate_seats(tables.counts.lookup(provinces), seats_reference, threshold)
+            seats = _written(spark, seats, f"{tables.work}/seats", batch_id)
+            at = F.lit(clock()).cast("timestamp")
+            previous = tables.seats.lookup(provinces)
+            write_version(seat_changes(previous, seats, at, batch_id), tables.changes, batch_id)
+        changes = read_version(spark, tables.changes, batch_id, SERVED)
+        others = _without(tables.seats.read(), changes, ["province_name"])
+        sink.write(seat_change_messages(changes, others), batch_id)
+        seats = changes.select(*(F.col(c).alias(n) for c, n in _DOCUMENT_COLUMNS), "seats")
+        touched = tables.seats.touched(seats)
+        if touched:
+            tables.seats.replace(replaced_provinces(tables.seats.read_buckets(touched), seats), touched, batch_id)
+        tables.served.upsert(changes, ["sequence"], "seats", batch_id)
+        for path in (tables.changes, f"{tables.work}/counts", f"{tables.work}/seats"):
+            drop_old_versions(spark, path, 1)
+
+    return publish
+
+
+def _written(spark: SparkSession, df: DataFrame, path: str, version: int) -> DataFrame:
+    write_version(df, path, version)
+    return read_version(spark, path, version, df.schema)
+
+
+_DOCUMENT_COLUMNS = [
+    ("autonomic_region_name", "autonomic_region_name"),
+    ("province_name", "province_name"),
+    ("political_party", "political_party_norm"),
+]
+
+
+def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys, NULLs among them, are not those of any other row."""
+    keys_of = others.select(*(F.col(name).alias(f"_{name}") for name in keys)).distinct()
+    return rows.join(keys_of, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys], "left_anti")
+
+
+def replaced_counts(current: DataFrame, changed: DataFrame) -> DataFrame:
+    """``current`` with the changed counts in place of their old ones."""
+    return _without(current, changed, PARTY_KEY).unionByName(changed.select(*current.columns))
+
+
+def replaced_provinces(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """``current`` with all seats of the provinces in ``changes`` in place of their old ones.
+
+    ``changes`` has each seat count of these provinces, NULL for parties no longer reported.
+    """
+    return _without(current, changes, ["province_name"]).unionByName(changes.filter("seats IS NOT NULL"))
+
+
+def seat_change_messages(changes: DataFrame, others: DataFrame) -> DataFrame:
+    """Messages of the rows of ``seat_changes``: seats now, tombstones for keys that nobody reports any more.
+
+    ``others`` are the seats of all other provinces, which can share a readable key.
+    """
+    seats = changes.filter("seats IS NOT NULL")
+    parties = seats.select(*(F.col(c).alias(n) for c, n in _DOCUMENT_COLUMNS), "seats", "updated_at")
+    gone = changes.filter("seats IS NULL").select(F.col("doc_id").alias("key")).distinct()
+    reported = seats.select(F.col("doc_id").alias("key")).unionByName(others.select(seat_doc_id().alias("key")))
+    gone = gone.join(reported, "key", "left_anti")
+    return seat_messages(parties, F.col("updated_at")).unionByName(gone.select("key", F.lit(None).cast("string").alias("value")))
+
+
 def seat_documents(messages: DataFrame, at) -> DataFrame:
     """Seat messages as documents; a tombstone has its key and time only."""
     value = F.from_json("value", SEAT_DOCUMENT)
@@ -229,13 +404,17 @@ def seat_changes(previous: DataFrame, seats: DataFrame, at, sequence: int) -> Da
     )
 
 
-def current_seats(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The gold seats of the newest complete micro-batch."""
+def current_seats(spark: SparkSession, lake: Lake, changes_only: bool = False) -> DataFrame:
+    """The gold seats of the newest complete micro-batch, of the way in which the seats are kept."""
+    if changes_only:
+        return SeatTables.of(spark, lake).seats.read()
     return read_current(spark, lake.seats, SEATS)
 
 
-def served_seats(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The served seat documents."""
+def served_seats(spark: SparkSession, lake: Lake, changes_only: bool = False) -> DataFrame:
+    """The served seat documents, of the way in which the seats are kept."""
+    if changes_only:
+        return SeatTables.of(spark, lake).served.read().select(*SEAT_DOCUMENT.names)
     return read_current(spark, lake.served, SERVED).select(*SEAT_DOCUMENT.names)
 
 
@@ -256,8 +435,10 @@ def run_lake(
     trigger: Trigger = Trigger(max_files=MAX_FILES),
     threshold: float = THRESHOLD,
     keep: int = 10,
+    changes_only: bool = False,
+    event_time: bool = False,
 ) -> list[StreamingQuery]:
-    """Start all four queries; ``await_any`` waits for them.
+    """Start all four queries, and one more with ``event_time``; ``await_any`` waits for them.
 
     ``trigger`` is that of bronze, silver and clean; its ``max_files`` bounds a micro-batch
     that reads a layer. The source of ``messages`` has its own limit, see ``sources.messages``.
@@ -265,9 +446,10 @@ def run_lake(
     spark = messages.sparkSession
     return [
         start_bronze(messages, lake, trigger),
-        start_silver(spark, lake, trigger, salts, within),
+        start_silver(spark, lake, trigger, salts, within, event_time),
+        *([start_out_of_time(spark, lake, _given(within), trigger)] if event_time else []),
         start_clean(spark, lake, clean_sink, trigger),
-        start_seats(spark, lake, seats_reference, seats_sink, seats_trigger, threshold, keep),
+        start_seats(spark, lake, seats_reference, seats_sink, seats_trigger, threshold, keep, changes_only=changes_only),
     ]
 
 
@@ -280,14 +462,19 @@ def drain(
     within: str | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     threshold: float = THRESHOLD,
+    changes_only: bool = False,
+    event_time: bool = False,
 ) -> None:
     """Bring all layers up to date with what the source holds now, then stop."""
     spark = messages.sparkSession
     once = Trigger(available_now=True, max_files=max_files)
     start_bronze(messages, lake, once).awaitTermination()
-    start_silver(spark, lake, once, salts, within).awaitTermination()
+    start_silver(spark, lake, once, salts, within, event_time).awaitTermination()
+    if event_time:
+        start_out_of_time(spark, lake, _given(within), once).awaitTermination()
     start_clean(spark, lake, None, once).awaitTermination()
-    start_seats(spark, lake, seats_reference, None, once, threshold, clock=clock).awaitTermination()
+    seats = start_seats(spark, lake, seats_reference, None, once, threshold, clock=clock, changes_only=changes_only)
+    seats.awaitTermination()
 
 
 def await_any(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:

@@ -16,10 +16,6 @@ highest of each id, and joins them back to the blocks' pairs; then each block ad
 documents' links. A block is bounded by its bytes, so a pair that all documents hold has one
 row per block, and nothing grows with the corpus.
 
-Words repeat far more than texts: both tokenizers are asked once per worker for a word (the
-bytes from a space up to the next, less a comma or full stop behind a small letter), and again
-when the caches have turned over. Neither joins bytes across such a cut.
-
 Cases: null and empty texts, and those whose tokens do not give back space and text byte by
 byte, have no tokens: zeros and ''. Very long texts are a block of their own. Rows that repeat
 a doc_id are documents of their own and count each. An empty table gives an empty result.
@@ -27,6 +23,7 @@ Only doc_id and text are read. Both files must be at their paths on every execut
 """
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -40,21 +37,10 @@ from escrutinio.llm.common import shuffles, written
 from escrutinio.llm.text import blocks
 
 BLOCK_BYTES = 1 << 20
-CACHED_WORDS = 100_000
-_BATCH = 2_000
+_NEAR = 8
 _OPEN: dict = {}
-# A cut before a space that no token of either kind can span: behind a visible ASCII
-# character, or behind any other if a visible ASCII character follows. The last space of a text
-# is no chunk of its own, as a sentencepiece model puts no space before an empty text.
-_CUT = re.compile(rb"(?<=[\x21-\x7E]) (?!\Z)|(?<=[\x80-\xFF]) (?=[\x21-\x7E])")
-# Texts without any of these can be cut before each space: their spaces are single and stand
-# between characters that are no white space of any kind.
-_ODD = re.compile(
-    rb"\A |  | \Z|[\x00-\x1F\x7F] | [\x00-\x1F\x7F]"
-    rb"|\xC2[\x85\xA0]|\xE1\x9A\x80|\xE2\x80[\x80-\x8A\xA8\xA9\xAF]|\xE2\x81\x9F|\xE3\x80\x80"
-)
-_MARKS = (b",", b".")
-_SMALL = frozenset(range(ord("a"), ord("z") + 1))
+# Fixed value: how a byte-level vocabulary of this kind parts a text before it looks for tokens.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -69,7 +55,12 @@ def byte_of_letter() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level BPE of the tokenizers library."""
+    """A byte-level BPE given as a file of the tokenizers library.
+
+    Where its merges are in the order of the ids they give, and it parts texts as ``_PARTS``
+    does, tiktoken finds the same tokens several times as fast; else the library itself does.
+    Special tokens have no meaning inside texts.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -80,11 +71,34 @@ class ByteLevel:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            self.bytes[i] = bytes(letters[c] for c in token if c in letters)
+            if all(c in letters for c in token):
+                self.bytes[i] = bytes(letters[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes])
-
-    def encode(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+        self.ranked = self._ranked(path, letters)
+
+    def _ranked(self, path: str, letters: dict):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        special = {t["id"] for t in parts["added_tokens"]}
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parts["model"]["merges"]]
+        made = ["".join(m) for m in merges]
+        vocabulary = parts["model"]["vocab"]
+        ordered = [vocabulary.get(t) for t in made] == list(range(256, 256 + len(made)))
+        plain = parts["pre_tokenizer"] | {"trim_offsets": None} == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": None, "use_regex": True,
+        }
+        if not (ordered and plain and not parts["normalizer"]):
+            return None
+        ranks = {b: i for i, b in enumerate(self.bytes) if b and i not in special}
+        return tiktoken.Encoding("ranked", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        texts = [" " + t for t in texts]
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(t) for t in texts]
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -104,110 +118,28 @@ class Pieces:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode("utf-8")
 
-    def encode(self, chunks: list[str]) -> list[list[int]]:
-        return self.library.encode([c[1:] for c in chunks], num_threads=1)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.library.encode(texts, num_threads=1)
 
 
 class Pair:
-    """Both tokenizers over chunks of texts, with the ids of recent chunks.
-
-    A chunk's entry is the ids of both as little-endian numbers, or None if its tokens do not
-    give back its bytes. A chunk that starts with a space is kept as it is; all others are words
-    of texts that can be cut before each space, without the space.
-    """
+    """Both tokenizers."""
 
     def __init__(self, first: str, second: str):
         self.kinds = (ByteLevel(first), Pieces(second))
-        self.young: dict = {}
-        self.old: dict = {}
         self.digits = tuple(_digits(len(k.lengths)) for k in self.kinds)
-        self.marks = self._marks()
-
-    def _marks(self) -> dict:
-        """Ids of a mark behind a small letter, if no token of the second kind spans the two.
-
-        The first kind parts letters from marks before it looks for tokens.
-        """
-        out = {}
-        for mark in _MARKS:
-            spans = re.compile(rb"[a-z]" + re.escape(mark))
-            ids = [kind.encode([f" a{mark.decode()}"])[0][1:] for kind in self.kinds]
-            if not any(spans.search(b) for b in self.kinds[1].bytes) and all(kind.bytes[i[0]] == mark for kind, i in zip(self.kinds, ids, strict=True)):
-                out[mark[0]] = tuple(np.array(i, dtype="<u4").tobytes() for i in ids)
-        return out
 
-    def _entry(self, chunk: bytes, ids: tuple) -> tuple | None:
-        for kind, of in zip(self.kinds, ids, strict=True):
-            if b"".join([kind.bytes[i] for i in of]) != chunk:
-                return None
-        return tuple(np.array(of, dtype="<u4").tobytes() for of in ids)
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        young, marks = self.young, self.marks
-        marked = [c for c in chunks if len(c) > 1 and c[-1] in marks and c[-2] in _SMALL and c[0] != 0x20]
-        cores = {c[:-1] for c in marked}
-        cores.update(set(chunks).difference(marked))
-        cores.difference_update(young)
-        self._ask(list(cores))
-        for c in marked:
-            core, mark = young[c[:-1]], marks[c[-1]]
-            young[c] = core and (core[0] + mark[0], core[1] + mark[1])
-
-    def _ask(self, chunks: list[bytes]) -> None:
-        plain = [c for c in chunks if c[0] != 0x20]
-        other = [c for c in chunks if c[0] == 0x20]
-        for i in range(0, len(plain), _BATCH):
-            part = plain[i : i + _BATCH]
-            whole, stops = b" " + b" ".join(part), np.cumsum([1 + len(c) for c in part])
-            text, cut = whole.decode("utf-8"), []
-            for kind in self.kinds:
-                ids = np.array(kind.encode([text])[0], dtype="<u4")
-                ends = np.cumsum(kind.lengths[ids])
-                at = np.searchsorted(ends, stops)
-                if b"".join([kind.bytes[j] for j in ids.tolist()]) != whole or not np.array_equal(ends[at], stops):
-                    break
-                cut.append((ids.tobytes(), [0, *((at + 1) * 4).tolist()]))
-            if len(cut) < 2:
-                for c in part:  # one of them does not come back as it is
-                    ids = [kind.encode([" " + c.decode("utf-8")])[0] for kind in self.kinds]
-                    self.young[c] = self._entry(b" " + c, ids)
-                continue
-            (a, i), (b, j) = cut
-            self.young.update((c, (a[i[k] : i[k + 1]], b[j[k] : j[k + 1]])) for k, c in enumerate(part))
-        for i in range(0, len(other), _BATCH):
-            part = other[i : i + _BATCH]
-            texts = [c.decode("utf-8") for c in part]
-            found = zip(part, *(kind.encode(texts) for kind in self.kinds), strict=True)
-            self.young.update((c, self._entry(c, (a, b))) for c, a, b in found)
-
-    def encode(self, texts: list[bytes | None]) -> list[tuple[bytes, bytes]]:
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both tokenizers of each text; none for a text without tokens."""
-        chunks = [_chunks(t) if t else [] for t in texts]
-        new = set().union(*chunks).difference(self.young)
-        known = new.intersection(self.old) if self.old else set()
-        self.young.update((c, self.old[c]) for c in known)
-        self._learn(list(new - known))
-        out, young = [], self.young
-        for cs in chunks:
-            entries = [young[c] for c in cs]
-            if not entries or None in entries:
-                out.append((b"", b""))
-            else:
-                a, b = zip(*entries, strict=True)
-                out.append((b"".join(a), b"".join(b)))
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
+        texts = [t or "" for t in texts]
+        out = []
+        for text, *ids in zip(texts, *(kind.encode(texts) for kind in self.kinds), strict=True):
+            whole = b" " + text.encode("utf-8")
+            same = text and all(b"".join(map(kind.bytes.__getitem__, of)) == whole for kind, of in zip(self.kinds, ids, strict=True))
+            out.append(tuple(np.array(of if same else [], dtype=np.int64) for of in ids))
         return out
 
 
-def _chunks(text: bytes) -> list[bytes]:
-    if not _ODD.search(text):
-        return text.split(b" ")
-    text = b" " + text
-    cuts = [m.start() for m in _CUT.finditer(text)]
-    return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
-
-
 def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The decimal text of each number below ``n``, left-aligned, and its length."""
     width = len(str(n))
@@ -230,25 +162,34 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     a, b = ends_a.tolist(), ends_b.tolist()
     raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
     n, m = len(a), len(b)
-    runs, irregular_a, irregular_b, closed_a, closed_b = [], [], [], [], []
+    a.append(-1)  # no end equals what stands behind the last one
+    b.append(-2)
+    starts, shifts, stops, irregular_a, irregular_b, closed_a, closed_b = [], [], [], [], [], [], []
     i = j = 0
-    while i < n and j < m:
+    while i < n:
         if a[i] == b[j]:
-            # Tokens pair off at this shift: probe stretches of doubled length.
-            start, at, step = i, i + 1, 1
-            shift = j - i
-            while at < n and at + shift < m and a[at] == b[at + shift]:
-                low, high = 8 * at, 8 * (at + step)
-                if at + step <= n and raw_a[low:high] == raw_b[low + 8 * shift : high + 8 * shift]:
-                    at += step
-                    step *= 2
-                elif step > 1:
-                    step = 1 if step < 4 else step // 4  # halve: the difference is near
-                else:
-                    break
-            runs.append((start, start + shift, at - start))
+            # Tokens pair off at this shift: a few one by one, then stretches of doubled length.
+            at, shift = i + 1, j - i
+            near, far = at + _NEAR, at + shift
+            while at < near and a[at] == b[far]:
+                at += 1
+                far += 1
+            if at == near:
+                step = 2 * _NEAR
+                while step:
+                    low, high = 8 * at, 8 * (at + step)
+                    if at + step <= n and raw_a[low:high] == raw_b[low + 8 * shift : high + 8 * shift]:
+                        at += step
+                        step *= 2
+                    else:
+                        step //= 4  # the difference is within: look nearer
+                while a[at] == b[at + shift]:
+                    at += 1
+            starts.append(i)
+            shifts.append(shift)
+            stops.append(at)
             i, j = at, at + shift
-        if i >= n or j >= m:
+        if i >= n:
             break
         # An irregular group, token by token up to the next end that both share.
         x, y = a[i], b[j]
@@ -267,10 +208,10 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
         j += 1
         closed_a.append(i)
         closed_b.append(j)
-    run = np.array(runs, dtype=np.int64).reshape(-1, 3)
-    lengths = run[:, 2]
-    steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    run_a, run_b = np.repeat(run[:, 0], lengths) + steps, np.repeat(run[:, 1], lengths) + steps
+    first = np.array(starts, dtype=np.int64)
+    lengths = np.array(stops, dtype=np.int64) - first
+    run_a = np.arange(lengths.sum()) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+    run_b = run_a + np.repeat(np.array(shifts, dtype=np.int64), lengths)
     link_a = np.concatenate((run_a, np.array(irregular_a, dtype=np.int64)))
     link_b = np.concatenate((run_b, np.array(irregular_b, dtype=np.int64)))
     slot = np.full(n + m, -1)
@@ -310,13 +251,13 @@ def _group_text(ids: tuple, ends: tuple, digits: tuple) -> tuple[np.ndarray, np.
     return flat, np.cumsum(size)[ends[0] + ends[1] - 1] if len(ends[0]) else np.zeros(0, dtype=np.int64)
 
 
-def aligned_block(ids: list[tuple[bytes, bytes]], lengths: tuple, digits: tuple) -> dict:
+def aligned_block(ids: list[tuple[np.ndarray, np.ndarray]], lengths: tuple, digits: tuple) -> dict:
     """Alignment of a block's documents: counts per document, group texts' hashes, links.
 
     ``link_doc``, ``link_a`` and ``link_b`` hold for each link its document and both ids.
     """
-    tokens = [np.frombuffer(b"".join(x[k] for x in ids), dtype="<u4").astype(np.int64) for k in (0, 1)]
-    n = [np.array([len(x[k]) // 4 for x in ids], dtype=np.int64) for k in (0, 1)]
+    tokens = [np.concatenate([x[k] for x in ids]) for k in (0, 1)]
+    n = [np.array([len(x[k]) for x in ids], dtype=np.int64) for k in (0, 1)]
     ends = [np.cumsum(lengths[k][tokens[k]]) for k in (0, 1)]
     link_a, link_b, end_a, end_b = align(*ends)
     bounds = np.cumsum(n[0])
@@ -381,8 +322,7 @@ def _blocks(docs: DataFrame, first: str, second: str, limit: int) -> DataFrame:
         pair = opened(first, second)
         lengths = tuple(k.lengths for k in pair.kinds)
         for block in blocks(batches, limit=limit):
-            texts = block.column("text").cast(pa.large_binary()).to_pylist()
-            found = aligned_block(pair.encode(texts), lengths, pair.digits)
+            found = aligned_block(pair.encode(block.column("text").to_pylist()), lengths, pair.digits)
             keys, index = np.unique(found["link_a"] << 32 | found["link_b"], return_inverse=True)
             links, held = _packed(found["link_doc"], index, len(keys))
             row = {

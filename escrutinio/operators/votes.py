@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType
 
 from escrutinio.functions.keys import vote_doc_id
 from escrutinio.schemas import BLANK, PARTY_KEY, SILVER_COLUMNS, VOTE
@@ -25,9 +25,6 @@ MESSAGE_FIELDS = [
 # The columns that decide the count of a vote, in the order in which copies compare.
 COUNTED_COLUMNS = ["timestamp", "political_party", "province_name", "autonomic_region_name", "blank_vote"]
 
-_CORRUPT = StructField("_corrupt", StringType(), True)
-_KEEP_CORRUPT = {"columnNameOfCorruptRecord": _CORRUPT.name}
-
 # to_json alone would cut timestamps to milliseconds.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -46,8 +43,8 @@ def parse_votes(messages: DataFrame, *keep: str) -> DataFrame:
     # not look behind the end of the array: a text with a bracket of its own must also be the
     # value of a field, which no text is that closes an array early.
     objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), ArrayType(VOTE))
-    field = F.from_json(F.concat(F.lit('{"vote":'), F.col("value"), F.lit("}")), StructType([StructField("vote", VOTE), _CORRUPT]), _KEEP_CORRUPT)
-    whole = F.when(F.contains("value", F.lit("]")), field[_CORRUPT.name].isNull()).otherwise(True)
+    as_field = F.json_object_keys(F.concat(F.lit('{"vote":'), F.col("value"), F.lit("}")))
+    whole = F.when(F.contains("value", F.lit("]")), as_field.isNotNull()).otherwise(True)
     vote = F.transform(F.array(objects), lambda found: F.when((F.size(found) == 1) & whole, found[0]))
     has_id = F.coalesce(F.col("id") != "", F.lit(False))
     return (

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from escrutinio.operators.geometry import build_coordinates, coordinate_chunks, municipality_points, street_points
-from escrutinio.sinks.coordinates import write_coordinates
+from escrutinio.sinks.coordinates import write_coordinate_files, write_coordinates
 from escrutinio.sources import geo_files
 
 MUNICIPALITIES = [
@@ -111,3 +111,19 @@ def test_coordinate_files_by_name(spark, tmp_path):
     (tmp_path / "09.json").write_text(json.dumps({"other": 1}))
     (tmp_path / "notes.txt").write_text("x")
     assert by_province(geo_files.coordinate_files(spark, str(tmp_path))) == {"07": Counter({"1.0,2.0": 2})}
+
+
+def test_coordinate_files_are_written_again(spark, tmp_path):
+    """The second run has fewer provinces; a limit of records per file does not split one."""
+    path, schema = str(tmp_path / "out"), "prov_code string, coordinate string"
+    rows = [("01", f"{i}.5,2.0") for i in range(9)] + [("02", "3.0,4.0")]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1")
+    try:
+        write_coordinate_files(spark.createDataFrame(rows, schema), path, 2)
+        assert by_province(geo_files.coordinate_files(spark, path)) == {"01": Counter(c for _, c in rows[:9]), "02": Counter(["3.0,4.0"])}
+        write_coordinate_files(spark.createDataFrame(rows[:3], schema), path, 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert by_province(geo_files.coordinate_files(spark, path)) == {"01": Counter(c for _, c in rows[:3])}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == ["01.json"]

@@ -47,7 +47,7 @@ def test_votes_job_arguments():
     common = ["--lake", "l", "--checkpoints", "c", "--reference-dir", "r"]
     args = votes.arguments(["--kafka", "h:1", *common, "--dedup-within", "1 day"])
     assert (args.kafka, args.dedup_within, args.seats_interval) == ("h:1", "1 day", "1 minute")
-    for wrong in (common, ["--kafka", "h:1", "--source-dir", "s", *common], ["--kafka", "h:1", "--once", *common]):
+    for wrong in (["--source-dir", "s", *common, "--event-time"], common, ["--kafka", "h:1", "--source-dir", "s", *common], ["--kafka", "h:1", "--once", *common]):
         with pytest.raises(SystemExit):
             votes.arguments(wrong)
 

@@ -146,3 +146,25 @@ def test_a_total_too_large_for_a_draw_is_an_error(spark):
     weights = spark.createDataFrame([("a", 1 << 53), ("b", 1)], "item string, w bigint")
     with pytest.raises(Exception, match="cannot be drawn from"):
         weighted_draw(spark.range(3), "id", weights, "item", "w", "out").collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("rows", "kind", "fault"),
+    [
+        ([("a", 1e12), ("b", 1.0)], "double", "10\\*\\*11 or more"),
+        ([("a", float("inf")), ("b", 1.0)], "double", "10\\*\\*11 or more"),
+        ([("a", 1e-20), ("b", 1.0)], "double", "below 10"),
+        ([("a", (1 << 63) - 1), ("a", 5)], "bigint", "too large"),
+        ([("a", (1 << 63) - 1), ("b", 5)], "bigint", "too large"),
+    ],
+)
+def test_no_weight_is_lost_in_either_mode(spark, ansi, rows, kind, fault):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        weights = spark.createDataFrame(rows, f"item string, w {kind}")
+        with pytest.raises(Exception, match=fault):
+            weighted_ranges(weights, [], "item", F.col("w")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,12 +91,51 @@ def test_top_k_by_column_of_a_hot_group(spark):
     assert top.count() == 305
 
 
-@pytest.mark.parametrize("text", ['{"id":"17"}{"id":"18"}', '{"id":"17"},{"id":"18"}', '{"id":""}', "[]", "", "17"])
+NOT_ONE = [
+    '{"id":"17"}{"id":"18"}',
+    '{"id":"17"},{"id":"18"}',
+    '{"id":""}',
+    "[]",
+    "",
+    "17",
+    '{"id":"18"}],[{"id":"19"}',
+    '{"id":"17"}] xyz',
+    '{"id":"17"}]',
+    '{"id":"17"},"b":[1]',
+    '{"id":"17"}}, [{"id":"18"}',
+    '{"id":"17"}]}, {"vote":[{"id":"18"}',
+]
+
+
+@pytest.mark.parametrize("text", NOT_ONE)
 def test_what_is_not_one_vote_is_rejected_whole(spark, text):
     parsed = V.parse_votes(spark.createDataFrame([(text,)], "value string"))
     assert [r["raw"] for r in V.rejects(parsed).collect()] == [text] and V.accepted(parsed).count() == 0
 
 
+def test_brackets_inside_a_vote_are_no_fault(spark):
+    texts = ['{"id":"1","political_party":"A]"}', ' {"id":"2","more":[1,{"x":[]}]} ', '{"id":"3","location":"[1]"}']
+    found = V.parse_votes(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [(r["id"], r["raw"]) for r in found.collect()] == [("1", None), ("2", None), ("3", None)]
+
+
+TIMES = [("kept", 0), ("kept", 71), ("late", 72), ("late", 500), ("kept", -71), ("early", -72), ("undated", None)]
+
+
+def test_votes_out_of_time_are_named_and_none_is_lost(spark):
+    arrived = datetime(2024, 5, 10, 12)
+    rows = [
+        (f"{reason}{i}", None if hours is None else arrived - timedelta(hours=hours), arrived, arrived + timedelta(days=copy))
+        for i, (reason, hours) in enumerate(TIMES)
+        for copy in range(2)
+    ]
+    votes = spark.createDataFrame(rows, "id string, timestamp timestamp, arrived timestamp, ingested timestamp")
+    kept = sorted(r["id"] for r in V.dedup_in_time(votes, "3 days").collect())
+    assert kept == sorted(f"{reason}{i}" for i, (reason, _) in enumerate(TIMES) if reason == "kept")
+    out = V.out_of_time(votes, "3 days").collect()
+    assert all(r["id"].startswith(r["reason"]) for r in out) and len(out) == 2 * sum(reason != "kept" for reason, _ in TIMES)
+
+
 def test_a_dated_copy_wins_over_one_without_a_time(spark):
     at = datetime(2024, 5, 1)
     rows = [("1", None, "A"), ("1", at, "X"), ("2", None, "B"), ("2", None, "A")]

@@ -11,8 +11,8 @@ a passage whose sentences were reordered is found.
 The items are compared in blocks of bounded size, each sent to the tasks; a larger
 benchmark makes more passes over the documents, and documents are never shuffled.
 
-Cases: null and empty texts match nothing. Items shorter than a tile cannot be told from
-chance and never match. Rows that repeat an item or a document are compared each; rows
+Cases: null and empty texts match nothing. Items shorter than a tile match where a document
+holds all their words in a row. Rows that repeat an item or a document are compared each; rows
 without doc_id or item_id too, and have null there. Empty tables give an empty
 result. Further columns play no part.
 """
@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from escrutinio.llm.common import written
+from escrutinio.llm.common import quoted, written
 from escrutinio.llm.text import blocks, inside, windows
 from escrutinio.llm.toxicity import word_hashes
 from escrutinio.operators.joins import broadcast_if_small
@@ -35,7 +36,12 @@ TILE = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 1 << 24  # of the items' texts
 
-_RESULT = "doc_id bigint, item_id bigint, item_words bigint, covered_words bigint, coverage double"
+_FOUND = [
+    StructField("item_id", LongType()),
+    StructField("item_words", LongType()),
+    StructField("covered_words", LongType()),
+    StructField("coverage", DoubleType()),
+]
 
 
 def _free(marked: np.ndarray, length: int) -> np.ndarray:
@@ -102,6 +108,13 @@ class _Items:
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.places = seeds[order], places[order]
         self.items = np.searchsorted(self.offsets, self.places, "right") - 1
+        counts = np.diff(self.offsets)
+        self.short = {}  # by length: hashes of the items shorter than a tile, and the items
+        for size in np.unique(counts[(counts > 0) & (counts < least)]).tolist():
+            some = np.flatnonzero(counts == size)
+            hashes = windows(self.words, size)[self.offsets[some]]
+            order = np.argsort(hashes, kind="stable")
+            self.short[size] = hashes[order], some[order]
         self.sieve = np.zeros(1 << 20, dtype=bool)
         self.sieve[(self.seeds >> np.uint64(44)).astype(np.int64)] = True
 
@@ -129,7 +142,23 @@ def _candidates(items: _Items, seeds: np.ndarray, rows: np.ndarray, least: int,
     return pairs
 
 
+def _verbatim(items: _Items, hashed: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+    """(row, item, words) of the short items that a row holds."""
+    found = []
+    for size, (hashes, which) in items.short.items():
+        places = inside(offsets, size)
+        mine = windows(hashed, size)[places]
+        rows = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - size + 1, 0))
+        low, high = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+        for at in np.flatnonzero(high > low).tolist():
+            found += [(int(rows[at]), int(item), size) for item in which[low[at] : high[at]]]
+    return sorted(set(found))
+
+
 def _tiled(docs: DataFrame, items: _Items, least: int, share: float) -> DataFrame:
+    """``docs`` are columns that name a row, and ``text``."""
+    keys = [f for f in docs.schema if f.name != "text"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             hashed, offsets = word_hashes(block.column("text"))
@@ -141,25 +170,29 @@ def _tiled(docs: DataFrame, items: _Items, least: int, share: float) -> DataFram
                 covered = sum(n for _, _, n in tile(hashed[offsets[row] : offsets[row + 1]], words, least))
                 if covered >= share * len(words):
                     found.append((row, items.ids[item], len(words), covered, covered / len(words)))
+            found += [(row, items.ids[item], n, n, 1.0) for row, item, n in _verbatim(items, hashed, offsets)]
             columns = list(zip(*found, strict=True)) if found else [[]] * 5
             picked = pa.array(columns[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id").take(picked),
+                    *(block.column(key.name).take(picked) for key in keys),
                     *(pa.array(c, pa.int64()) for c in columns[1:4]),
                     pa.array(columns[4], pa.float64()),
                 ],
-                names=["doc_id", "item_id", "item_words", "covered_words", "coverage"],
+                names=[*(key.name for key in keys), "item_id", "item_words", "covered_words", "coverage"],
             )
 
-    return docs.mapInArrow(rows, _RESULT)
+    return docs.mapInArrow(rows, StructType([*keys, *_FOUND]))
 
 
 def matches(
     docs: DataFrame, benchmark: DataFrame, least: int = TILE, share: float = COVERAGE, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """doc_id, item_id, item_words, covered_words, coverage of each contaminated document and item."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _matches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), benchmark, least, share, block_bytes)
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, least: int, share: float, block_bytes: int) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // block_bytes))
@@ -170,7 +203,15 @@ def matches(
     return reduce(DataFrame.unionByName, found)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, least: int = TILE, share: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; a row without doc_id always stays."""
-    found = written(matches(docs, benchmark, least, share).select("doc_id").distinct(), "contaminated")
-    return docs.join(broadcast_if_small(found), "doc_id", "left_anti").select(docs.columns)
+def clean(
+    docs: DataFrame, benchmark: DataFrame, least: int = TILE, share: float = COVERAGE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated.
+
+    What is contaminated is told by the text and not by its doc_id, which may be missing or repeated.
+    """
+    digests = [F.xxhash64("text").alias("_first"), F.xxhash64(F.lit("second"), "text").alias("_second")]
+    found = _matches(docs.select(*digests, "text"), benchmark, least, share, block_bytes)
+    found = written(found.select("_first", "_second").distinct(), "contaminated")
+    rows = docs.select(F.struct(*(quoted(n) for n in docs.columns)).alias("_row"), *digests)
+    return rows.join(broadcast_if_small(found), ["_first", "_second"], "left_anti").select("_row.*")

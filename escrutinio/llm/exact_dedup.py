@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from escrutinio.llm.common import SPACE, written
+from escrutinio.llm.common import SPACE, quoted, written
 from escrutinio.operators.joins import broadcast_if_small
 
 SALTS = 16
@@ -106,7 +106,7 @@ def keep_first(docs: DataFrame, salts: int = SALTS, text: str = "text", doc_id:
     kept = mark(docs, salts, text, doc_id).filter("kept")
     kept = kept.select(F.col("text_sha256").alias("_sha"), _id_key(F.col("doc_id")).alias("_key"))
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"),
+        F.struct(*(quoted(n) for n in docs.columns)).alias("_row"),
         digest(normalised(F.col(text))).alias("_sha"),
         _id_key(F.col(doc_id)).alias("_key"),
     )

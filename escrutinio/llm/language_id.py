@@ -26,6 +26,9 @@ from escrutinio.llm.common import held_out
 from escrutinio.llm.text import _LOWER, blocks, buffers
 
 PER_LANGUAGE = 500
+#: Texts that every language is denied by some decision score less; see ``keep_known``.
+LEAST_SCORE = 0.1
+_SALTS = 64
 ORDERS = (2, 3, 4)
 FEATURE_BITS = 15
 UNDETERMINED = "und"
@@ -158,6 +161,13 @@ class Model:
             score[i] = sure[i] * inner[f][1][i]
         return names, score
 
+    def determined(self, column: pa.Array) -> list[bool]:
+        """Whether the language of each text is determined."""
+        if not self.languages:
+            return [bool(t) and _LETTER.search(t) is not None for t in column.to_pylist()]
+        names, score = self.predict(column)
+        return [name != UNDETERMINED and s >= LEAST_SCORE for name, s in zip(names, score.tolist(), strict=True)]
+
     def _vote(self, kind: str, names: list[str], margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The winner among ``names`` in each row, and how sure its weakest decision is."""
         n = len(margin)
@@ -178,8 +188,10 @@ class Model:
 def sample(docs: DataFrame, per_language: int) -> list:
     """At most ``per_language`` labelled rows of each language, outside the held-out fold."""
     labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("lang", "doc_id").withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= per_language)
+    ids = labelled.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).alias("_salt"))
+    for keys in (["lang", "_salt"], ["lang"]):  # a language can hold most rows: first the best of each salt
+        first = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= per_language)
     ids = ids.select("doc_id", "lang").collect()  # bounded by per_language and the number of languages
     if not ids:
         return []
@@ -224,13 +236,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose language is determined, with their columns."""
+    """The rows of ``docs`` whose language is determined, with their columns.
+
+    That is texts with a letter whose score is ``LEAST_SCORE`` or more. A model that has learned
+    nothing rejects no text with a letter.
+    """
     at = docs.columns.index("text")
     fields = docs.schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            names, _ = model.predict(block.column(at))
-            yield block.filter(pa.array([name != UNDETERMINED for name in names], pa.bool_()))
+            yield block.filter(pa.array(model.determined(block.column(at)), pa.bool_()))
 
     return docs.mapInArrow(rows, fields)

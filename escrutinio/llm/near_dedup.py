@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from escrutinio.llm.common import shuffles, written
+from escrutinio.llm.common import quoted, shuffles, written
 from escrutinio.llm.components import components
 from escrutinio.llm.text import Words, blocks, distinct_per_row, inside, mix, windows
 from escrutinio.operators.joins import broadcast_if_small
@@ -317,4 +317,4 @@ def mark(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> Da
 def keep_one(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without those that are near another, smaller document."""
     dropped = written(mark(docs, size, threshold).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "near-dropped")
-    return docs.join(broadcast_if_small(dropped), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(broadcast_if_small(dropped), "doc_id", "left_anti").select(*(quoted(n) for n in docs.columns))

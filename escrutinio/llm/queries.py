@@ -47,7 +47,7 @@ def queries() -> dict[str, Query]:
 
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup(documents(spark, sf_dir), by_file=True)
+    found = line_dedup.dedup(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 

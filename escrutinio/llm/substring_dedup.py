@@ -29,7 +29,9 @@ from escrutinio.llm.common import shuffles
 from escrutinio.llm.text import Words, blocks, buffers, inside, mix, windows
 
 WINDOW = 20
+#: Bins at the least, for each of the session's shuffle partitions, and text for a bin at the most.
 BINS_PER_SHUFFLE = 2
+BIN_BYTES = 1 << 26
 _BLOCK_BYTES = 1 << 23
 _LAST = (1 << 63) - 1  # the place of rows without an id
 
@@ -48,6 +50,8 @@ def _starts(change: np.ndarray, n: int) -> np.ndarray:
 
 def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Binary values of 8-byte items between successive bounds."""
+    if len(data) * 8 >= 1 << 31:
+        raise ValueError("a group has more than 2 GB of hashes: give more bins")
     offsets = (bounds * 8).astype(np.int32)
     return pa.Array.from_buffers(
         pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
@@ -99,14 +103,21 @@ def _windows(block: pa.RecordBatch, size: int, n_bins: int) -> Iterator[pa.Recor
     yield _sent(np.sort(order[~again & (d != owner)]), True, bins, docs, hashes)
 
 
+def _hashes(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a group and how many each row has, chunk by chunk: together they may pass 2 GB."""
+    parts = [buffers(chunk) for chunk in table.column("hashes").chunks]
+    hashes = [data.view("<u8") for data, _ in parts]
+    sizes = [np.diff(bounds) // 8 for _, bounds in parts]
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none.view("<u8"), *hashes]), np.concatenate([none, *sizes])
+
+
 def _answers(table: pa.Table, n_bins: int) -> pa.Table:
     """The hashes of one bin that each document loses, as a smaller doc_id has them, a row per
     shard of the documents."""
-    table = table.combine_chunks()
     column = lambda name: table.column(name).combine_chunks()
-    data, bounds = buffers(column("hashes"))
-    hashes = data.view("<u8")
-    gone = np.repeat(column("gone").to_numpy(zero_copy_only=False), np.diff(bounds) // 8)
+    hashes, sizes = _hashes(table)
+    gone = np.repeat(column("gone").to_numpy(zero_copy_only=False), sizes)
     docs = np.repeat(column("docs").flatten().to_numpy(), column("counts").flatten().to_numpy())
     live, live_docs = hashes[~gone], docs[~gone]
     order = np.argsort(live, kind="stable")
@@ -127,9 +138,8 @@ def _answers(table: pa.Table, n_bins: int) -> pa.Table:
 
 def _per_document(table: pa.Table) -> pa.Table:
     """The hashes that each document of one shard loses."""
-    table = table.combine_chunks()
     column = lambda name: table.column(name).combine_chunks()
-    hashes = buffers(column("hashes"))[0].view("<u8")
+    hashes, _ = _hashes(table)
     docs = np.repeat(column("docs").flatten().to_numpy(), column("counts").flatten().to_numpy())
     order = np.argsort(docs, kind="stable")
     docs, hashes = docs[order], hashes[order]
@@ -197,12 +207,13 @@ def _rewrite(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 def dedup(docs: DataFrame, size: int = WINDOW, bins: int | None = None) -> DataFrame:
     """doc_id, text (words that stay), n_words, n_removed, removed intervals and kept_sha256 of every row.
 
-    ``bins`` defaults to a multiple of the session's shuffle partitions; a bin is one
-    group in a task, about 8 bytes for each of its windows.
+    A bin is one group in a task, about 8 bytes for each of its windows. ``bins`` follows the
+    bytes of the texts, ``BIN_BYTES`` for a bin, so a bin does not grow with the corpus.
     """
     if size < 1:
         raise ValueError("a window has one word at least")
-    n_bins = bins or BINS_PER_SHUFFLE * shuffles(docs.sparkSession)
+    size_of = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_bins = bins or max(BINS_PER_SHUFFLE * shuffles(docs.sparkSession), -(-size_of // BIN_BYTES))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     docs = docs.withColumn("doc_key", F.coalesce("doc_id", F.lit(_LAST)))
 

@@ -1,6 +1,7 @@
 """Learned operators, decontamination, pseudonyms and the pipeline."""
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -57,6 +58,14 @@ def test_languages(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) + 3
 
 
+def test_a_model_without_languages_rejects_no_text_with_a_letter(spark):
+    docs = frame(spark, [(i, f"some words {i}", None) for i in range(20)] + [(30, "12 34", None), (31, None, None)])
+    assert language_id.keep_known(docs, language_id.learn(docs)).count() == 20
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    held = frame(spark, [(i, "some words", "en") for i in ids])
+    assert language_id.keep_known(held, language_id.learn(held)).count() == len(ids)
+
+
 @pytest.mark.parametrize(("rows", "expected"), [([], None), ([(4, "abc", None)], "und"), ([(4, "abc", "xx"), (8, "d", None)], "xx")])
 def test_few_languages(spark, rows, expected):
     docs = frame(spark, rows)
@@ -203,15 +212,86 @@ def test_decontamination(spark, block_bytes):
     benchmark = spark.createDataFrame([(i, t, 1) for i, t in rows], "item_id bigint, text string, doc_id bigint")
     found = decontamination.matches(docs, benchmark, block_bytes=block_bytes).collect()
     assert Counter((r.doc_id, r.item_id, r.item_words, r.covered_words) for r in found) == Counter(
-        [(1, 7, 40, 40), (2, 7, 40, 40), (1, 7, 40, 40), (None, 7, 40, 40)]
+        [(1, 7, 40, 40), (2, 7, 40, 40), (1, 7, 40, 40), (None, 7, 40, 40), (7, 8, 3, 3)]
     )
     kept = decontamination.clean(docs, benchmark)
     assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 4, 5, 6, 7, None])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 4, 5, 6])
     assert decontamination.matches(docs.limit(0), benchmark).collect() == []
     assert decontamination.matches(docs, benchmark.limit(0)).collect() == []
 
 
+def test_clean_goes_by_the_text_and_not_by_its_id(spark):
+    item = " ".join(f"test{i}" for i in range(12))
+    rows = [(1, item, "x"), (1, "clean words of another row", "y"), (None, item, "z"), (None, "clean too", None)]
+    docs = ship(spark).createDataFrame(rows, "doc_id bigint, text string, `a.b` string")
+    benchmark = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    kept = decontamination.clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == ["clean too", "clean words of another row"]
+
+
+def plain_matches(docs, items, least, share):
+    """Every document against every item, word by word: the longest free run of both, again and again."""
+    trim = ".,;:!?\"'()[]{}*#$%&-_/|"
+
+    def words(text):
+        low = [re.sub(r"[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        out = []
+        for w in low:
+            for _ in range(3):
+                w = w[:-1] if len(w) > 1 and w[-1] in trim else w
+                w = w[1:] if len(w) > 1 and w[0] in trim else w
+            out.append(w)
+        return out
+
+    found = set()
+    for item, text in items:
+        b = words(text)
+        for doc, body in docs:
+            a = words(body)
+            if not a or not b:
+                continue
+            if len(b) < least:
+                if any(a[i : i + len(b)] == b for i in range(len(a))):
+                    found.add((doc, item))
+                continue
+            used_a, used_b, covered = [False] * len(a), [False] * len(b), 0
+            while True:
+                best = (0, 0, 0)
+                for i in range(len(a)):
+                    for j in range(len(b)):
+                        n = 0
+                        while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used_a[i + n] and not used_b[j + n]:
+                            n += 1
+                        best = max(best, (n, -j, -i))
+                n, j, i = best[0], -best[1], -best[2]
+                if n < least:
+                    break
+                covered += n
+                for k in range(n):
+                    used_a[i + k] = used_b[j + k] = True
+            if covered >= share * len(b):
+                found.add((doc, item))
+    return found
+
+
+def test_whole_query_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = np.array([f"w{i}" for i in range(25)])
+    items = [(i, " ".join(rng.choice(vocabulary, n))) for i, n in enumerate([4, 1, 6, 9, 12, 15, 20, 14])]
+    docs = [(k, " ".join(rng.choice(vocabulary, 40))) for k in range(12)]
+    for k in range(12, 40):
+        words = items[k % 8][1].split()
+        cut = int(rng.integers(1, max(2, len(words))))
+        parts = [words[cut:], list(rng.choice(vocabulary, 5)), words[:cut]]
+        docs.append((k, " ".join(w for p in parts for w in p) + ("." if k % 3 else ",")))
+    frames = [ship(spark).createDataFrame(rows, f"{name} bigint, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    found = decontamination.matches(frames[0].repartition(3), frames[1], block_bytes=80)
+    got = [(r.doc_id, r.item_id) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_matches(docs, items, decontamination.TILE, decontamination.COVERAGE)
+
+
 def test_planted_passages_are_found(spark):
     found = queries.queries()["op4_decontamination"](spark, SF).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -112,6 +112,7 @@ def _lines_expected(rows, min_docs, min_chars):
         kept = []
         for x in lines:
             ids = holders.get(key(x), [])
+            ids = [*{h for h in ids if h is not None}, *(h for h in ids if h is None)]
             last = max((h for h in ids if h is not None), default=None)
             if len(ids) < min_docs or i == last:
                 kept.append(x)
@@ -306,3 +307,48 @@ def test_empty_tables(empty):
     assert line_dedup.dedup(empty).collect() == [] == substring_dedup.dedup(empty).collect()
     assert near_dedup.mark(empty).collect() == [] == near_dedup.keep_one(empty).collect()
     assert curve_packing.pack(empty, PATH).collect() == [] == simple8b.read(simple8b.write(empty, PATH)).collect()
+
+
+def test_lines_in_batches_count_each_document_once(spark):
+    line = "a line of more than twenty characters"
+    rows = [(1, line), (1, line), (2, line), (3, "another line that is long enough")]
+    rows += [(k, "a line that many documents share") for k in range(10, 60)] + [(None, "a line that many documents share")]
+    docs = ship(spark).createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    expected = _lines_expected(rows, 3, 20)
+    for batches, fanout in ((1, 2), (3, 2), (9, 3)):
+        found = line_dedup.dedup(docs, batches=batches, fanout=fanout).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+        assert Counter(map(tuple, found.collect())) == expected
+    large, line_dedup.LARGE_SHARE = line_dedup.LARGE_SHARE, 1
+    try:
+        found = line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+        assert Counter(map(tuple, found.collect())) == expected
+    finally:
+        line_dedup.LARGE_SHARE = large
+
+
+def test_runs_hold_running_counts_and_a_batch_adds_to_them(spark):
+    ship(spark)
+    runs = line_dedup.LineRuns(fanout=3)
+    for batch in ([(1, b"a"), (2, b"a"), (1, b"b")], [(3, b"a"), (3, b"c")]):
+        runs.add(spark.createDataFrame(batch, "doc_id bigint, key binary"))
+    newest = {bytes(r.key): (r.n_docs, r.max_doc) for r in runs.runs()[-1].collect()}
+    assert newest == {b"a": (3, 3), b"c": (1, 3)}
+    asked = spark.createDataFrame([(b"a",), (b"d",)], "key binary")
+    assert [bytes(r.key) for r in runs.fresh(asked).collect()] == [b"d"]
+
+
+def test_names_with_dots_stay(spark):
+    docs = ship(spark).createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y")], "doc_id bigint, text string, `a.b` string")
+    for kept in (exact_dedup.keep_first(docs), near_dedup.keep_one(docs)):
+        assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_bins_follow_the_bytes_and_too_large_a_group_is_an_error(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 30))) for i in range(40)]
+    docs = ship(spark).createDataFrame(rows, "doc_id bigint, text string")
+    whole = sorted(map(tuple, substring_dedup.dedup(docs).select("doc_id", "n_removed", "kept_sha256").collect()))
+    monkeypatch.setattr(substring_dedup, "BIN_BYTES", 100)
+    assert sorted(map(tuple, substring_dedup.dedup(docs).select("doc_id", "n_removed", "kept_sha256").collect())) == whole
+    large = np.broadcast_to(np.zeros(1, dtype=np.uint64), (1 << 28,))
+    with pytest.raises(ValueError, match="more bins"):
+        substring_dedup._binary(large, np.array([0, 1 << 28]))

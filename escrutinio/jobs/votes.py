@@ -33,6 +33,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--dedup-within", help="forget vote ids older than this, such as '2 days'; recommended, the state grows for ever else")
     parser.add_argument("--event-time", action="store_true", help="--dedup-within is against the votes' own times; votes out of time go to a table of their own")
     parser.add_argument("--changes-only", action="store_true", help="allocate and rewrite only provinces whose counts changed")
+    parser.add_argument("--by-date", choices=["day", "month", "year"], help="keep bronze and silver in a folder per period of the votes' dates")
     parser.add_argument("--dedup-salts", type=int, default=1, help="tasks that share the copies of one id, if ids repeat very often")
     parser.add_argument("--max-offsets", type=int, default=10_000_000, help="messages of a micro-batch from Kafka")
     parser.add_argument("--max-files", type=int, default=1000, help="files of a micro-batch")
@@ -60,7 +61,7 @@ def seats_reference(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = configure_state(SparkSession.builder.appName("votes").getOrCreate())
-    lake = Lake(args.lake, args.checkpoints)
+    lake = Lake(args.lake, args.checkpoints, args.by_date)
     reference = seats_reference(spark, args)
     ways = {"changes_only": args.changes_only, "event_time": args.event_time}
     if args.once:

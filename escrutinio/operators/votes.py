@@ -25,6 +25,9 @@ MESSAGE_FIELDS = [
 # The columns that decide the count of a vote, in the order in which copies compare.
 COUNTED_COLUMNS = ["timestamp", "political_party", "province_name", "autonomic_region_name", "blank_vote"]
 
+# Why a vote is out of time, see ``time_reason``.
+REASONS = ["undated", "late", "early"]
+
 # to_json alone would cut timestamps to milliseconds.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 

@@ -319,6 +319,24 @@ def oracle_sql() -> dict[str, str]:
         "stream_served": _seats(_DOCUMENTS, _STREAMED),
         "stream_seats_changes": _seats("SELECT * FROM seats", _STREAMED),
         "stream_served_changes": _seats(_DOCUMENTS, _STREAMED),
+        "stream_dates": f"""WITH {_RAW}
+            SELECT {_FIELDS}, political_party_norm, year(voted_at) AS "year" FROM once
+            WHERE k % 97 <> 0 AND voted_at >= '1993-06-01' AND voted_at < '1997-03-01'""",
+        "stream_enriched": f"""WITH {_BASE}, {_REFERENCE},
+            known AS (SELECT p.province_name, region_name, region_iso_code, p.id % 2 = 0 AS early
+                      FROM provinces p JOIN regions USING (region_code))
+            SELECT b.id, b.province_name, region_name AS autonomic_region_name, region_iso_code AS autonomic_region_iso_code
+            FROM base b LEFT JOIN known ON b.province_name = known.province_name AND (early OR k % 2 = 1)
+            WHERE k % 97 <> 0""",
+        "stream_measures": f"""WITH {_RAW}, counts AS (
+              SELECT count(*) AS raw_rows, count(*) FILTER (k % 97 = 0) AS rejected,
+                     count(DISTINCT k) FILTER (k % 97 <> 0) AS kept FROM raw)
+            SELECT 'bronze' AS layer, 'read' AS measure, raw_rows AS n FROM counts
+            UNION ALL SELECT 'bronze', 'rejected', rejected FROM counts
+            UNION ALL SELECT 'votes', 'read', raw_rows - rejected FROM counts
+            UNION ALL SELECT 'silver', 'kept', kept FROM counts
+            UNION ALL SELECT 'out_of_time', unnest(['undated', 'late', 'early']), 0""",
+        "stream_rebuilt": _seats("SELECT *, 0 AS other_silver, 0 AS other_clean, 0 AS other_seats FROM seats", _STREAMED),
         "stream_event_time": f"""WITH {_RAW}, reasons AS (
               SELECT id, CASE WHEN k % 23 = 0 THEN 'undated' WHEN k % 19 = 0 THEN 'early' WHEN k % 5 >= 3 THEN 'late' END AS reason
               FROM raw WHERE k % 97 <> 0)

@@ -1,7 +1,8 @@
 """One query per operator, over the given tables."""
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import date, datetime, timezone
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ from escrutinio.sinks.snapshots import write_snapshot
 from escrutinio.sources import geo_files
 from escrutinio.sources.messages import file_stream
 from escrutinio.sources.tables import reference_from_files
+from escrutinio.streaming import by_date, enrich, measures, replay
 from escrutinio.streaming import lake as lakes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -554,6 +556,75 @@ def _split_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFram
     return file_stream(spark, f"{base}/source", 1), lake, spark.read.parquet(path)
 
 
+def _by_date(spark: SparkSession, sf_dir: str, name: str) -> lakes.Lake:
+    """A lake by event date, its bronze and silver filled by three micro-batches."""
+    messages, lake, _ = _split_stream(spark, sf_dir, name)
+    lake, once = replace(lake, by_date="year"), lakes.Trigger(available_now=True)
+    lakes.start_bronze(messages, lake, once).awaitTermination()
+    lakes.start_silver(spark, lake, once).awaitTermination()
+    return lake
+
+
+@query
+def stream_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes of some years out of a lake by date, of which two runs have compacted the older dates."""
+    lake = _by_date(spark, sf_dir, "dates")
+    for day in (date(1994, 1, 1), date(1996, 7, 1)):
+        by_date.compact(spark, lake, day)
+    found = by_date.silver(spark, lake, date(1993, 6, 1), date(1997, 3, 1))
+    return found.select(*VOTE_FIELDS, _time_text(), "political_party_norm", F.year("date").cast("bigint").alias("year"))
+
+
+@query
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes joined in the stream with a dimension whose second version comes between two runs.
+
+    The votes of even ids are there first, when half of the provinces are not known yet.
+    """
+    base = scratch_dir(spark, "enriched")
+    lake, once = lakes.Lake(f"{base}/lake", f"{base}/checkpoints"), lakes.Trigger(available_now=True)
+    lookup = reference.province_lookup_table(*_reference(spark, sf_dir))
+    half = lookup.filter(F.regexp_extract("province_name", "[0-9]+$", 0).cast("int") % 2 == 0)
+    raw = votes.clean_votes(fixture.raw_messages(spark, sf_dir))
+    for even, dimension in ((True, half), (False, lookup)):
+        some = raw.filter((F.col("id").cast("bigint") % 2 == 0) == F.lit(even))
+        some.write.mode("append").parquet(lake.silver)
+        enrich.publish_provinces(dimension, lake)
+        enrich.start_enriched(spark, lake, once).awaitTermination()
+    found = spark.read.parquet(lake.enriched)
+    return found.select("id", "province_name", "autonomic_region_name", "autonomic_region_iso_code")
+
+
+@query
+def stream_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queries counted on their way over three micro-batches: a row per layer and measure."""
+    messages, lake, _ = _split_stream(spark, sf_dir, "measures")
+    once, found = lakes.Trigger(available_now=True), measures.measured(spark)
+    try:
+        lakes.start_bronze(messages, lake, once).awaitTermination()
+        lakes.start_silver(spark, lake, once, within="30000 days", event_time=True).awaitTermination()
+        lakes.start_out_of_time(spark, lake, "30000 days", once).awaitTermination()
+        found.wait()
+    finally:
+        spark.streams.removeListener(found)
+    rows = [(layer, name, n) for layer, counts in found.totals.items() for name, n in counts.items()]
+    return spark.createDataFrame(rows, "layer string, measure string, n bigint")
+
+
+@query
+def stream_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seats rebuilt in batch from bronze, beside how many rows of silver, messages and seats differ from the stream's."""
+    messages, lake, reference_seats = _split_stream(spark, sf_dir, "rebuilt")
+    lakes.drain(messages, lake, reference_seats, clock=lambda: PUBLISHED_AT)
+    replay.rebuild(spark, lake, reference_seats)
+    streamed = {"silver": spark.read.parquet(lake.silver), "clean": spark.read.parquet(lake.clean), "seats": lakes.current_seats(spark, lake)}
+    counts = [replay.differences(df, replay.rebuilt(spark, lake, name)).agg(F.count("*").alias(f"other_{name}")) for name, df in streamed.items()]
+    found = replay.rebuilt(spark, lake, "seats")
+    for count in counts:  # a row each
+        found = found.withColumn(count.columns[0], count.scalar())
+    return found
+
+
 @query
 def stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes that arrive 0 to 4 days after their time, some ahead of it and some without one, where

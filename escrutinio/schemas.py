@@ -83,6 +83,16 @@ SERVED = StructType(
     [StructField("seat_key", StringType(), True), StructField("sequence", LongType(), True), *SEAT_DOCUMENT.fields]
 )
 
+# A message of a topic: its key and its JSON value.
+MESSAGE = _struct(("key", StringType()), ("value", StringType()))
+
+# The dimension that votes are joined with by province.
+PROVINCE_LOOKUP = _struct(
+    ("province_name", StringType()),
+    ("region_name", StringType()),
+    ("region_iso_code", StringType()),
+)
+
 COORDINATES_FILE = _struct(("coordinates", ArrayType(StringType())))
 
 # Geometry depth depends on its type, so "coordinates" stays text until the type is known.

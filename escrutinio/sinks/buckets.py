@@ -10,7 +10,7 @@ micro-batch rewrites at most as many buckets as it has keys: with k changed keys
 B * (1 - (1 - 1/B)**k) of them on average, so choose B well above the keys that change at a
 time, and so that a bucket fills a file of some 100 MB. A reader that lists the folder while
 buckets are replaced can miss one of them for that moment; one that must not reads the
-versions of ``sinks.versions``.
+versions of ``sinks.versions``. The files have Bloom filters on the key.
 """
 
 from collections.abc import Sequence
@@ -26,6 +26,8 @@ from escrutinio.sinks.versions import drop_old_versions, read_version, versions,
 
 BUCKET = "bucket"
 BUCKETS = 64
+#: Keys that a lookup gives to the scan itself, which compares as many with the files' Bloom filters.
+FEW_KEYS = 10
 _MARKER = "_buckets="
 _KEPT = "_kept"
 
@@ -73,8 +75,20 @@ class BucketTable:
         return self._table().filter(F.col(BUCKET).isin(*buckets)).select(*self.schema.names)
 
     def lookup(self, keys: DataFrame) -> DataFrame:
-        """The rows whose ``by`` columns are among the rows of ``keys``: their buckets are read and no others."""
+        """The rows whose ``by`` columns are among the rows of ``keys``: their buckets are read and no others.
+
+        Up to ``FEW_KEYS`` keys of one column go to the scan as a filter; row groups whose Bloom
+        filter has none of them are not read. More keys are joined.
+        """
         wanted = keys.select(*self.by).distinct()
+        if len(self.by) == 1:
+            few = [r[0] for r in wanted.limit(FEW_KEYS + 1).collect()]
+            if len(few) <= FEW_KEYS:
+                key, known = F.col(self.by[0]), [k for k in few if k is not None]
+                same = key.isin(known) if known else F.lit(False)
+                if len(known) < len(few):
+                    same = same | key.isNull()
+                return self.read_buckets(self.touched(wanted)).filter(same)
         found, asked = self.read_buckets(self.touched(wanted)).alias("t"), wanted.alias("k")
         same = [F.col(f"t.{name}").eqNullSafe(F.col(f"k.{name}")) for name in self.by]
         return found.join(asked, same, "left_semi")
@@ -100,7 +114,10 @@ class BucketTable:
         pending = read_version(self.spark, self.pending, version, StructType([*self.schema.fields, *fields]))
         full = pending.groupBy(BUCKET).agg(F.max(_KEPT).alias("full")).collect()
         kept = pending.filter(_KEPT).drop(_KEPT).repartition(max(1, len(full)), BUCKET)
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+        writer = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
+        for name in self.by:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer.parquet(self.path)
         for row in full:  # a touched bucket each
             if not row.full:
                 remove_folder(self.spark, f"{self.path}/{BUCKET}={row[BUCKET]}")

@@ -5,6 +5,8 @@ Readers take the newest complete one, so they never see a half-written table, an
 version again after a failure gives the same state.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,9 +22,9 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name[len(_PREFIX) :]) for name in found)
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
+def write_version(df: DataFrame, path: str, version: int, partition_by: Sequence[str] = ()) -> None:
     folder = f"{path}/{_PREFIX}{version}"
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
     make_file(df.sparkSession, f"{folder}/{_MARKER}")
 
 

@@ -4,21 +4,23 @@ Each layer reads the table before it: bronze is the only reader of the message s
 clean messages and seats both follow silver and so agree on which duplicate survived.
 """
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from escrutinio.folders import make_folder
 from escrutinio.functions.keys import seat_doc_id, seat_key
 from escrutinio.operators.seats import allocate_seats, seat_messages, seat_tombstones
 from escrutinio.operators.upsert import upsert_latest
 from escrutinio.operators.votes import (
+    REASONS,
     accepted,
     dedup_in_time,
     dedup_stream,
@@ -59,6 +61,9 @@ SEATS_INTERVAL = "1 minute"
 PROVINCE_BUCKETS = 64
 SERVED_BUCKETS = 64
 
+DATE = "date"
+_POOL = "spark.scheduler.pool"
+
 # Files of a layer that one micro-batch reads at most, so that a backlog is worked off in parts.
 MAX_FILES = 1000
 
@@ -74,6 +79,9 @@ class Lake:
 
     base: str
     checkpoints: str
+    #: "day", "month" or "year": bronze and silver in a folder per period of the votes' dates, see
+    #: ``streaming.by_date``. Choose it before the first start, so that a folder fills some files.
+    by_date: str | None = None
 
     @property
     def bronze(self) -> str:
@@ -87,6 +95,25 @@ class Lake:
     def out_of_time(self) -> str:
         return f"{self.base}/silver/votes_out_of_time"
 
+    @property
+    def compacted(self) -> str:
+        """Silver of closed dates in few files."""
+        return f"{self.base}/silver/votes_compacted"
+
+    @property
+    def enriched(self) -> str:
+        return f"{self.base}/gold/votes_enriched"
+
+    @property
+    def provinces(self) -> str:
+        """Versions of the dimension of provinces."""
+        return f"{self.base}/reference/provinces"
+
+    @property
+    def rebuilt(self) -> str:
+        """Versions of the tables rebuilt in batch, see ``streaming.replay``."""
+        return f"{self.base}/rebuilt"
+
     @property
     def clean(self) -> str:
         return f"{self.base}/gold/votes_clean"
@@ -124,6 +151,21 @@ class Trigger:
     max_files: int | None = None
 
     def start(self, writer: DataStreamWriter, checkpoint: str, mode: str = "append") -> StreamingQuery:
+        """Start a query named after its checkpoint, in a scheduler pool of that name.
+
+        With ``spark.scheduler.mode=FAIR`` the pools share the cluster: a backlog in one layer
+        does not keep the seats waiting.
+        """
+        name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+        context = SparkSession.active().sparkContext
+        before = context.getLocalProperty(_POOL)
+        context.setLocalProperty(_POOL, name)
+        try:
+            return self._start(writer.queryName(f"{name}-{uuid.uuid4().hex[:8]}"), checkpoint, mode)
+        finally:
+            context.setLocalProperty(_POOL, before)
+
+    def _start(self, writer: DataStreamWriter, checkpoint: str, mode: str) -> StreamingQuery:
         writer = writer.outputMode(mode).option("checkpointLocation", checkpoint)
         if self.available_now:
             writer = writer.trigger(availableNow=True)
@@ -132,12 +174,28 @@ class Trigger:
         return writer.start()
 
 
-def _layer(spark: SparkSession, path: str, schema: StructType, trigger: Trigger) -> DataFrame:
+def dated(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(DATE, DateType(), True)])
+
+
+def layer(spark: SparkSession, lake: Lake, path: str, schema: StructType, trigger: Trigger) -> DataFrame:
+    """The stream of a layer's files; those of a lake by date, without the date."""
     make_folder(spark, path)
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(dated(schema) if lake.by_date else schema)
     if trigger.max_files is not None:
         reader = reader.option("maxFilesPerTrigger", trigger.max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*schema.names)
+
+
+def _files(rows: DataFrame, lake: Lake, path: str) -> DataStreamWriter:
+    if not lake.by_date:
+        return rows.writeStream.format("parquet").option("path", path)
+    rows = rows.withColumn(DATE, F.to_date(F.date_trunc(lake.by_date, "timestamp")))
+    return rows.writeStream.format("parquet").option("path", path).partitionBy(DATE)
+
+
+def _count() -> Column:
+    return F.count(F.lit(1))
 
 
 def with_arrival(messages: DataFrame) -> DataFrame:
@@ -150,8 +208,9 @@ def with_arrival(messages: DataFrame) -> DataFrame:
 def start_bronze(messages: DataFrame, lake: Lake, trigger: Trigger = Trigger()) -> StreamingQuery:
     """Append parsed messages and when they came; unreadable ones keep their text."""
     configure_state(messages.sparkSession)
-    writer = parse_votes(with_arrival(messages), *ARRIVAL).writeStream.format("parquet").option("path", lake.bronze)
-    return trigger.start(writer, lake.checkpoint("bronze"))
+    parsed = parse_votes(with_arrival(messages), *ARRIVAL)
+    parsed = parsed.observe("bronze", _count().alias("read"), F.count_if(F.col("id").isNull()).alias("rejected"))
+    return trigger.start(_files(parsed, lake, lake.bronze), lake.checkpoint("bronze"))
 
 
 def start_silver(
@@ -167,13 +226,14 @@ def start_silver(
     With ``event_time`` the votes that ``out_of_time`` names are left to ``start_out_of_time``.
     """
     configure_state(spark)
-    votes = accepted(_layer(spark, lake.bronze, BRONZE, trigger))
+    votes = accepted(layer(spark, lake, lake.bronze, BRONZE, trigger))
+    votes = votes.observe("votes", _count().alias("read"))
     if event_time:
         votes = dedup_in_time(votes, _given(within), salts)
     else:
         votes = dedup_stream(votes.select(*SILVER_COLUMNS), salts, within)
-    silver = normalize_blank(votes.select(*SILVER_COLUMNS))
-    return trigger.start(silver.writeStream.format("parquet").option("path", lake.silver), lake.checkpoint("silver"))
+    silver = normalize_blank(votes.select(*SILVER_COLUMNS)).observe("silver", _count().alias("kept"))
+    return trigger.start(_files(silver, lake, lake.silver), lake.checkpoint("silver"))
 
 
 def _given(within: str | None) -> str:
@@ -185,7 +245,9 @@ def _given(within: str | None) -> str:
 def start_out_of_time(spark: SparkSession, lake: Lake, within: str, trigger: Trigger = Trigger()) -> StreamingQuery:
     """Append the votes that silver leaves out by their time, each copy of them, with the reason."""
     configure_state(spark)
-    votes = out_of_time(accepted(_layer(spark, lake.bronze, BRONZE, trigger)), within)
+    votes = out_of_time(accepted(layer(spark, lake, lake.bronze, BRONZE, trigger)), within)
+    reasons = [F.count_if(F.col("reason") == name).alias(name) for name in REASONS]
+    votes = votes.observe("out_of_time", *reasons)
     writer = votes.writeStream.format("parquet").option("path", lake.out_of_time)
     return trigger.start(writer, lake.checkpoint("out_of_time"))
 
@@ -193,7 +255,7 @@ def start_out_of_time(spark: SparkSession, lake: Lake, within: str, trigger: Tri
 def start_clean(spark: SparkSession, lake: Lake, sink=None, trigger: Trigger = Trigger()) -> StreamingQuery:
     """Publish clean votes as key and JSON value; served insert-only."""
     configure_state(spark)
-    messages = vote_messages(_layer(spark, lake.silver, SILVER, trigger))
+    messages = vote_messages(layer(spark, lake, lake.silver, SILVER, trigger))
     return trigger.start((sink or FileSink(lake.clean)).stream(messages), lake.checkpoint("clean"))
 
 
@@ -215,7 +277,7 @@ def start_seats(
     The tables of the two ways are apart; each starts from its own checkpoint.
     """
     configure_state(spark)
-    counts = votes_per_party(_layer(spark, lake.silver, VOTE_NORM, trigger).select(*PARTY_KEY))
+    counts = votes_per_party(layer(spark, lake, lake.silver, VOTE_NORM, trigger).select(*PARTY_KEY))
     sink = sink or FileSink(lake.seat_messages)
     if changes_only:
         publish = change_publisher(lake, seats_reference, sink, threshold, clock)

@@ -14,6 +14,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Coordinates per province from municipality and street geometries.")
     parser.add_argument("--municipalities", required=True)
     parser.add_argument("--lines", action="store_true", help="municipalities are JSON lines, not one array")
+    parser.add_argument("--split", action="store_true", help="read an array of municipalities by many tasks")
     parser.add_argument("--street-lines", action="store_true", help="street files hold a feature collection per line")
     parser.add_argument("--streets", help="folder of GeoJSON files, one per city")
     parser.add_argument("--mapping", help="JSON object of province name to street file")
@@ -25,7 +26,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("coordinates").getOrCreate()
     streets = geo_files.streets(spark, args.streets, args.street_lines) if args.streets else None
     mapping = geo_files.street_mapping(spark, args.mapping) if args.mapping else None
-    points = build_coordinates(geo_files.municipalities(spark, args.municipalities, args.lines), streets, mapping)
+    points = build_coordinates(geo_files.municipalities(spark, args.municipalities, args.lines, args.split), streets, mapping)
     write_coordinates(points, args.output, args.chunk_size)
 
 

@@ -120,8 +120,8 @@ def _geometry(kind: str, coordinates: str) -> str:
     return f"""concat('{{"type":"{kind}","coordinates":', to_json({coordinates}), '}}')"""
 
 
-def municipality_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON records of municipalities, one per customer, with shapes of several types."""
+def municipality_records(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """JSON records of municipalities, one per customer, with shapes of several types; ``more`` columns before."""
     key = "c_custkey"
     polygon = _geometry("Polygon", f"array({_line(key, 0, 1, 2, 0)})")
     several = _geometry(
@@ -134,6 +134,7 @@ def municipality_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .selectExpr(
+            *more,
             f"""concat('{{"prov_code":"', lpad(n_nationkey, 2, '0'), '","prov_name":"', n_name,
                 '","geo_point_2d":', CASE WHEN {key} % 7 = 0 THEN 'null' ELSE {center} END,
                 ',"geo_shape":', CASE WHEN {key} % 5 = 3 THEN 'null' ELSE concat('{{"geometry":',

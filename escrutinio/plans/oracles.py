@@ -141,7 +141,7 @@ def _points(values: str) -> str:
 _COORDINATE = """concat(cast(3600 + (k * 11 + j * 17) % 700 AS double) / 100, ',',
                         cast((k * 7 + j * 13) % 2001 - 1000 AS double) / 100000)"""
 
-_COORDINATES = f"""
+_MUNICIPAL_POINTS = f"""
 municipalities AS (
   SELECT c_custkey AS k, lpad(cast(n_nationkey AS varchar), 2, '0') AS prov_code, n_nationkey
   FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -151,6 +151,9 @@ municipalities AS (
   SELECT prov_code, {_COORDINATE} FROM municipalities JOIN {_points(
       "(0,0),(0,1),(0,2),(0,0),(1,0),(1,1),(1,2),(1,0),(1,1),(1,2),(1,3),(1,1),(1,3),(1,0),(1,3),"
       "(4,0),(4,2),(4,3),(4,0),(4,1),(4,2),(4,1)")} ON k % 5 = m
+"""
+
+_COORDINATES = f"""{_MUNICIPAL_POINTS}
   UNION ALL
   SELECT lpad(cast(nation AS varchar), 2, '0'), {_COORDINATE}
   FROM (SELECT s_suppkey AS k, s_nationkey AS nation FROM supplier) s
@@ -273,6 +276,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT name, cast(popularity AS bigint) AS popularity, coalesce(drawn, 0) AS drawn
             FROM parties LEFT JOIN drawn ON name = party""",
         "geometry_flatten": f"WITH {_COORDINATES} SELECT prov_code, coordinate FROM points",
+        "geometry_array": f"WITH {_MUNICIPAL_POINTS}) SELECT prov_code, coordinate FROM points",
         "coordinates_by_province": f"""WITH {_COORDINATES}
             SELECT prov_code, position // {CHUNK_SIZE} AS chunk, count(*) AS n,
                    string_agg(coordinate, ';' ORDER BY position) AS coordinates FROM numbered GROUP BY 1, 2""",
@@ -319,6 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_served": _seats(_DOCUMENTS, _STREAMED),
         "stream_seats_changes": _seats("SELECT * FROM seats", _STREAMED),
         "stream_served_changes": _seats(_DOCUMENTS, _STREAMED),
+        "stream_together": _seats("SELECT * FROM seats", _STREAMED),
         "stream_dates": f"""WITH {_RAW}
             SELECT {_FIELDS}, political_party_norm, year(voted_at) AS "year" FROM once
             WHERE k % 97 <> 0 AND voted_at >= '1993-06-01' AND voted_at < '1997-03-01'""",

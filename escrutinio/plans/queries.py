@@ -398,6 +398,18 @@ def geometry_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def geometry_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Municipalities out of one file that is one JSON array, which many tasks read."""
+    path = scratch_dir(spark, "array")
+    records = fixture.municipality_records(spark, sf_dir, "c_custkey AS k")
+    first = records.agg(F.min("k")).scalar()
+    ends = spark.createDataFrame([(-1, "["), (1 << 62, "]")], "k bigint, value string")
+    lines = records.select("k", F.when(F.col("k") == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value"))
+    write_named_files(lines.unionByName(ends).withColumn("name", F.lit("array.json")), path, "k")
+    return geometry.build_coordinates(geo_files.municipalities(spark, f"{path}/array.json", split=True))
+
+
 @query
 def coordinates_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = geometry.coordinate_chunks(_points(spark, sf_dir), CHUNK_SIZE)
@@ -556,6 +568,23 @@ def _split_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFram
     return file_stream(spark, f"{base}/source", 1), lake, spark.read.parquet(path)
 
 
+@query
+def stream_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All queries of the lake at once, the seats every second and the others as soon as they can,
+    until they have caught up; the seats see micro-batches without votes too."""
+    messages, lake, reference_seats = _split_stream(spark, sf_dir, "together")
+    every = lakes.Trigger(interval="1 second")
+    running = lakes.run_lake(messages, lake, reference_seats, seats_trigger=every)
+    try:
+        for one in running:  # each layer after the one that it reads
+            one.processAllAvailable()
+    finally:
+        for one in running:
+            one.stop()
+    lakes.await_any(running)
+    return lakes.current_seats(spark, lake)
+
+
 def _by_date(spark: SparkSession, sf_dir: str, name: str) -> lakes.Lake:
     """A lake by event date, its bronze and silver filled by three micro-batches."""
     messages, lake, _ = _split_stream(spark, sf_dir, name)

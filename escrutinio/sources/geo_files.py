@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from escrutinio.schemas import COORDINATES_FILE, MUNICIPALITY, STREETS
+from escrutinio.sources.json_arrays import read_array
 
 
 def _file_name() -> Column:
@@ -28,12 +29,15 @@ def coordinate_folders(spark: SparkSession, path: str) -> DataFrame:
     return _points(spark.read.schema(schema).json(path))
 
 
-def municipalities(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def municipalities(spark: SparkSession, path: str, lines: bool = False, split: bool = False) -> DataFrame:
     """Municipality records of JSON files.
 
-    A file that is one JSON array is read by one task, whatever its size. With ``lines``
-    the files hold one record per line and are split.
+    A file that is one JSON array is read by one task, whatever its size; with ``split`` by as
+    many as its bytes ask for, see ``json_arrays``. With ``lines`` the files hold one record per
+    line and are split.
     """
+    if split and not lines:
+        return read_array(spark, path, MUNICIPALITY)
     return spark.read.schema(MUNICIPALITY).option("multiLine", not lines).json(path)
 
 

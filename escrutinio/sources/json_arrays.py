@@ -90,5 +90,8 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The objects of the arrays by ``schema``, as the multi-line reader gives them."""
+    """The objects of the arrays by ``schema``, as the multi-line reader gives them.
+
+    But for the spelling of numbers that the schema reads as text: 0.00045 comes as 4.5E-4.
+    """
     return array_records(spark, path).select(F.from_json("value", schema).alias("record")).select("record.*")

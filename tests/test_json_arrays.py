@@ -58,10 +58,11 @@ def test_other_elements_are_no_records(spark, tmp_path):
 
 
 def plain(row):
-    """A municipality with the text of its coordinates, in which numbers can be spelled in several ways, parsed."""
+    """A municipality with its numbers parsed, which as text can be spelled in several ways."""
     shape = row["geo_shape"] and row["geo_shape"]["geometry"]
     parsed = shape and (shape["type"], str(json.loads(shape["coordinates"] or "null")))
-    return str((row["prov_code"], row["prov_name"], row["geo_point_2d"], parsed))
+    point = row["geo_point_2d"] and [float(x) for x in row["geo_point_2d"] if x is not None]
+    return str((row["prov_code"], row["prov_name"], point, parsed))
 
 
 def test_municipalities_of_one_array(spark, files, tmp_path, split_bytes):  # noqa: F811

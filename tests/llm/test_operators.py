@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from escrutinio.llm import curve_packing, exact_dedup, line_dedup, near_dedup, simple8b, substring_dedup
@@ -81,6 +82,23 @@ def test_exact_marks(docs):
     assert Counter(map(tuple, exact_dedup.mark(docs).collect())) == expected
 
 
+@pytest.mark.parametrize("salts", [1, 63])
+def test_exact_marks_with_other_salts(docs, salts):
+    assert Counter(map(tuple, exact_dedup.mark(docs, salts).collect())) == Counter(map(tuple, exact_dedup.mark(docs).collect()))
+
+
+def test_exact_deals_a_hot_text_by_salts(spark):
+    """The rows of one text meet its winner under several keys, and one of them stays."""
+    hot = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "same").otherwise(F.concat(F.lit("own "), "id")).alias("text"))
+    found = exact_dedup.mark(hot)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(text_sha256" in plan and "salt" in plan.split("hashpartitioning(text_sha256")[1].split(",")[1]
+    same = [r for r in found.collect() if r.group_size > 1]
+    assert {(r.keep_id, r.group_size) for r in same} == {(1, 666)} and [r.doc_id for r in same if r.kept] == [1]
+    with pytest.raises(ValueError, match="63"):
+        exact_dedup.mark(hot, salts=64)
+
+
 def test_exact_keeps_whole_rows_once(docs):
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns
@@ -89,8 +107,6 @@ def test_exact_keeps_whole_rows_once(docs):
 
 
 def test_exact_tells_contents_that_share_a_digest(docs, monkeypatch):
-    from pyspark.sql import functions as F
-
     monkeypatch.setattr(exact_dedup, "digest", lambda content: F.substring(F.sha2(content.cast("binary"), 256), 1, 1))
     few = {(r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.mark(docs).collect()}
     monkeypatch.undo()
@@ -214,6 +230,8 @@ def test_near_chain_and_blocks(spark, monkeypatch):
         rows.append((100 - k, " ".join(base)))
     rows += [(200 + k, " ".join(_words(50 + k, 80))) for k in range(10)]
     monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(near_dedup, "BIN_MEMBERS", 1)
+    monkeypatch.setattr(near_dedup, "BIN_BYTES", 8)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert Counter(map(tuple, near_dedup.mark(frame, 4).collect())) == _near_expected(rows, 4, 80)
     kept = {r.doc_id for r in near_dedup.keep_one(frame, 4).collect()}

@@ -16,7 +16,8 @@ All pairs within a key are never made:
    of blocks the tasks compare signatures across components, a pair of documents only under the
    first key that it shares; the sets of documents that have near partners then come to that
    pair of blocks and are compared there. What leaves a task are rows of documents and links
-   that join components, never the pairs.
+   that join components, never the pairs. Pairs of blocks are worked on in bins; there are as
+   many bins as their rows and bytes ask for, so that a bin does not grow with the corpus.
 
 Both steps together leave no candidate pair between different components unchecked.
 
@@ -50,6 +51,9 @@ _CELLS = 1 << 22  # symbols compared at once
 #: Members of a key, and shingles of their sets, that make up a block.
 BLOCK_MEMBERS = 2048
 BLOCK_SHINGLES = 1 << 23
+#: Rows of members, and bytes of sets and partners, that a bin of units has on average.
+BIN_MEMBERS = 1 << 16
+BIN_BYTES = 1 << 26
 
 _SIZE = CHUNKS * SYMBOLS
 _RANDOM = np.random.default_rng(20).integers(0, 1 << 63, size=(2, _SIZE), dtype=np.int64).astype(np.uint64)
@@ -167,6 +171,7 @@ def _open_pairs(table: pa.Table, threshold: int) -> pa.Table:
     matrix = _matrix(table.column("signature").combine_chunks())
     units: list[int] = []
     members: list[int] = []
+    numbers: list[int] = []
     partners: list[bytes] = []
     for start, stop in _units(table):
         left = start + np.flatnonzero(place[start:stop] == low[start])
@@ -194,10 +199,11 @@ def _open_pairs(table: pa.Table, threshold: int) -> pa.Table:
         for x, others in found.items():
             units.append(table.column("unit")[start].as_py())
             members.append(reps[x])
+            numbers.append(sizes[x])
             partners.append(reps[others].astype("<i8").tobytes())
     return pa.table(
-        [pa.array(units, pa.int64()), pa.array(members, pa.int64()), pa.array(partners, pa.binary())],
-        names=["unit", "rep", "partners"],
+        [pa.array(units, pa.int64()), pa.array(members, pa.int64()), pa.array(numbers, pa.int64()), pa.array(partners, pa.binary())],
+        names=["unit", "rep", "n_shingles", "partners"],
     )
 
 
@@ -274,21 +280,25 @@ class _Join:
         placed = placed.select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("comp"))
         size = F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES)
         keys = placed.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(size).cast("int").alias("cut")
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(size).cast("int").alias("cut"), F.count(F.lit(1)).alias("n")
         )
-        open_rows = placed.drop("n_shingles").join(keys.filter("lo < hi").select("key", "cut"), "key")
+        keys = written(keys.filter("lo < hi").select("key", "cut", "n"), "near-keys")
+        dealt = keys.agg(F.sum(F.col("n") * F.col("cut"))).first()[0] or 0
+        open_rows = placed.drop("n_shingles").join(keys.drop("n"), "key")
         rows = open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), "cut").cast("int")).join(self.signatures, "rep")
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
         rows = rows.withColumn("unit", F.xxhash64("key", "low", "high"))
         tasks = shuffles(rows.sparkSession)
-        bins = F.pmod(F.xxhash64("unit"), F.lit(4 * tasks))
-        rows = rows.select("unit", "key", "low", "high", "rep", "comp", "block", "signature", "n_shingles", bins.alias("bin"))
+        bins = lambda load, most: F.pmod(F.xxhash64("unit"), F.lit(max(4 * tasks, -(-load // most)))).alias("bin")
+        rows = rows.select("unit", "key", "low", "high", "rep", "comp", "block", "signature", "n_shingles", bins(dealt, BIN_MEMBERS))
         # Dealt out by hand: small tables that take long to work on are not to be coalesced.
         near = rows.repartition(tasks, "bin").groupBy("bin").applyInArrow(
-            lambda table: _open_pairs(table, threshold), "unit bigint, rep bigint, partners binary"
+            lambda table: _open_pairs(table, threshold), "unit bigint, rep bigint, n_shingles bigint, partners binary"
         )
-        near = written(near, "near-units").join(self.sets, "rep").withColumn("bin", bins)
+        near = written(near, "near-units")
+        size = near.agg(F.sum(8 * F.col("n_shingles") + F.octet_length("partners"))).first()[0] or 0
+        near = near.join(self.sets, "rep").select("unit", "rep", "partners", "set", bins(size, BIN_BYTES))
         return near.repartition(tasks, "bin").groupBy("bin").applyInArrow(lambda table: _joined(table, threshold), "a bigint, b bigint")
 
 

@@ -9,7 +9,8 @@ then of halving lengths. A document is contaminated when tiles cover ``COVERAGE`
 a passage whose sentences were reordered is found.
 
 The items are compared in blocks of bounded size, each sent to the tasks; a larger
-benchmark makes more passes over the documents, and documents are never shuffled.
+benchmark makes more passes over the documents, one written before the next block is read,
+so that the driver holds one block at a time. Documents are never shuffled.
 
 Cases: null and empty texts match nothing. Items shorter than a tile match where a document
 holds all their words in a row. Rows that repeat an item or a document are compared each; rows
@@ -199,7 +200,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame, least: int, share: float, bl
     found = []
     for part in range(parts):  # a block of the items is bounded, the number of blocks is not
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        found.append(_tiled(docs, _Items(rows, least), least, share))
+        tiled = _tiled(docs, _Items(rows, least), least, share)
+        found.append(tiled if parts == 1 else written(tiled, "contamination"))
     return reduce(DataFrame.unionByName, found)
 
 

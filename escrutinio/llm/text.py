@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 21
-_SPAN = 1 << 20  # bytes hashed at once; words longer than this are hashed alone
+_SPAN = 1 << 17  # bytes hashed at once; words longer than this are hashed alone
 
 _NOT_SPACE = np.ones(256, dtype=bool)
 _NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False

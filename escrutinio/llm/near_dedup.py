@@ -48,6 +48,7 @@ CHUNKS, SYMBOLS, ERRORS = 10, 6, 1
 #: similarity of 0.8 the mean is 12, and more than 28 differ less than once in a million times.
 FAR = 28
 _CELLS = 1 << 22  # symbols compared at once
+_BLOCK_BYTES = 1 << 20  # of texts at once
 #: Members of a key, and shingles of their sets, that make up a block.
 BLOCK_MEMBERS = 2048
 BLOCK_SHINGLES = 1 << 23
@@ -106,7 +107,7 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, signature (null for an empty set)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, limit=_BLOCK_BYTES):
             values, offsets = shingle_sets(block.column("text"), size)
             counts = np.diff(offsets)
             found = iter(signatures(values, offsets))
@@ -250,7 +251,7 @@ class _Join:
         wanted = broadcast_if_small(members.select(F.col("rep").alias("doc_id")).distinct())
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches):
+            for block in blocks(batches, limit=_BLOCK_BYTES):
                 values, offsets = shingle_sets(block.column("text"), size)
                 data, bounds = values.astype("<u8").tobytes(), (8 * offsets).tolist()
                 sets = [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

@@ -76,6 +76,7 @@ def blocks(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = B
             stop = min(max(stop, start + 1), len(batch))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()  # workers stay, and what they hold adds up
 
 
 class Words:

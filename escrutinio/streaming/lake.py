@@ -65,7 +65,10 @@ DATE = "date"
 _POOL = "spark.scheduler.pool"
 
 # Files of a layer that one micro-batch reads at most, so that a backlog is worked off in parts.
+# They are counted in full files: a micro-batch above writes one for each of its tasks, most of them
+# small, and their number says nothing of the work.
 MAX_FILES = 1000
+FILE_BYTES = 128 << 20
 
 _COUNTS = StructType(
     [*(StructField(n, StringType(), True) for n in PARTY_KEY), StructField("votes_per_party", LongType(), True)]
@@ -144,7 +147,12 @@ class Lake:
 
 @dataclass(frozen=True)
 class Trigger:
-    """When a query runs: as soon as it can, every ``interval``, or once over what is there."""
+    """When a query runs: as soon as it can, every ``interval``, or once over what is there.
+
+    A micro-batch reads as many bytes of a layer as ``max_files`` full files have (``FILE_BYTES``
+    each), and one file at the least. So the number of micro-batches follows the data, not the number of
+    tasks that wrote the files.
+    """
 
     interval: str | None = None
     available_now: bool = False
@@ -183,7 +191,7 @@ def layer(spark: SparkSession, lake: Lake, path: str, schema: StructType, trigge
     make_folder(spark, path)
     reader = spark.readStream.schema(dated(schema) if lake.by_date else schema)
     if trigger.max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", trigger.max_files)
+        reader = reader.option("maxBytesPerTrigger", trigger.max_files * FILE_BYTES)
     return reader.parquet(path).select(*schema.names)
 
 

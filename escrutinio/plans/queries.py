@@ -558,14 +558,19 @@ def stream_served_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lakes.served_seats(spark, lake, changes_only=True).withColumn("updated_at", _time_text("updated_at"))
 
 
+def _files_at_once(spark: SparkSession) -> int:
+    """Files of a micro-batch of a source that has three: one for each core, so that all of them write and read."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _split_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, lakes.Lake, DataFrame]:
-    """The raw messages in three files, each a micro-batch, an empty lake and the seats reference."""
-    base = scratch_dir(spark, name)
-    fixture.raw_messages(spark, sf_dir).repartition(3).write.text(f"{base}/source")
+    """The raw messages in files that give three micro-batches, an empty lake and the seats reference."""
+    base, files = scratch_dir(spark, name), _files_at_once(spark)
+    fixture.raw_messages(spark, sf_dir).repartition(3 * files).write.text(f"{base}/source")
     path = f"{base}/seats_reference"
     write_snapshot(fixture.seats_reference(spark, sf_dir), path)
     lake = lakes.Lake(f"{base}/lake", f"{base}/checkpoints")
-    return file_stream(spark, f"{base}/source", 1), lake, spark.read.parquet(path)
+    return file_stream(spark, f"{base}/source", files), lake, spark.read.parquet(path)
 
 
 @query
@@ -668,8 +673,9 @@ def stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = fixture.raw_messages(spark, sf_dir).select(
         F.when(number % 23 == 0, undated).otherwise(F.col("value")).alias("value"), arrived.alias("arrived")
     )
-    messages.repartition(3).write.parquet(f"{base}/source")
-    source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/source")
+    files = _files_at_once(spark)
+    messages.repartition(3 * files).write.parquet(f"{base}/source")
+    source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/source")
     lake, once = lakes.Lake(f"{base}/lake", f"{base}/checkpoints"), lakes.Trigger(available_now=True, max_files=1)
     lakes.start_bronze(source, lake, once).awaitTermination()
     lakes.start_silver(spark, lake, once, within="3 days", event_time=True).awaitTermination()

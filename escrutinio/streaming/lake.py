@@ -68,7 +68,7 @@ _POOL = "spark.scheduler.pool"
 # They are counted in full files: a micro-batch above writes one for each of its tasks, most of them
 # small, and their number says nothing of the work.
 MAX_FILES = 1000
-FILE_BYTES = 128 << 20
+FILE_BYTES = 256 << 20
 
 _COUNTS = StructType(
     [*(StructField(n, StringType(), True) for n in PARTY_KEY), StructField("votes_per_party", LongType(), True)]

@@ -4,6 +4,7 @@ import pytest
 from test_stream import batch_seats, drain, lake, reference, rows, source, vote  # noqa: F401
 
 from escrutinio.folders import names
+from escrutinio.plans import queries
 from escrutinio.sources.messages import file_stream
 from escrutinio.streaming import lake as L
 
@@ -37,3 +38,15 @@ def test_event_time_over_small_files(spark, source, lake, monkeypatch, file_byte
     later = [batches(spark, lake, "out_of_time"), batches(spark, lake, "silver")]
     assert later[0] == (3 if file_bytes else 1) and later[1] >= later[0]
     assert sorted(r["id"] for r in spark.read.parquet(lake.silver).collect()) == sorted(f"v{i}" for i in range(70))
+
+
+def test_a_source_of_three_micro_batches_has_files_for_all_cores(spark, monkeypatch, reference):  # noqa: F811
+    lines = spark.createDataFrame([(vote(i),) for i in range(300)], "value string")
+    monkeypatch.setattr(queries.fixture, "raw_messages", lambda *_: lines)
+    monkeypatch.setattr(queries.fixture, "seats_reference", lambda *_: reference)
+    messages, lake, _ = queries._split_stream(spark, "", "three")  # noqa: F811
+    written = [name for name in names(spark, lake.base.removesuffix("lake") + "source") if name.startswith("part-")]
+    assert len(written) == 3 * spark.sparkContext.defaultParallelism
+    L.start_bronze(messages, lake, L.Trigger(available_now=True)).awaitTermination()
+    assert batches(spark, lake, "bronze") == 3
+    assert sorted(r["id"] for r in spark.read.parquet(lake.bronze).collect()) == sorted(f"v{i}" for i in range(300))

@@ -41,30 +41,38 @@ FRAME = (
 )
 
 
+#: Bits of each value of 16 bits, and the least value of each number of bits.
+_BITS = np.repeat(np.arange(17, dtype=np.uint8), [1, *(1 << b for b in range(16))])
+_LEAST = np.uint64(1) << np.arange(64, dtype=np.uint64)
+
+
 def _selectors(values: np.ndarray, block_ids: int) -> np.ndarray:
     """For each position, the selector of the word that would start there."""
     n = len(values)
-    left = block_ids - np.arange(n) % block_ids
-    left = np.minimum(left, n - np.arange(n))
-    chosen = np.full(n, _ESCAPE, dtype=np.uint8)
-    largest, span = values, 1
-    by_span = {1: values}
-    while span < COUNTS[0]:
-        shifted = np.zeros_like(largest)
-        shifted[: max(n - span, 0)] = largest[span:]
-        largest, span = np.maximum(largest, shifted), 2 * span
-        by_span[span] = largest
-    for selector in range(len(COUNTS) - 1, -1, -1):
-        count = COUNTS[selector]
+    bits = _BITS[values] if values.dtype.itemsize == 2 else np.searchsorted(_LEAST, values.astype(np.uint64), side="right").astype(np.uint8)
+    most = COUNTS[0]
+    left = np.minimum(block_ids - np.arange(block_ids), most).astype(np.uint8)
+    left = np.tile(left, -(-n // block_ids))[:n]
+    rest = min(n, most)
+    left[n - rest :] = np.minimum(left[n - rest :], np.arange(rest, 0, -1))
+
+    def widest(largest: np.ndarray, shift: int) -> np.ndarray:
+        """The larger of each value and the one ``shift`` further on."""
+        out = largest.copy()
+        np.maximum(largest[: max(n - shift, 0)], largest[shift:], out=out[: max(n - shift, 0)])
+        return out
+
+    by_span, span = {1: bits}, 1
+    while span < most:
+        by_span[2 * span] = widest(by_span[span], span)
+        span *= 2
+    # What fits in a word of some count fits in those of smaller counts as well.
+    fitting = np.zeros(n, dtype=np.uint8)
+    for count in COUNTS:
         span = 1 << (count.bit_length() - 1)
-        top = by_span[span]
-        if count > span:
-            shifted = np.zeros_like(top)
-            shifted[: max(n - (count - span), 0)] = top[count - span :]
-            top = np.maximum(top, shifted)
-        fits = (top < np.uint64(1) << np.uint64(60 // count)) & (left >= count)
-        chosen[fits] = selector
-    return chosen
+        top = widest(by_span[span], count - span) if count > span else by_span[span]
+        fitting += (top <= 60 // count) & (left >= count)
+    return np.where(fitting > 0, np.uint8(len(COUNTS)) - fitting, np.uint8(_ESCAPE))
 
 
 def encode(values: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +81,7 @@ def encode(values: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray,
     if n == 0:
         return np.zeros(0, dtype="<u8"), np.zeros(0, dtype="<u4")
     values = np.ascontiguousarray(values)
-    wide = values if values.dtype.itemsize >= 8 else values.astype(np.uint32)
-    selectors = _selectors(wide.astype(np.uint64) if wide.dtype.itemsize >= 8 else wide, block_ids)
+    selectors = _selectors(values, block_ids)
     steps = np.array([*COUNTS, 1, 1])[selectors]
     starts = np.zeros(n, dtype=bool)
     at, first = np.arange(0, n, block_ids), np.arange(0, n, block_ids)

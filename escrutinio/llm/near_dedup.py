@@ -318,7 +318,8 @@ def mark(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> Da
     comps = components(links)
     more = written(join.rest(comps), "near-links")
     if not more.isEmpty():
-        comps = components(links.union(more))
+        # The components so far are stars already, and stand for their links.
+        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     found = table.join(classes.select("digest", "rep"), "digest", "left")
     found = found.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     own = F.coalesce("component", "rep", "doc_id")

@@ -3,6 +3,8 @@
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +49,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, f"llm-{purpose}")
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark deletes the shuffle files of a query as the query ends, not when the driver's memory is cleaned."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shuffles(spark: SparkSession) -> int:
     """Number of partitions the session shuffles into."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,6 +1,7 @@
 """Learned operators, decontamination, pseudonyms and the pipeline."""
 
 import re
+import tempfile
 import zlib
 from collections import Counter
 
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from escrutinio.llm import decontamination, language_id, pii, queries, toxicity
 from escrutinio.llm.common import ship
+from escrutinio.operators import materialize
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id bigint, text string, lang string, score double, toxic int, item_id bigint, pii string"
@@ -407,3 +409,30 @@ def test_pipeline(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     expected = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect()}
     assert {r[0]: r[1] for r in pieces} == expected == {r[0]: r[2] for r in pieces}
+
+
+def test_toxicity_in_parts_removes_what_it_asked_and_counted(spark, monkeypatch, tmp_path):
+    """Several parts give the scores of one; of bigrams only the packed counts stay written."""
+    docs, labels = _marked(spark, "grobian", 300, 0)
+    docs = docs.union(frame(spark, [(None, None, None), (1000, "", None), (3, "twice the id", None), (3, "twice the id", None)]))
+    whole = toxicity.score(docs, toxicity.learn(docs, labels))
+    rng = np.random.default_rng(5)
+    texts = [(2000 + i, " ".join(f"x{w}" for w in rng.integers(0, 1 << 40, 400)), None) for i in range(400)]
+    more = frame(spark, texts).repartition(4)
+    known = labels.union(more.selectExpr("doc_id", "int(doc_id % 2) AS toxic"))
+    for name, n in (("_SLICE_BYTES", 1 << 12), ("_ASKING_BYTES", 1 << 10), ("_BIN_BYTES", 1 << 10), ("_PACKED_ROWS", 100)):
+        monkeypatch.setattr(toxicity, name, n)
+    parts = toxicity.score(docs, toxicity.learn(docs, labels, 0))
+    key = lambda r: (str(r.doc_id), r.score)
+    one, other = (sorted(df.collect(), key=key) for df in (whole, parts))
+    assert [r.doc_id for r in one] == [r.doc_id for r in other] and len(one) == 304
+    assert all(abs(a.score - b.score) < 1e-6 for a, b in zip(one, other))
+    monkeypatch.undo()
+    monkeypatch.setattr(toxicity, "_SLICE_BYTES", 1 << 18)
+    for module in (toxicity, materialize):
+        monkeypatch.setattr(module, "scratch_dir", lambda _, purpose: tempfile.mkdtemp(prefix=purpose, dir=tmp_path) + "/t")
+    every = docs.union(more)
+    assert toxicity.score(every, toxicity.learn(every, known, 0)).count() == 704
+    left = {p.relative_to(tmp_path).parts[0] for p in tmp_path.rglob("*.parquet")}
+    assert any(name.startswith("llm-toxic-counts") for name in left)
+    assert not [name for name in left if name.startswith(("llm-toxic-bigrams", "llm-toxic-answers", "llm-toxic-word-parts"))]

@@ -31,6 +31,10 @@ LEAST_SCORE = 0.1
 _SALTS = 64
 ORDERS = (2, 3, 4)
 FEATURE_BITS = 15
+#: Weights looked up at once, one for each byte of the texts and pair of the model, and bytes whose
+#: features are made at once. Python workers stay, several to an executor, and so does their memory.
+_CELLS = 1 << 21
+_FEATURE_BYTES = 1 << 18
 UNDETERMINED = "und"
 
 # Families of ISO 639-1 codes. A code that is not listed is its own family.
@@ -124,6 +128,11 @@ class Model:
         self.weights = np.stack([w for w, _ in weights], axis=1).astype(np.float32) if weights else None
         self.bias = np.array([b for _, b in weights])
 
+    @property
+    def block_bytes(self) -> int:
+        """Bytes of texts to score at once; the hashes of their n-grams take as much as some eight pairs."""
+        return _CELLS // max(len(self.pairs), 8)
+
     def margins(self, column: pa.Array) -> np.ndarray:
         """The margin of each pair for each row."""
         data, offsets = buffers(column)
@@ -203,7 +212,7 @@ def sample(docs: DataFrame, per_language: int) -> list:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Features of the rows with a letter: what is collected does not grow with the texts."""
-    for block in blocks(batches):
+    for block in blocks(batches, limit=_FEATURE_BYTES):
         known = [bool(t) and _LETTER.search(t) is not None for t in block.column("text").to_pylist()]
         block = block.filter(pa.array(known, pa.bool_()))
         found = [sparse(t) for t in block.column("text").cast(pa.binary()).to_pylist()]
@@ -224,7 +233,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with doc_id, held_out, lang_pred and score of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, limit=model.block_bytes):
             names, score = model.predict(block.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("held_out"), pa.array(names, pa.string()), pa.array(score)],
@@ -245,7 +254,7 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     fields = docs.schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, limit=model.block_bytes):
             yield block.filter(pa.array(model.determined(block.column(at)), pa.bool_()))
 
     return docs.mapInArrow(rows, fields)

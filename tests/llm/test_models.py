@@ -2,11 +2,13 @@
 
 import re
 import tempfile
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -60,6 +62,41 @@ def test_languages(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) + 3
 
 
+class _Tasks:
+    """Stands for documents; a map over them gives the function that the tasks run."""
+
+    columns, schema = ["text"], None
+
+    def mapInArrow(self, rows, schema):
+        return rows
+
+
+def _peak(rows, texts):
+    """MB that a task takes for texts, without them."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    arrow = pa.default_memory_pool().bytes_allocated()
+    tracemalloc.start()
+    n = 0
+    for found in rows(iter([batch])):
+        n += found.num_rows
+        del found
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pa.default_memory_pool().bytes_allocated() <= arrow
+    return n, peak / 1e6
+
+
+def test_scoring_languages_takes_little_memory():
+    names = sorted(WORDS) + ["pt", "it", "nl", "sv"]
+    labels = [names[i % len(names)] for i in range(4 * len(names))]
+    rng = np.random.default_rng(3)
+    features = [language_id.sparse(rng.bytes(200)) for _ in labels]
+    model = language_id.Model(names, features, labels)
+    texts = [" ".join(rng.choice(WORDS["de"], 400)) for _ in range(1200)]
+    n, peak = _peak(language_id.keep_known(_Tasks(), model), texts)
+    assert n <= len(texts) and peak < 60
+
+
 def test_a_model_without_languages_rejects_no_text_with_a_letter(spark):
     docs = frame(spark, [(i, f"some words {i}", None) for i in range(20)] + [(30, "12 34", None), (31, None, None)])
     assert language_id.keep_known(docs, language_id.learn(docs)).count() == 20

@@ -29,6 +29,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, folder = _filesystem(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
 def make_file(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, file = _filesystem(spark, path)

@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from escrutinio.folders import folder_bytes
 from escrutinio.functions.geo import parse_geo_point
 from escrutinio.functions.keys import keyword, vote_doc_id
 from escrutinio.functions.timestamps import parse_timestamp
@@ -31,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CHUNK_SIZE = 100
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+#: Bytes of raw messages that a state partition takes.
+STATE_BYTES = 16 << 20
 PUBLISHED_AT = datetime(2026, 1, 2, 3, 4, 5, 678901, tzinfo=timezone.utc)
 VOTE_FIELDS = [
     "id",
@@ -546,7 +549,7 @@ def stream_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_seats_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seats kept by changed provinces only, over micro-batches of a few files each."""
     messages, lake, reference_seats = _split_stream(spark, sf_dir, "changes")
-    lakes.drain(messages, lake, reference_seats, max_files=8, clock=lambda: PUBLISHED_AT, changes_only=True)
+    _drain_changes(messages, lake, reference_seats)
     return lakes.current_seats(spark, lake, changes_only=True)
 
 
@@ -554,10 +557,23 @@ def stream_seats_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_served_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table that these seats are served from."""
     messages, lake, reference_seats = _split_stream(spark, sf_dir, "served-changes")
-    lakes.drain(messages, lake, reference_seats, max_files=8, clock=lambda: PUBLISHED_AT, changes_only=True)
+    _drain_changes(messages, lake, reference_seats)
     return lakes.served_seats(spark, lake, changes_only=True).withColumn("updated_at", _time_text("updated_at"))
 
 
+def _drain_changes(messages: DataFrame, lake: lakes.Lake, reference_seats: DataFrame) -> None:
+    partitions = _state_partitions(messages.sparkSession, lake.base.rpartition("/")[0] + "/source")
+    lakes.drain(
+        messages, lake, reference_seats, max_files=8, clock=lambda: PUBLISHED_AT, changes_only=True, partitions=partitions
+    )
+
+
+def _state_partitions(spark: SparkSession, source: str) -> int:
+    """State partitions for a source: one for each ``STATE_BYTES`` and for each core at least, the session's at most."""
+    wanted = max(_files_at_once(spark), -(-folder_bytes(spark, source) // STATE_BYTES))
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _files_at_once(spark: SparkSession) -> int:
     """Files of a micro-batch of a source that has three: one for each core, so that all of them write and read."""
     return max(1, spark.sparkContext.defaultParallelism)

@@ -63,6 +63,7 @@ SERVED_BUCKETS = 64
 
 DATE = "date"
 _POOL = "spark.scheduler.pool"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Files of a layer that one micro-batch reads at most, so that a backlog is worked off in parts.
 # They are counted in full files: a micro-batch above writes one for each of its tasks, most of them
@@ -152,11 +153,16 @@ class Trigger:
     A micro-batch reads as many bytes of a layer as ``max_files`` full files have (``FILE_BYTES``
     each), and one file at the least. So the number of micro-batches follows the data, not the number of
     tasks that wrote the files.
+
+    ``partitions`` is the number of state partitions of a query that has no checkpoint yet, the
+    session's shuffle partitions by default. Each is a store of its own that a micro-batch opens and
+    commits, so that for little state many of them take longer than the rows do. A checkpoint keeps its number.
     """
 
     interval: str | None = None
     available_now: bool = False
     max_files: int | None = None
+    partitions: int | None = None
 
     def start(self, writer: DataStreamWriter, checkpoint: str, mode: str = "append") -> StreamingQuery:
         """Start a query named after its checkpoint, in a scheduler pool of that name.
@@ -179,7 +185,15 @@ class Trigger:
             writer = writer.trigger(availableNow=True)
         elif self.interval:
             writer = writer.trigger(processingTime=self.interval)
-        return writer.start()
+        if self.partitions is None:
+            return writer.start()
+        conf = SparkSession.active().conf
+        before = conf.get(_PARTITIONS)
+        conf.set(_PARTITIONS, str(self.partitions))
+        try:
+            return writer.start()  # the query has a session of its own from here on
+        finally:
+            conf.set(_PARTITIONS, before)
 
 
 def dated(schema: StructType) -> StructType:
@@ -534,10 +548,11 @@ def drain(
     threshold: float = THRESHOLD,
     changes_only: bool = False,
     event_time: bool = False,
+    partitions: int | None = None,
 ) -> None:
-    """Bring all layers up to date with what the source holds now, then stop."""
+    """Bring all layers up to date with what the source holds now, then stop. See ``Trigger`` for ``partitions``."""
     spark = messages.sparkSession
-    once = Trigger(available_now=True, max_files=max_files)
+    once = Trigger(available_now=True, max_files=max_files, partitions=partitions)
     start_bronze(messages, lake, once).awaitTermination()
     start_silver(spark, lake, once, salts, within, event_time).awaitTermination()
     if event_time:

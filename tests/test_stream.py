@@ -7,6 +7,7 @@ import pytest
 
 from escrutinio.operators import seats as S
 from escrutinio.operators import votes as V
+from escrutinio.plans import queries
 from escrutinio.schemas import SILVER_COLUMNS
 from escrutinio.sinks.messages import FileSink
 from escrutinio.sinks.versions import versions
@@ -210,3 +211,21 @@ def test_served_seats_follow_the_batches_and_not_the_clock(spark, lake, tmp_path
         (r.autonomic_region_name, r.province_name, r.political_party, r.seats) for r in L.served_seats(spark, lake).collect()
     }
     assert served == gold and len(served) == 4
+
+
+def test_state_partitions_follow_the_source_and_not_the_session(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, purpose: f"file://{tmp_path}/{purpose}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        found = queries.stream_served_changes(spark, "/root/testdata/sf0.001").count()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert found
+        for layer in ("silver", "seat_changes"):
+            stores = [x for x in (tmp_path / "served-changes/checkpoints" / layer / "state/0").iterdir() if x.name.isdigit()]
+            assert len(stores) == 8
+        for size, wanted in ((1 << 40, 8), (1000, 40)):  # as many as its cores, the session's at most
+            monkeypatch.setattr(queries, "STATE_BYTES", size)
+            assert queries._state_partitions(spark, f"file://{tmp_path}/served-changes/source") == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

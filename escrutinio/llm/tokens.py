@@ -21,6 +21,9 @@ import pyarrow.compute as pc
 from escrutinio.llm.text import buffers
 
 CACHED_WORDS = 400_000
+#: Bytes of words and ids that a cache keeps, of which there are two, with what Python takes for each word besides.
+CACHED_BYTES = 40 << 20
+_ENTRY_BYTES = 190
 PIECE_BYTES = 1 << 21
 _BATCH = 2_000
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -70,6 +73,7 @@ class WordTokenizer:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the young ones
         self.bare = self._bare(path)
 
     def _bare(self, path: str):
@@ -126,9 +130,10 @@ class WordTokenizer:
         if new:
             young.update([(w, old[w]) for w in new if w in old])
             self._learn([w for w in new if w not in old])
+            self.held += sum(len(w) + len(young[w]) for w in new) + _ENTRY_BYTES * len(new)
         ids = [young[w] for w in words]
-        if len(young) > CACHED_WORDS:
-            self.old, self.young = young, {}
+        if len(young) > CACHED_WORDS or self.held > CACHED_BYTES:
+            self.old, self.young, self.held = young, {}, 0
         return ids
 
     def _rows(self, texts: list[bytes]) -> list[bytes]:

@@ -60,3 +60,15 @@ def test_words_take_the_widest_count_that_fits(kind):
     assert np.array_equal(simple8b.decode(words, offsets), values.astype(np.uint64))
     if kind != "<u8":  # else raw words follow escapes
         assert (words >> np.uint64(60)).tolist() == expected
+
+
+def test_words_kept_are_bounded_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_BYTES", 1 << 20, raising=False)
+    tokenizer = tokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [(chr(97 + k) * 100_000 + " the").encode() for k in range(26)]
+    assert [tokenizer.encode([t])[0] for t in texts] == tokenizer.encode(texts)
+    one = tokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    assert [one.encode([t])[0] for t in texts] == tokenizer.encode(texts)
+    for k in range(200):
+        one.encode([f"{'x' * 9000}{k}".encode()])
+        assert sum(len(w) for known in (one.young, one.old) for w in known) < 3 << 20
